@@ -33,7 +33,7 @@ VIEWS: dict[str, str] = {
                {BARCODE.format(k='p_partkey')} AS barcode, p_size > 2 AS active,
                {_m2o('p_partkey', "p_name")} AS product_tmpl_id,
                CAST(TIMESTAMP '2024-01-01 00:00:00' AS STRING) AS create_date,
-               '2024-01-' || CASE WHEN p_size < 10 THEN '0' ELSE '' END || CAST(p_size % 29 + CASE WHEN p_size < 10 THEN 1 ELSE 10 END AS STRING) || ' 08:00:00' AS write_date
+               '2024-01-' || lpad(CAST(p_size % 28 + 1 AS STRING), 2, '0') || ' 08:00:00' AS write_date
         FROM {{part}}""",
     "template_raw": f"""
         SELECT p_partkey AS id,

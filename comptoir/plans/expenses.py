@@ -11,13 +11,13 @@ from comptoir.functions.measures import as_ts
 from comptoir.functions.records import clean_false, m2o_name, parse_dt
 from comptoir.operators.incremental import backfill
 from comptoir.operators.merge import purge_from, upsert
-from comptoir.schemas import QTY
+from comptoir.schemas import EXPENSE_RELATIONS, QTY
 from comptoir.sources.scans import with_payload
 
 
 def fct_expense(expenses: DataFrame, as_of: datetime | str) -> DataFrame:
     """Typed expenses; the employee is kept by name and in the payload."""
-    return with_payload(expenses).select(
+    return with_payload(expenses, relations=EXPENSE_RELATIONS).select(
         F.col("id").alias("expense_id"),
         clean_false("date").try_cast("date").alias("expense_date"),
         m2o_name("employee_id").alias("employee_name"),

@@ -12,7 +12,9 @@ from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
 from comptoir.operators.merge import upsert
-from comptoir.schemas import QTY
+from comptoir.schemas import (
+    ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
+)
 from comptoir.sources.scans import with_payload
 from comptoir.sources.slices import slice_last, slice_range
 
@@ -97,7 +99,7 @@ def pos_hist(
         "created_at", from_, to,
     ).filter(F.col("order_id").isNotNull())
     keys = in_range.select("order_id").distinct()
-    heads = restrict_to(with_payload(orders).withColumn("order_id", F.col("id")), keys, "order_id")
+    heads = restrict_to(with_payload(orders, relations=ORDER_RELATIONS).withColumn("order_id", F.col("id")), keys, "order_id")
     reference = F.coalesce(clean_false("pos_reference"), clean_false("name"))
     order_rows = heads.select(
         *_order_columns("order_id", False, as_of),
@@ -108,7 +110,7 @@ def pos_hist(
         as_ts(as_of).alias("ingested_at"),
     )
     paid = restrict_to(
-        with_payload(payments).withColumns({
+        with_payload(payments, relations=PAYMENT_RELATIONS).withColumns({
             "order_id": m2o_id("pos_order_id"),
             "method_id": m2o_id("payment_method_id"),
             "method_name": m2o_name("payment_method_id"),
@@ -155,7 +157,7 @@ def pos_hist(
 
 
 def fct_pos_order(orders: DataFrame, as_of: datetime | str) -> DataFrame:
-    return with_payload(orders).select(
+    return with_payload(orders, relations=ORDER_RELATIONS).select(
         *_order_columns("id", True, as_of),
         clean_false("pos_reference").alias("pos_reference"),
         clean_false("uuid").alias("uuid"),
@@ -168,7 +170,7 @@ def fct_pos_order(orders: DataFrame, as_of: datetime | str) -> DataFrame:
 def fct_pos_line(lines: DataFrame, orders: DataFrame, products: DataFrame, as_of: datetime | str) -> DataFrame:
     """Lines with the times and shop of their order, and the barcode of their product."""
     head = orders.select("order_id", "config_id", "txn_ts", "txn_day")
-    typed = with_payload(lines).select(
+    typed = with_payload(lines, relations=ORDER_LINE_RELATIONS).select(
         F.col("id").alias("line_id"),
         m2o_id("order_id").alias("order_id"),
         m2o_id("product_id").alias("product_id"),
@@ -188,7 +190,7 @@ def fct_pos_line(lines: DataFrame, orders: DataFrame, products: DataFrame, as_of
 def fct_pos_payment(payments: DataFrame, orders: DataFrame, as_of: datetime | str) -> DataFrame:
     """Payments with the shop of their order; an undated one counts for the order day."""
     head = orders.select("order_id", "config_id", "txn_day")
-    typed = with_payload(payments).select(
+    typed = with_payload(payments, relations=PAYMENT_RELATIONS).select(
         F.col("id").alias("payment_id"),
         m2o_id("pos_order_id").alias("order_id"),
         m2o_id("payment_method_id").alias("method_id"),
@@ -209,7 +211,7 @@ def fct_pos_payment(payments: DataFrame, orders: DataFrame, as_of: datetime | st
 
 def fct_pos_session(sessions: DataFrame, as_of: datetime | str, days: int = 30) -> DataFrame:
     recent = slice_last(
-        with_payload(sessions).withColumn("__at", parse_dt("write_date")), "__at", as_of, days=days, inclusive=True
+        with_payload(sessions, relations=SESSION_RELATIONS).withColumn("__at", parse_dt("write_date")), "__at", as_of, days=days, inclusive=True
     )
     return recent.select(
         F.col("id").alias("session_id"),

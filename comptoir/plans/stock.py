@@ -16,7 +16,7 @@ from comptoir.operators.joins import with_dims
 from comptoir.operators.merge import upsert
 from comptoir.operators.sets import MOVE_SOURCE, OPENING_SOURCE, OPENING_TYPE, UNKNOWN_TYPE, stack
 from comptoir.operators.windows import dedup_latest
-from comptoir.schemas import QTY
+from comptoir.schemas import QTY, QUANT_RELATIONS
 from comptoir.sources.scans import scan_in_scope, with_payload
 from comptoir.sources.slices import slice_since
 
@@ -29,7 +29,7 @@ def stg_quant(
     usages: Sequence[str] = QUANT_USAGES, max_rows: int | None = None, target: DataFrame | None = None,
 ) -> DataFrame:
     """Quants written since a watermark at locations in scope, latest version each."""
-    raw = with_payload(quants).withColumns({
+    raw = with_payload(quants, relations=QUANT_RELATIONS).withColumns({
         "written_at": parse_dt("write_date"), "location_id": m2o_id("location_id"),
     })
     changed = slice_since(scan_in_scope(raw, locations, usages), "written_at", "id", since_ts, since_id, max_rows)

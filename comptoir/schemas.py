@@ -28,3 +28,12 @@ RUN_LOG = """
 
 QTY = "decimal(16,4)"
 VALUE = "decimal(18,4)"
+
+# fixed values: source columns that hold a relation as JSON text
+MOVE_LINE_RELATIONS = ("move_id", "picking_id", "product_id", "location_id", "location_dest_id", "product_uom_id")
+QUANT_RELATIONS = ("product_id", "location_id", "company_id", "lot_id")
+ORDER_RELATIONS = ("session_id", "config_id", "employee_id", "partner_id")
+ORDER_LINE_RELATIONS = ("order_id", "product_id")
+PAYMENT_RELATIONS = ("pos_order_id", "payment_method_id")
+SESSION_RELATIONS = ("config_id",)
+EXPENSE_RELATIONS = ("employee_id",)

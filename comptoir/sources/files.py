@@ -52,7 +52,8 @@ def write_extract(df: DataFrame, out_dir: str, run_ts: datetime, since: datetime
     spark = df.sparkSession
     base = f"stock_move_line_{run_ts:%Y%m%d_%H%M%S}"
     data_dir = f"{out_dir}/{base}"
-    df.write.option("ignoreNullFields", "false").json(data_dir, compression="gzip")
+    nested = df.withColumn("raw", F.try_parse_json("raw")) if "raw" in df.columns else df
+    nested.write.option("ignoreNullFields", "false").json(data_dir, compression="gzip")
     manifest = (
         spark.read.schema("odoo_id BIGINT").json(data_dir)
         .agg(F.count(F.lit(1)).alias("rows"))

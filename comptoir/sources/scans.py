@@ -62,6 +62,13 @@ def first_available(
     return F.lit(None).cast("string")
 
 
-def with_payload(df: DataFrame, name: str = "payload") -> DataFrame:
+def record_json(columns: Sequence[str], relations: Sequence[str] = (), extra: Sequence[Column] = ()) -> Column:
+    """A record as JSON. Columns that hold JSON text themselves are nested, not quoted."""
+    nested = {c: F.try_parse_json(F.col(c)).alias(c) for c in relations}
+    fields = [nested.get(c, F.col(c)) for c in columns]
+    return F.to_json(F.struct(*fields, *extra), {"ignoreNullFields": "false"})
+
+
+def with_payload(df: DataFrame, name: str = "payload", relations: Sequence[str] = ()) -> DataFrame:
     """Keep the whole record as JSON next to its typed columns."""
-    return df.withColumn(name, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    return df.withColumn(name, record_json(df.columns, [c for c in relations if c in df.columns]))
