@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.operators.skew import join_group_values
+from comptoir.operators.skew import join_group_values, splittable_join
 from comptoir.session import cut_lineage
 
 MAX_INLINE_RULES = 200
@@ -96,11 +96,13 @@ def _fill_type(fact: DataFrame, found: Column, ref: str, into: str) -> DataFrame
 
 
 def not_in_target(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    return splittable_join(source, target.select(*keys).distinct(), keys, "left_anti")
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    """Rows whose key is among ``keys``, which are made distinct before they move."""
+    cols = [on] if isinstance(on, str) else list(on)
+    return splittable_join(df, keys.select(*cols).distinct(), cols, "left_semi")
 
 
 def with_usages(moves: DataFrame, locations: DataFrame) -> DataFrame:

@@ -175,7 +175,7 @@ def touched_parts(target: DataFrame, batch: DataFrame, part_col: str) -> DataFra
 def overwrite_parts(df: DataFrame, path: str, part_col: str) -> None:
     """Replace exactly the partitions that the frame has rows for."""
     (
-        df.repartition(F.col(part_col), F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+        df.hint("rebalance", part_col)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col).parquet(path)
     )

@@ -16,13 +16,31 @@ HOT_GROUPS = 1000
 SALTS = 64
 
 
-def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
+def row_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
     """Salt that spreads a group, also one of equal rows.
 
-    A hash of the whole row separates rows that differ; the partition number
-    separates copies. Both come out the same when a task is run again.
+    A hash of the columns separates rows that differ in them; the partition
+    number separates copies. Both come out the same when a task is run again.
     """
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(salts))
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id()), F.lit(salts))
+
+
+def splittable_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Many-to-one join whose skewed partitions AQE can split, also when ``right``
+    is a grouped or ranked frame.
+
+    AQE splits a partition only if both inputs of the join come straight out of
+    a shuffle. A right side already grouped by the key is not shuffled again, so
+    its frequent keys would each stay one task. Joining on a hash of the key as
+    well makes both sides shuffle right at the join; small sides are still
+    broadcast.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    keyed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})
+    cond = F.xxhash64(*on) == F.xxhash64(*[f"__r_{k}" for k in on])
+    for k in on:
+        cond = cond & (F.col(k) == F.col(f"__r_{k}"))
+    return left.join(keyed, cond, how).drop(*[f"__r_{k}" for k in on])
 
 
 def join_group_values(

@@ -58,7 +58,7 @@ def flag_duplicates(
     leaves the rest of a large group where it is.
     """
     ranked = [F.col(c).asc_nulls_last() for c in order]
-    salted = df.withColumn("__salt", row_salt(df, salts))
+    salted = df.withColumn("__salt", row_salt(order, salts))
     part = Window.partitionBy(*key, "__salt").orderBy(*ranked)
     step = salted.withColumn("__rn", F.row_number().over(part))
     step = step.withColumn("__part", F.when(F.col("__rn") == 1, F.lit(-1)).otherwise(F.col("__salt")))

@@ -12,6 +12,7 @@ from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
 from comptoir.operators.merge import upsert
+from comptoir.operators.skew import splittable_join
 from comptoir.schemas import (
     ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
 )
@@ -35,28 +36,26 @@ def stg_pos_line(
     recent = slice_last(
         lines.withColumn("created_at", parse_dt("create_date")), "created_at", as_of, hours=hours, inclusive=True
     ).withColumn("order_id", m2o_id("order_id"))
-    keys = recent.select("order_id").distinct()
+    keys = recent.select("order_id")
     paid = payments.select(
         m2o_id("pos_order_id").alias("order_id"), F.col("id").alias("payment_id"),
         m2o_name("payment_method_id").alias("method_name"), _money("amount").alias("amount"),
     )
     texts = payment_text(restrict_to(paid, keys, "order_id"))
     names = restrict_to(orders.select(F.col("id").alias("order_id"), F.col("name").alias("order_name")), keys, "order_id")
-    new = (
-        recent.join(texts, "order_id", "left").join(names, "order_id", "left")
-        .select(
-            F.col("id").alias("line_id"),
-            "order_id",
-            m2o_id("product_id").alias("product_id"),
-            _money("qty").alias("qty"),
-            _money("price_unit").alias("price_unit"),
-            _money("discount").alias("discount_percent"),
-            _money("price_subtotal_incl").alias("subtotal_incl_tax"),
-            F.coalesce("payment_text", F.lit(UNPAID)).alias("payment_method_name"),
-            "created_at",
-            F.coalesce("order_name", F.lit(UNKNOWN_ORDER)).alias("pos_reference"),
-            as_ts(as_of).alias("ingested_at"),
-        )
+    per_order = names.join(texts, "order_id", "full")
+    new = splittable_join(recent, per_order, "order_id", "left").select(
+        F.col("id").alias("line_id"),
+        "order_id",
+        m2o_id("product_id").alias("product_id"),
+        _money("qty").alias("qty"),
+        _money("price_unit").alias("price_unit"),
+        _money("discount").alias("discount_percent"),
+        _money("price_subtotal_incl").alias("subtotal_incl_tax"),
+        F.coalesce("payment_text", F.lit(UNPAID)).alias("payment_method_name"),
+        "created_at",
+        F.coalesce("order_name", F.lit(UNKNOWN_ORDER)).alias("pos_reference"),
+        as_ts(as_of).alias("ingested_at"),
     )
     if target is None:
         return new
@@ -98,7 +97,7 @@ def pos_hist(
         lines.withColumns({"created_at": parse_dt("create_date"), "order_id": m2o_id("order_id")}),
         "created_at", from_, to,
     ).filter(F.col("order_id").isNotNull())
-    keys = in_range.select("order_id").distinct()
+    keys = in_range.select("order_id")
     heads = restrict_to(with_payload(orders, relations=ORDER_RELATIONS).withColumn("order_id", F.col("id")), keys, "order_id")
     reference = F.coalesce(clean_false("pos_reference"), clean_false("name"))
     order_rows = heads.select(
@@ -133,7 +132,8 @@ def pos_hist(
     )
     summary = payment_summary(paid.select("order_id", "method_id", "method_name", _money("paid_amount").alias("amount")))
     refs = heads.select("order_id", reference.alias("pos_reference"))
-    line_rows = in_range.join(summary, "order_id", "left").join(refs, "order_id", "left").select(
+    per_order = refs.join(summary, "order_id", "full")
+    line_rows = splittable_join(in_range, per_order, "order_id", "left").select(
         F.col("id").alias("line_id"),
         "order_id",
         m2o_id("product_id").alias("product_id"),

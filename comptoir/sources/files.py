@@ -75,9 +75,8 @@ def write_partitioned(
 ) -> None:
     """Table split by day or by month; an overwrite touches only the parts it brings.
 
-    Rows are first spread by partition value plus a few salts, so that a month
-    is neither one writer nor thousands of tiny files, and a day holding much
-    of the data is still written by several tasks.
+    Rows are rebalanced by partition value: AQE joins small partitions into one
+    file and splits large ones, so a day holding much of the data has several writers.
     """
     if grain not in ("day", "month"):
         raise ValueError("grain must be 'day' or 'month'")
@@ -86,7 +85,7 @@ def write_partitioned(
         part = "part_month"
         df = df.withColumn(part, month_of(F.col(day_col)))
     (
-        df.repartition(part, F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(8)))
+        df.hint("rebalance", part)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part)
@@ -115,15 +114,17 @@ def write_audit(df: DataFrame, path: str, ts: str, key: str) -> None:
     )
 
 
-def write_report(df: DataFrame, path: str, day_col: str, fmt: str = "parquet") -> None:
-    """Put the days of a report in place of what was stored for them."""
+def write_report(df: DataFrame, path: str, day_col: str, fmt: str = "parquet", grain: str = "month") -> None:
+    """Put a report in place of what was stored for its months, or for its days."""
+    part = f"report_{grain}"
+    day = F.col(day_col).cast("date")
     (
-        df.withColumn("report_day", F.col(day_col).cast("date"))
-        .repartition("report_day")
+        df.withColumn(part, month_of(day) if grain == "month" else day)
+        .hint("rebalance", part)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
-        .partitionBy("report_day")
+        .partitionBy(part)
         .format(fmt)
         .save(path)
     )
