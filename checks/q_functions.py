@@ -252,7 +252,7 @@ def overflow_guard(t):
 
 @query("fn_24_surrogate_key", """
     SELECT l_orderkey, l_linenumber, l_partkey,
-           sha256(CAST(l_orderkey AS STRING) || '|' || CAST(l_linenumber AS STRING) || '|'
+           md5(CAST(l_orderkey AS STRING) || '|' || CAST(l_linenumber AS STRING) || '|'
                   || CASE WHEN l_returnflag = 'N' THEN '\\N' ELSE l_returnflag END) AS row_key
     FROM lineitem""")
 def surrogate(t):

@@ -74,9 +74,12 @@ def dup_key(record_id: Column | str, ts: Column | str, qty: Column | str) -> Col
 
 
 def surrogate_key(*natural: Column | str) -> Column:
-    """Key derived from the natural key, so that a recomputed row keeps it."""
+    """Key derived from the natural key, so that a recomputed row keeps it.
+
+    128 bits, as a random UUID would have, and half the size of a longer digest.
+    """
     parts = [F.coalesce(_col(c).cast("string"), F.lit("\\N")) for c in natural]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return F.md5(F.concat_ws("|", *parts))
 
 
 def signed_qty(side: Column | str, qty: Column | str, internal: Column | str) -> Column:

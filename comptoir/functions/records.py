@@ -14,11 +14,12 @@ def _col(c: Column | str) -> Column:
 
 
 def m2o_id(c: Column | str) -> Column:
-    """Id of ``[id, "name"]`` or of a bare number, NULL for ``false``."""
-    c = _col(c)
-    return F.coalesce(
-        F.get_json_object(c, "$[0]").try_cast("bigint"), c.try_cast("bigint")
-    )
+    """Id of ``[id, "name"]`` or of a bare number, NULL for ``false``.
+
+    The id stands before the first comma, so the text need not be parsed as JSON.
+    """
+    head = F.substring_index(_col(c), ",", 1)
+    return F.translate(head, "[] ", "").try_cast("bigint")
 
 
 def m2o_name(c: Column | str) -> Column:

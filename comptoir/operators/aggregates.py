@@ -56,11 +56,11 @@ def pay_by_method(
 def movement_io(moves: DataFrame, keys: Sequence[str] = ("location_id",)) -> DataFrame:
     """In, out and net quantity of own articles."""
     size = F.abs(F.col("qty"))
-    return moves.filter(valid_barcode("barcode")).groupBy(*keys).agg(
+    both = moves.filter(valid_barcode("barcode")).groupBy(*keys).agg(
         F.sum(F.when(F.col("side") == TARGET_SIDE, size).otherwise(0)).alias("in_qty"),
         F.sum(F.when(F.col("side") == SOURCE_SIDE, size).otherwise(0)).alias("out_qty"),
-        F.sum(movement_qty("side", "qty")).alias("net_movement"),
     )
+    return both.withColumn("net_movement", F.col("in_qty") - F.col("out_qty"))
 
 
 def movement_by_location(moves: DataFrame) -> DataFrame:
@@ -70,22 +70,33 @@ def movement_by_location(moves: DataFrame) -> DataFrame:
     ).agg(F.sum(movement_qty("side", "qty")).alias("qty_final"))
 
 
+def age_bucket(age: Column, close_gap: bool = False) -> Column:
+    """Name of the bucket an age falls in. An age of exactly 360 days is in none
+    unless ``close_gap``; a missing age never is."""
+    named = []
+    for name, (low, high) in AGE_BUCKETS.items():
+        inside = age < high if high is not None else (age >= low if close_gap else age > low)
+        if low is not None and high is not None:
+            inside = inside & (age >= low)
+        named.append(F.when(inside, F.lit(name)))
+    return F.coalesce(*named)
+
+
+def by_bucket(df: DataFrame, keys: Sequence[str], bucket: Column | str, qty: str) -> DataFrame:
+    """One sum per age bucket; a key without any bucket keeps its row."""
+    bucket = F.col(bucket) if isinstance(bucket, str) else bucket
+    return df.groupBy(*keys).agg(
+        *[F.sum(F.when(bucket == name, F.col(qty)).otherwise(0)).alias(name) for name in AGE_BUCKETS]
+    )
+
+
 def stock_age(
     opening: DataFrame, keys: Sequence[str], age: Column | str = "age_days", qty: str = "opening_qty",
     close_gap: bool = False,
 ) -> DataFrame:
-    """Quantity per age bucket. An age of exactly 360 days is in no bucket unless
-    ``close_gap``; a missing age never is."""
+    """Quantity per age bucket."""
     age = F.col(age) if isinstance(age, str) else age
-    sums = []
-    for name, (low, high) in AGE_BUCKETS.items():
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & ((age > low) if high is None and not close_gap else (age >= low))
-        if high is not None:
-            inside = inside & (age < high)
-        sums.append(F.sum(F.when(inside, F.col(qty)).otherwise(0)).alias(name))
-    return opening.groupBy(*keys).agg(*sums)
+    return by_bucket(opening.withColumn("__bucket", age_bucket(age, close_gap)), keys, "__bucket", qty)
 
 
 def payment_text(

@@ -14,7 +14,7 @@ from comptoir.functions.measures import (
 from comptoir.functions.names import shop_key, valid_barcode
 from comptoir.functions.records import json_path
 from comptoir.operators.aggregates import (
-    CASH_METHOD, PAY_METHODS, movement_by_location, movement_io, pay_by_method, stock_age, sum_by,
+    CASH_METHOD, PAY_METHODS, age_bucket, by_bucket, movement_by_location, movement_io, pay_by_method, sum_by,
 )
 from comptoir.operators.filters import SITUATION_LOCATIONS, current, locations_in, nonzero, on_days, only_exceptions
 from comptoir.operators.joins import attach_order, join_day_shop, join_valid, left_dim, with_dims
@@ -150,17 +150,18 @@ def stock_age_report(
     openings: DataFrame, products: DataFrame, locations: DataFrame, from_day: date | str, as_of: date | str,
     to_day: date | str | None = None, close_gap: bool = False,
 ) -> DataFrame:
-    """Stock per age bucket and location, by how long it has been there on ``as_of``."""
+    """Stock per age bucket and location, by how long it has been there on ``as_of``.
+
+    Quantities are summed per location id and bucket first: one sum per row, and
+    few rows to name.
+    """
     held = on_days(openings, "opening_date", from_day, to_day if to_day is not None else from_day)
     known = held.join(products.select("product_id"), "product_id", "left_semi").withColumn(
-        "age_days", age_days("in_date", as_of)
-    )
-    per_id = stock_age(known, ["opening_date", "location_id"], close_gap=close_gap)
-    buckets = [c for c in per_id.columns if c.startswith("stock_")]
-    named = per_id.join(locations.select("location_id", "complete_name"), "location_id")
-    return named.groupBy("opening_date", F.col("complete_name").alias("location")).agg(
-        *[F.sum(b).alias(b) for b in buckets]
+        "bucket", age_bucket(age_days("in_date", as_of), close_gap)
     )
+    summed = sum_by(known, ["opening_date", "location_id", "bucket"], "opening_qty", "qty")
+    named = summed.join(locations.select("location_id", F.col("complete_name").alias("location")), "location_id")
+    return by_bucket(named, ["opening_date", "location"], "bucket", "qty")
 
 
 def detailed_revenue(lines: DataFrame, orders: DataFrame, from_day: date | str, to_day: date | str | None = None) -> DataFrame:

@@ -63,10 +63,15 @@ def first_available(
 
 
 def record_json(columns: Sequence[str], relations: Sequence[str] = (), extra: Sequence[Column] = ()) -> Column:
-    """A record as JSON. Columns that hold JSON text themselves are nested, not quoted."""
-    nested = {c: F.try_parse_json(F.col(c)).alias(c) for c in relations}
-    fields = [nested.get(c, F.col(c)) for c in columns]
-    return F.to_json(F.struct(*fields, *extra), {"ignoreNullFields": "false"})
+    """A record as JSON. Relations, which are JSON text already, are set in as they
+    are: neither quoted nor parsed again."""
+    plain = [F.col(c) for c in columns if c not in relations]
+    rest = F.to_json(F.struct(*plain, *extra), {"ignoreNullFields": "false"})
+    nested = [
+        F.concat(F.lit(f'"{c}":'), F.when(F.trim(c) != "", F.col(c)).otherwise("null"), F.lit(","))
+        for c in relations
+    ]
+    return F.concat(F.lit("{"), *nested, F.substring(rest, 2, 1 << 30)) if nested else rest
 
 
 def with_payload(df: DataFrame, name: str = "payload", relations: Sequence[str] = ()) -> DataFrame:
