@@ -202,23 +202,31 @@ PAID = f"""paid AS (SELECT l_orderkey AS order_id, l_orderkey * 8 + l_linenumber
       CAST(l_extendedprice AS DECIMAL(16,4)) AS amount FROM lineitem)"""
 
 
-@query("ds_11_pos_line_staging", f"""
-    WITH {PAID}, texts AS (SELECT order_id, string_agg(part, ' | ' ORDER BY id, part) AS text FROM (
-         SELECT order_id, id, method_name || ': ' || {PLAIN.format(c='amount')} AS part FROM paid) WHERE part IS NOT NULL GROUP BY 1)
+@query("ds_11_pos_line_staging", """
     SELECT l_orderkey * 8 + l_linenumber AS line_id, l_orderkey + CASE WHEN l_linenumber = 7 THEN 100000000000 ELSE 0 END AS order_id,
            l_partkey AS product_id, l_quantity AS qty, l_extendedprice AS price_unit, CAST(l_shipdate AS STRING) AS created_at,
-           CASE WHEN l_linenumber = 7 THEN 'NON PAYÉ' ELSE coalesce(text, 'NON PAYÉ') END AS payment_method_name,
            CASE WHEN l_linenumber = 7 THEN 'INCONNU' ELSE 'Order ' || CAST(l_orderkey AS STRING) END AS pos_reference
-    FROM lineitem LEFT JOIN texts ON texts.order_id = l_orderkey WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'""")
+    FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'""")
 def pos_line_staging(t):
-    payments = exact_payments(t)
-    hours = int((datetime(2002, 1, 1) - datetime(1996, 1, 1)).total_seconds() // 3600)
-    staged = pos.stg_pos_line(t.order_line_raw, t.order_raw, payments, AS_OF, hours=hours)
-    return staged.select(
-        "line_id", "order_id", "product_id", "qty", "price_unit", "created_at", "payment_method_name", "pos_reference"
+    return staged_lines(t)["lines"].select(
+        "line_id", "order_id", "product_id", "qty", "price_unit", "created_at", "pos_reference"
     )
 
 
+@query("ds_11_pos_payment_texts", f"""
+    WITH {PAID}
+    SELECT order_id, 0 AS part, string_agg(part, ' | ' ORDER BY id, part) AS payment_text FROM (
+         SELECT order_id, id, method_name || ': ' || {PLAIN.format(c='amount')} AS part FROM paid) WHERE part IS NOT NULL
+      AND order_id IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <> 7 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00') GROUP BY 1""")
+def pos_payment_texts(t):
+    return staged_lines(t)["payment_texts"]
+
+
+def staged_lines(t):
+    hours = int((datetime(2002, 1, 1) - datetime(1996, 1, 1)).total_seconds() // 3600)
+    return pos.stg_pos_line(t.order_line_raw, t.order_raw, exact_payments(t), AS_OF, hours=hours)
+
+
 def exact_payments(t):
     """The payments with the line price as amount."""
     price = F.when(F.abs("amount") >= 1e9, F.col("amount") / 1e9).otherwise(F.col("amount"))

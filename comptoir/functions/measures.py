@@ -57,7 +57,8 @@ def payment_dt(
 
 def plain_number(c: Column | str) -> Column:
     """A quantity as text with at least one decimal and no exponent."""
-    return F.regexp_replace(_col(c).cast("decimal(20,4)").cast("string"), r"0{1,3}$", "")
+    digits = F.rtrim(_col(c).cast("decimal(20,4)").cast("string"), F.lit("0"))
+    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
 
 
 def dup_key(record_id: Column | str, ts: Column | str, qty: Column | str) -> Column:

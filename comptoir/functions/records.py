@@ -23,8 +23,15 @@ def m2o_id(c: Column | str) -> Column:
 
 
 def m2o_name(c: Column | str) -> Column:
-    """Display name of ``[id, "name"]``, else NULL."""
-    return F.get_json_object(_col(c), "$[1]")
+    """Display name of ``[id, "name"]``, else NULL.
+
+    A name without escapes is cut out of the text; JSON is parsed only for the rest.
+    """
+    c = _col(c)
+    quote = F.instr(c, '"')
+    name = F.substr(c, quote + 1, F.length(c) - quote - 2)
+    is_plain = c.startswith("[") & c.endswith('"]') & ~c.contains("\\") & ~name.contains('"')
+    return F.when(is_plain, name).when(c.startswith("["), F.get_json_object(c, "$[1]"))
 
 
 def clean_false(c: Column | str) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comptoir.functions.measures import (
@@ -36,6 +36,7 @@ DEFAULT_START = "2000-01-01 00:00:00"
 # -------------------------------------------------------------------------
 
 TEXT_CHUNK = 10_000
+TEXT_PART = 100_000
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], measure: str, alias: str) -> DataFrame:
@@ -101,24 +102,31 @@ def stock_age(
 
 def payment_text(
     payments: DataFrame, order: str = "order_id", seq: str = "payment_id",
-    name: str = "method_name", amount: str = "amount", chunk: int = TEXT_CHUNK,
+    name: str = "method_name", amount: str = "amount", chunk: int = TEXT_CHUNK, part_size: int = TEXT_PART,
 ) -> DataFrame:
     """``name: amount`` of an order's payments in arrival order, set off by bars.
 
-    Texts are first built for runs of ``chunk`` sequence numbers, so that the
-    collecting and sorting of an order with very many payments is spread out.
+    An order has one row, with ``part`` 0, up to ``part_size`` payments; a larger
+    one goes on in further parts, so that no single value grows with the data.
+    Texts are first built for runs of ``chunk`` sequence numbers, which spreads
+    the collecting and sorting of an order with very many payments.
     """
-    part = F.concat(F.col(name), F.lit(": "), plain_number(amount))
+    piece = F.concat(F.col(name), F.lit(": "), plain_number(amount))
     runs = (
-        payments.filter(part.isNotNull())
+        payments.filter(piece.isNotNull())
         .groupBy(order, F.floor(F.col(seq) / chunk).alias("run"))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), part.alias("part")))).alias("parts"))
-        .select(order, "run", F.array_join(F.col("parts.part"), " | ").alias("text"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), piece.alias("piece")))).alias("pieces"),
+        )
+        .select(order, "run", F.size("pieces").alias("n"), F.array_join(F.col("pieces.piece"), " | ").alias("text"))
     )
+    earlier = Window.partitionBy(order).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     return (
-        runs.groupBy(order)
+        runs.withColumn("part", F.floor(before / part_size).cast("int"))
+        .groupBy(order, "part")
         .agg(F.array_sort(F.collect_list(F.struct("run", "text"))).alias("runs"))
-        .select(order, F.array_join(F.col("runs.text"), " | ").alias("payment_text"))
+        .select(order, "part", F.array_join(F.col("runs.text"), " | ").alias("payment_text"))
     )
 
 

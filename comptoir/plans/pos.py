@@ -30,9 +30,13 @@ def _money(c: str) -> Column:
 
 def stg_pos_line(
     lines: DataFrame, orders: DataFrame, payments: DataFrame, as_of: datetime | str,
-    target: DataFrame | None = None, hours: int = 24,
-) -> DataFrame:
-    """Lines of the last hours with order name and payment text."""
+    targets: dict[str, DataFrame] | None = None, hours: int = 24,
+) -> dict[str, DataFrame]:
+    """Lines of the last hours, and per order its name and payment text.
+
+    The texts are kept once per order: on every line, the text of an order grows
+    with the square of its size. ``with_payment_text`` puts the two together.
+    """
     recent = slice_last(
         lines.withColumn("created_at", parse_dt("create_date")), "created_at", as_of, hours=hours, inclusive=True
     ).withColumn("order_id", m2o_id("order_id"))
@@ -42,9 +46,8 @@ def stg_pos_line(
         m2o_name("payment_method_id").alias("method_name"), _money("amount").alias("amount"),
     )
     texts = payment_text(restrict_to(paid, keys, "order_id"))
-    names = restrict_to(orders.select(F.col("id").alias("order_id"), F.col("name").alias("order_name")), keys, "order_id")
-    per_order = names.join(texts, "order_id", "full")
-    new = splittable_join(recent, per_order, "order_id", "left").select(
+    named = orders.select(F.col("id").alias("order_id"), F.col("name").alias("order_name"))
+    new_lines = splittable_join(recent, named, "order_id", "left").select(
         F.col("id").alias("line_id"),
         "order_id",
         m2o_id("product_id").alias("product_id"),
@@ -52,15 +55,27 @@ def stg_pos_line(
         _money("price_unit").alias("price_unit"),
         _money("discount").alias("discount_percent"),
         _money("price_subtotal_incl").alias("subtotal_incl_tax"),
-        F.coalesce("payment_text", F.lit(UNPAID)).alias("payment_method_name"),
         "created_at",
         F.coalesce("order_name", F.lit(UNKNOWN_ORDER)).alias("pos_reference"),
         as_ts(as_of).alias("ingested_at"),
     )
-    if target is None:
-        return new
-    changing = ["qty", "price_unit", "payment_method_name", "pos_reference", "ingested_at"]
-    return upsert(target, new, ["line_id", "created_at"], update_cols=changing)
+    if not targets:
+        return {"lines": new_lines, "payment_texts": texts}
+    changing = ["qty", "price_unit", "pos_reference", "ingested_at"]
+    return {
+        "lines": upsert(targets["lines"], new_lines, ["line_id", "created_at"], update_cols=changing),
+        "payment_texts": upsert(targets["payment_texts"], texts, ["order_id", "part"]),
+    }
+
+
+def with_payment_text(lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """Lines with the payment text of their order; meant for orders of ordinary size."""
+    whole = texts.groupBy("order_id").agg(
+        F.array_sort(F.collect_list(F.struct("part", "payment_text"))).alias("parts")
+    ).select("order_id", F.array_join(F.col("parts.payment_text"), " | ").alias("payment_text"))
+    return splittable_join(lines, whole, "order_id", "left").withColumn(
+        "payment_method_name", F.coalesce("payment_text", F.lit(UNPAID))
+    ).drop("payment_text")
 
 
 def _order_columns(order_id: str, strict: bool, as_of: datetime | str) -> list[Column]:

@@ -13,6 +13,7 @@ from comptoir.operators import aggregates as agg
 from comptoir.operators import joins as jn
 from comptoir.operators import windows as win
 from comptoir.operators.skew import join_group_values, row_salt, splittable_join
+from comptoir.plans import pos
 from comptoir.sources import slices
 from tests.conftest import SF, plan, rows
 
@@ -104,11 +105,21 @@ def test_one_first_row_per_key_among_copies(spark):
     assert flagged.count() == 3000
 
 
-def test_payment_text_in_runs(spark):
+def test_payment_text_in_runs_and_parts(spark):
     pays = spark.range(50).selectExpr("1L AS order_id", "id AS payment_id", "concat('m', id) AS method_name", "cast(id AS decimal(16,4)) AS amount")
-    whole = agg.payment_text(pays).first()["payment_text"]
-    assert whole == " | ".join(f"m{i}: {i}.0" for i in range(50))
-    assert agg.payment_text(pays, chunk=7).first()["payment_text"] == whole
+    whole = " | ".join(f"m{i}: {i}.0" for i in range(50))
+    assert rows(agg.payment_text(pays)) == [(1, 0, whole)]
+    assert rows(agg.payment_text(pays, chunk=7)) == [(1, 0, whole)]
+    parts = rows(agg.payment_text(pays, chunk=7, part_size=10))
+    assert [p[1] for p in parts] == [0, 1, 2, 3, 4]
+    assert " | ".join(p[2] for p in parts) == whole
+
+
+def test_lines_with_payment_text(spark):
+    lines = spark.createDataFrame([(1, 10), (2, 10), (3, 11)], "line_id int, order_id int")
+    texts = spark.createDataFrame([(10, 1, "b: 2.0"), (10, 0, "a: 1.0")], "order_id int, part int, payment_text string")
+    got = pos.with_payment_text(lines, texts).select("line_id", "payment_method_name")
+    assert rows(got) == [(1, "a: 1.0 | b: 2.0"), (2, "a: 1.0 | b: 2.0"), (3, "NON PAYÉ")]
 
 
 def test_numbering_a_period_equals_one_global_numbering(spark):
