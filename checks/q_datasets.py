@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.q_relational import RULES_SQL, WHOLE, rules
 from checks.q_sources import EXTRACT_SQL, extract_columns
 from checks.registry import query
+from checks.standins import PAYMENT_ID
 from comptoir.functions.records import m2o_id, parse_dt
 from comptoir.operators.windows import dedup_latest
 from comptoir.plans import dimensions as dim
@@ -197,7 +198,7 @@ def ledger(t):
 PLAIN = "regexp_replace(CAST(CAST({c} AS DECIMAL(20,4)) AS STRING), '0{{{{1,3}}}}$', '')"
 
 
-PAID = f"""paid AS (SELECT l_orderkey AS order_id, l_orderkey * 8 + l_linenumber AS id, CAST(l_linenumber AS BIGINT) AS method_id,
+PAID = f"""paid AS (SELECT l_orderkey AS order_id, {PAYMENT_ID} AS id, CAST(l_linenumber AS BIGINT) AS method_id,
       CASE WHEN l_linenumber <> 6 THEN 'Pay ' || CAST(l_linenumber AS STRING) END AS method_name, l_suppkey,
       CAST(l_extendedprice AS DECIMAL(16,4)) AS amount FROM lineitem)"""
 
@@ -269,7 +270,7 @@ def pos_history_lines(t):
 
 
 @query("ds_12_pos_history_payments", f"""
-    WITH {HIST_KEYS} SELECT l_orderkey * 8 + l_linenumber AS payment_id, l_partkey, CAST(l_linenumber AS BIGINT) AS method_id,
+    WITH {HIST_KEYS} SELECT {PAYMENT_ID} AS payment_id, l_partkey, CAST(l_linenumber AS BIGINT) AS method_id,
            CAST(l_shipdate AS STRING) AS payment_ts, l_extendedprice * 1000000000.0 < 1e12 OR l_suppkey <> 3 AS fits
     FROM lineitem WHERE l_orderkey IN (SELECT k FROM keys)""".replace("l_partkey, ", ""))
 def pos_history_payments(t):
@@ -304,8 +305,8 @@ def pos_line_fact(t):
     )
 
 
-@query("ds_13_pos_payment_fact", """
-    SELECT l_orderkey * 8 + l_linenumber AS payment_id, l_orderkey AS order_id, c_nationkey AS config_id, CAST(l_linenumber AS BIGINT) AS method_id,
+@query("ds_13_pos_payment_fact", f"""
+    SELECT {PAYMENT_ID} AS payment_id, l_orderkey AS order_id, c_nationkey AS config_id, CAST(l_linenumber AS BIGINT) AS method_id,
            CAST(CASE WHEN l_returnflag = 'R' THEN date_trunc('day', o_orderdate) ELSE l_shipdate END AS STRING) AS payment_ts, l_extendedprice AS amount,
            l_returnflag = 'A' AS is_change
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'F'""")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.q_sources import NAMES, NAMES_SQL
 from checks.registry import query
+from checks.standins import PAYMENT_ID
 from comptoir.functions.measures import age_days
 from comptoir.functions.records import m2o_id, m2o_name
 from comptoir.operators import aggregates as agg
@@ -283,13 +284,13 @@ def typed_payments(t):
     named = F.concat(F.lit("["), number, F.lit(',"Pay '), number, F.lit('"]'))
     method = F.when(F.col("l_linenumber") == 6, "[6]").otherwise(named)
     return t.lineitem.select(
-        F.col("l_orderkey").alias("order_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("payment_id"),
+        F.col("l_orderkey").alias("order_id"), F.expr(PAYMENT_ID).alias("payment_id"),
         m2o_id(method).alias("method_id"), m2o_name(method).alias("method_name"),
         F.col("l_extendedprice").cast("decimal(16,4)").alias("amount"),
     )
 
 
-PAY_ROWS = """(SELECT l_orderkey AS order_id, l_orderkey * 8 + l_linenumber AS seq, CAST(l_linenumber AS BIGINT) AS method_id,
+PAY_ROWS = f"""(SELECT l_orderkey AS order_id, {PAYMENT_ID} AS seq, CAST(l_linenumber AS BIGINT) AS method_id,
     CASE WHEN l_linenumber <> 6 THEN 'Pay ' || CAST(l_linenumber AS STRING) END AS method_name,
     CAST(l_extendedprice AS DECIMAL(16,4)) AS amount FROM lineitem)"""
 

@@ -23,6 +23,11 @@ def _m2o(key: str, name: str) -> str:
 
 
 LINE_ID = "l_orderkey * 8 + l_linenumber"
+# payments are numbered in time, so those of one order are spread out
+PAYMENT_ID = (
+    "((year(l_shipdate) * 400 + month(l_shipdate) * 32 + day(l_shipdate)) * CAST(10000 AS BIGINT)"
+    " + (l_orderkey * 8 + l_linenumber) % 10000)"
+)
 REF = "l_returnflag || l_linestatus || '/' || CAST(l_orderkey AS STRING)"
 SHIP_TEXT = "CAST(l_shipdate AS STRING)"
 
@@ -122,7 +127,7 @@ VIEWS: dict[str, str] = {
                l_extendedprice * 1.25 AS price_subtotal_incl, {SHIP_TEXT} AS create_date, {SHIP_TEXT} AS write_date
         FROM {{lineitem}}""",
     "payment_raw": f"""
-        SELECT {LINE_ID} AS id, {_m2o('l_orderkey', "'O'")} AS pos_order_id,
+        SELECT {PAYMENT_ID} AS id, {_m2o('l_orderkey', "'O'")} AS pos_order_id,
                CASE WHEN l_linenumber = 6 THEN '[6]' ELSE
                  {_m2o('l_linenumber', "'Pay ' || CAST(l_linenumber AS STRING)")} END AS payment_method_id,
                l_extendedprice * CASE WHEN l_suppkey = 3 THEN 1000000000.0 ELSE 1.0 END AS amount,
