@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The white space of the Unicode property, as a pattern's \s has it.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(f"[{_SPACE}]+")
 

@@ -45,14 +45,14 @@ WITH body AS (
 ), covered AS (
     SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id
 ), lines AS (
-    SELECT doc_id, list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM body
+    SELECT doc_id, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM body
 ), counts AS (
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
            CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
            CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
            CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-           CAST(len(list_filter(w, x -> lower(x) IN ({stops}))) AS BIGINT) AS n_stop_words
+           CAST(len(list_filter(w, lambda x: lower(x) IN ({stops}))) AS BIGINT) AS n_stop_words
     FROM body JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
 ), judged AS (
     SELECT *, {' OR '.join(broken[n] for n in quality_rules.BASE)} AS base_failed,
