@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import bpe, quality_rules
+from comptoir.llm import bpe, chat, packing, quality_rules, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -62,7 +70,45 @@ WITH body AS (
 SELECT {columns} FROM judged"""
 
 
+def conversation_log(rows: DataFrame) -> DataFrame:
+    """Each row as the events that a chat server would log: a start, then its text in two deltas.
+
+    Rows that share conversation and turn stand in the order of a hash of role and text; equal rows are
+    counted first and written as often as they occur.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    turns = rows.groupBy("conv_id", "turn", role.alias("role"), text.alias("text")).count().select(
+        "conv_id", "turn", F.xxhash64("role", "text").alias("tie"), "role", "text",
+        F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("copy"),
+    )
+    half = (F.length("text") / 2).cast("int")
+    event = lambda seq, kind, part: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), part.alias("text"))
+    events = F.array(
+        event(0, "start", F.lit("")), event(1, "delta", F.substring("text", F.lit(1), half)), event(2, "delta", F.substring("text", half + 1, F.length("text"))),
+    )
+    return turns.select("conv_id", "turn", "tie", "copy", "role", F.inline(events))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = f"{chat.END}{chat.START}assistant ok"
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(control).alias("text")) for i, r in enumerate(("user", "assistant"))])),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    order = ("turn", "tie", "copy")
+    rendered = chat.render(chat.fold_events(conversation_log(rows), message=order))
+    return chat.read_back(rendered, order=order)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op4_bpe_round_trip": (op4_bpe_round_trip, None),
     "op5_quality_rules": (op5_quality_rules, _op5_sql()),
+    "op6_chat_format": (op6_chat_format, None),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
