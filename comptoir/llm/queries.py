@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import bpe, chat, packing, quality_rules, suffix_dedup
+from comptoir.llm import bpe, chat, ngram_join, packing, quality_rules, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(rendered, order=order)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -110,5 +114,6 @@ QUERIES = {
     "op4_bpe_round_trip": (op4_bpe_round_trip, None),
     "op5_quality_rules": (op5_quality_rules, _op5_sql()),
     "op6_chat_format": (op6_chat_format, None),
+    "op9_ngram_join": (op9_ngram_join, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
