@@ -18,15 +18,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comptoir.llm.arrays import arrow_map
+
 # The white space of the Unicode property, as a pattern's \s has it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(f"[{_SPACE}]+")
 
-KEPT_WORDS = 200_000
+KEPT_WORDS = 500_000
 """Encoded words that a worker keeps from block to block (memory only; results don't depend on it)."""
 _KEPT_CHARS = 48
-_BLOCK_CHARS = 2_000_000
+_BLOCK_CHARS = 6_000_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -58,13 +60,15 @@ class Vocabulary:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             if a in ids and b in ids and a + b in ids:
                 self.ranks.setdefault(ids[a] * self.size + ids[b], (rank, ids[a + b]))
+        self.ranked = np.array(sorted(self.ranks), np.int64)
         alphabet = _byte_alphabet()
         self.inner = [ids[c] for c in alphabet]
         self.last = [ids[c + self.end] for c in alphabet]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE)
         self.split = regex.compile(pattern)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by chunk without white space
+        self.coded: dict[str, bytes] = {}  # by word
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk without white space."""
@@ -90,12 +94,7 @@ class Vocabulary:
                 after[b - 1] = -1
         if n:
             after[n - 1] = -1
-        places: dict[int, list[int]] = {}
-        for i, nxt in enumerate(after):
-            if nxt >= 0:
-                pair = symbols[i] * size + symbols[nxt]
-                if pair in ranks:
-                    places.setdefault(pair, []).append(i)
+        places = self._places(np.array(symbols, np.int64), np.array(after, np.int64))
         active = [(ranks[p][0], p) for p in places]
         heapq.heapify(active)
         while active:
@@ -114,27 +113,49 @@ class Vocabulary:
                 h = before[i]
                 if k >= 0:
                     before[k] = i
-                    self._note(places, active, joined * size + symbols[k], i)
+                    near = joined * size + symbols[k]
+                    if near in places:
+                        places[near].append(i)
+                    elif near in ranks:
+                        places[near] = [i]
+                        heapq.heappush(active, (ranks[near][0], near))
                 if h >= 0:
-                    self._note(places, active, symbols[h] * size + joined, h)
+                    near = symbols[h] * size + joined
+                    if near in places:
+                        places[near].append(h)
+                    elif near in ranks:
+                        places[near] = [h]
+                        heapq.heappush(active, (ranks[near][0], near))
         ends = [*begins[1:], n]
         return [[s for s in symbols[b:e] if s >= 0] for b, e in zip(begins, ends)]
 
-    def _note(self, places: dict[int, list[int]], active: list, pair: int, at: int) -> None:
-        if pair in self.ranks:
-            if pair not in places:
-                places[pair] = []
-                heapq.heappush(active, (self.ranks[pair][0], pair))
-            places[pair].append(at)
+    def _places(self, symbols: np.ndarray, after: np.ndarray) -> dict[int, list[int]]:
+        """All places of every pair that has a rank."""
+        at = np.flatnonzero(after >= 0)
+        pairs = symbols[at] * self.size + symbols[at + 1]
+        ranked = self.ranked[np.minimum(np.searchsorted(self.ranked, pairs), len(self.ranked) - 1)] == pairs
+        at, pairs = at[ranked], pairs[ranked]
+        order = np.argsort(pairs, kind="stable")
+        at, pairs = at[order], pairs[order]
+        cuts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else []
+        return {int(pairs[a]): at[a:b].tolist() for a, b in zip(cuts, [*cuts[1:], len(pairs)])}
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Encode chunks not yet known."""
+        """Encode chunks not yet known, and the words among them not yet seen."""
         new = list(chunks)
         split = [self.pieces(c) for c in new]
-        distinct = list(dict.fromkeys(p for ps in split for p in ps))
-        coded = dict(zip(distinct, self.encode_words(distinct)))
+        coded = self.coded
+        distinct = list({p for ps in split for p in ps}.difference(coded))
+        for word, ids in zip(distinct, self.encode_words(distinct)):
+            coded[word] = np.array(ids, "<u4").tobytes()
         for chunk, ps in zip(new, split):
-            self.known[chunk] = np.array([i for p in ps for i in coded[p]], "<u4").tobytes()
+            self.known[chunk] = coded[ps[0]] if len(ps) == 1 else b"".join([coded[p] for p in ps])
+        if len(coded) > KEPT_WORDS:
+            coded.clear()
+        else:
+            for word in distinct:
+                if len(word) > _KEPT_CHARS:
+                    del coded[word]
 
     def _chunks(self, text: str) -> list[str]:
         return text.split() if not _ODD_SPACE.search(text) else [c for c in _SPACES.split(text) if c]
@@ -150,7 +171,7 @@ class Vocabulary:
         for ps in chunked:
             for mark, cs in ps:
                 if mark is None:
-                    new.update(set(cs) - self.known.keys())
+                    new.update(set(cs).difference(self.known))
         self.learn(new)
         known = self.known
         for ps in chunked:
@@ -206,7 +227,7 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
 
     source = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return source.transform(arrow_map, run, f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
@@ -221,4 +242,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> D
 
     source = df.select(F.col(key).alias("key"), F.coalesce(F.col(ids), F.lit(b"")).alias("ids"))
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInArrow(run, f"key {kind}, ids binary, decoded string").withColumnRenamed("key", key)
+    return source.transform(arrow_map, run, f"key {kind}, ids binary, decoded string").withColumnRenamed("key", key)
