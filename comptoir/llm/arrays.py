@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -98,3 +102,22 @@ def shingles(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np
     new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
     grams, owner = grams[new], owner[new]
     return grams, np.searchsorted(owner, np.arange(rows + 1))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of the application, once: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="comptoir-")  # on the driver, which serves the file from there
+        context.addPyFile(shutil.make_archive(f"{folder}/comptoir-{context.applicationId}", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from comptoir.llm.arrays import arrow_map
+
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
 
@@ -80,7 +82,7 @@ def fold_events(
     ddl = ", ".join([f"{c} {kinds[c].simpleString()}" for c in own] + ["r string", "t string"])
     types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     schema = pa.schema([(c, types[kinds[c].simpleString()]) for c in own] + [("r", pa.string()), ("t", pa.string())])
-    folded = source.repartition(*own).sortWithinPartitions(*own, "s", "k", "r", "t").mapInArrow(run, ddl)
+    folded = source.repartition(*own).sortWithinPartitions(*own, "s", "k", "r", "t").transform(arrow_map, run, ddl)
     return folded.toDF(key, *message, "role", "text")
 
 
@@ -140,7 +142,7 @@ def read_back(rendered: DataFrame, key: str = "conv_id", order: Sequence[str] =
     source = rendered.select(F.col(key).alias("c"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], "formatted", "loss_start", "loss_length")
     by = [f"o{i}" for i in range(len(order))]
     ddl = f"c {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return source.repartition("c").sortWithinPartitions("c", *by).mapInArrow(run, ddl).withColumnRenamed("c", key)
+    return source.repartition("c").sortWithinPartitions("c", *by).transform(arrow_map, run, ddl).withColumnRenamed("c", key)
 
 
 def _digest(conv, state) -> tuple:

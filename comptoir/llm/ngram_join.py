@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import U64, blocks, mix, shingles, words
+from comptoir.llm.arrays import U64, arrow_map, blocks, mix, shingles, words
 from comptoir.llm.components import components
 from comptoir.session import cut_lineage
 
@@ -80,7 +80,7 @@ def signatures(df: DataFrame, key: str, text: str, n: int, bands: int, rows: int
                 ], ["doc", "n", "h1", "h2", "bands"])
 
     source = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "doc long, n int, h1 long, h2 long, bands array<bigint>")
+    return source.transform(arrow_map, run, "doc long, n int, h1 long, h2 long, bands array<bigint>")
 
 
 def _sets(n: int):
@@ -199,11 +199,11 @@ def near_duplicates(
     )
     texts = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     owned = texts.join(members.hint("shuffle_merge"), texts["doc"] == members["rep"]).select("root", "rep", "copies", "parts", "own", "text")
-    held = owned.mapInArrow(_sets(n), "root long, rep long, copies long, parts int, own int, grams binary").dropDuplicates(["rep", "grams"])
+    held = owned.transform(arrow_map, _sets(n), "root long, rep long, copies long, parts int, own int, grams binary").dropDuplicates(["rep", "grams"])
     met = held.select(
         "root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "own", "rep", "copies", "grams",
     ).select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "copies", "grams")
-    judged = met.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_verify(threshold), "rep long, links long, root long")
+    judged = met.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").transform(arrow_map, _verify(threshold), "rep long, links long, root long")
     judged = cut_lineage(judged)
     classes = components(judged.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = judged.groupBy("rep").agg(F.sum("links").alias("links")).filter("links > 0")

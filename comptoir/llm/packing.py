@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comptoir.llm.arrays import arrow_map
 from comptoir.session import cut_lineage
 
 SEQUENCE = 1024
@@ -29,8 +30,9 @@ TASK_PIECES = 200_000
 """Pieces that a task packs together; more are packed in several lots, so a task's memory is bounded."""
 END_ID = 2
 
-_KEPT_CHUNKS = 200_000
-_BLOCK_CHARS = 2_000_000
+_KEPT_CHUNKS = 700_000
+_KEPT_CHARS = 64
+_BLOCK_CHARS = 4_000_000
 # A blank before anything but white space always begins a new pre-token of a byte-level tokenizer.
 _CHUNK = re.compile(r" (?=\S)")
 _ROWS = pa.schema([
@@ -69,12 +71,16 @@ class Encoder:
             first.add(chunks[0])
             later.update(chunks[1:])
             parts.append(chunks)
-        self._learn(self.first, list(first - self.first.keys()), "")
-        self._learn(self.later, list(later - self.later.keys()), " ")
+        self._learn(self.first, list(first.difference(self.first)), "")
+        self._learn(self.later, list(later.difference(self.later)), " ")
         out = [p if isinstance(p, bytes) else self.first[p[0]] + b"".join([self.later[c] for c in p[1:]]) for p in parts]
         for known in (self.first, self.later):
-            if len(known) > _KEPT_CHUNKS or sum(map(len, texts)) > 2 * _BLOCK_CHARS:
+            if len(known) > _KEPT_CHUNKS:
                 known.clear()
+            else:
+                for chunk in first | later:
+                    if len(chunk) > _KEPT_CHARS:
+                        known.pop(chunk, None)
         return out
 
 
@@ -183,7 +189,7 @@ def pack(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", size
         return run
 
     source = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    placed = cut_lineage(source.mapInArrow(local, _DDL))
+    placed = cut_lineage(source.transform(arrow_map, local, _DDL))
     done, level = placed.filter(F.col("sequence_id").isNotNull()), 0
     tasks = max(1, source.rdd.getNumPartitions())
     while True:
@@ -194,7 +200,7 @@ def pack(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", size
         last = tasks == fewest or tasks >= before
         mixed = F.xxhash64("key", "piece", "ids_crc32")
         spread = going.repartition(tasks, mixed).sortWithinPartitions(mixed)
-        placed = cut_lineage(spread.mapInArrow(merge(level, last), _DDL))
+        placed = cut_lineage(spread.transform(arrow_map, merge(level, last), _DDL))
         done = done.unionByName(placed.filter(F.col("sequence_id").isNotNull()))
         if last:
             return done.withColumnRenamed("key", key)

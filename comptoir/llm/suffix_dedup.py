@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import U64, blocks, mix, powers, utf8
+from comptoir.llm.arrays import U64, arrow_map, blocks, mix, powers, utf8
 from comptoir.llm.suffix_array import closed, heads, permuted_prefixes, suffix_array
 from comptoir.session import cut_lineage
 
@@ -97,7 +97,7 @@ def _anchors(source: DataFrame, length: int, gram: int) -> DataFrame:
                         pa.array((windows << 16 | lead).astype(np.int32)),
                     ], ["anchor", "doc", "begin", "extent"])
 
-    return source.mapInArrow(run, "anchor long, doc long, begin long, extent int")
+    return source.transform(arrow_map, run, "anchor long, doc long, begin long, extent int")
 
 
 def _extract(length: int):
@@ -237,10 +237,10 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     spans = cut_lineage(
         found.join(often.hint("shuffle_merge"), "anchor").groupBy("doc").agg(F.collect_list(F.struct("begin", "extent", "anchor", "hot")).alias("spans")),
     )
-    dealt = docs.join(spans.hint("shuffle_merge"), "doc").select("doc", "text", "spans").mapInArrow(_extract(length), "shard long, bytes binary, doc long, begin long")
+    dealt = docs.join(spans.hint("shuffle_merge"), "doc").select("doc", "text", "spans").transform(arrow_map, _extract(length), "shard long, bytes binary, doc long, begin long")
     kept = (
         dealt.repartition("shard").sortWithinPartitions("shard")
-        .mapInArrow(_shards(length), "doc long, first long, after long")
+        .transform(arrow_map, _shards(length), "doc long, first long, after long")
         .groupBy("doc").agg(F.collect_list(F.struct("first", "after")).alias("kept"))
     )
     marks = spans.select("doc", F.transform("spans", lambda s: F.struct(s["begin"].alias("b"), F.shiftright(s["extent"], 16).alias("n"))).alias("spans")).join(kept.hint("shuffle_merge"), "doc", "left")
@@ -266,7 +266,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
                 ], ["id", "n_bytes", "removed", "kept"])
 
     whole = docs.join(marks.hint("shuffle_merge"), "doc", "left").select("id", "text", "spans", "kept")
-    return whole.mapInArrow(run, "id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary").withColumnRenamed("id", key)
+    return whole.transform(arrow_map, run, "id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary").withColumnRenamed("id", key)
 
 
 def brute_force(texts: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
