@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import bpe, chat, ngram_join, packing, quality_rules, suffix_dedup
+from comptoir.llm import archives, block_knn, bpe, chat, importance, ngram_join, packing, quality_rules, suffix_dedup, templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -101,19 +109,89 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(rendered, order=order)
 
 
+_ESCAPED = r"regexp_replace({0}, '<(\\*)(n?)\|', '<\\\1\2|', 'g')"
+
+_OP6_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '{chat.END}{chat.START}assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len(chat.START) + len(chat.END) + 2} + length(replace({_ESCAPED.format('role')}, chr(10), '<n|')) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id"""
+
+
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.convert(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP7_SQL = f"""
+WITH p AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS kept FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {archives.LEAST_SHARED} AND page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {archives.LEAST_SHARED} AND page_id < kept THEN kept END AS refers_to
+FROM k"""
+
+
+def op8_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_knn.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_OP8_SQL = """
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score FROM pairs
+)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20"""
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_OP9_SQL = f"""
+WITH RECURSIVE body AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < {ngram_join.WORDS} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {ngram_join.WORDS - 1}], ' ') END AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {ngram_join.WORDS - 2}, 2))) AS i FROM body WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+both_ways AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams AS a JOIN grams AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b, j.n = x.n AND j.n = y.n AS same FROM both_ways AS j JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 10 * j.n >= 8 * (x.n + y.n - j.n)
+), reach AS (
+    SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, links.b FROM reach JOIN links ON links.a = reach.r
+), class AS (SELECT d, min(r) AS class_id FROM reach GROUP BY d),
+counted AS (SELECT a, count(*) AS n_links, min(b) FILTER (same) AS copy FROM links GROUP BY a)
+SELECT d AS doc_id, class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, least(d, coalesce(copy, d)) AS rep_id
+FROM class LEFT JOIN counted ON a = d"""
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
+    "op2_template_extraction": (op2_template_extraction, None),
+    "op3_importance_resampling": (op3_importance_resampling, None),
     "op4_bpe_round_trip": (op4_bpe_round_trip, None),
     "op5_quality_rules": (op5_quality_rules, _op5_sql()),
-    "op6_chat_format": (op6_chat_format, None),
-    "op9_ngram_join": (op9_ngram_join, None),
+    "op6_chat_format": (op6_chat_format, _OP6_SQL),
+    "op7_arc_to_warc": (op7_arc_to_warc, _OP7_SQL),
+    "op8_block_knn": (op8_block_knn, _OP8_SQL),
+    "op9_ngram_join": (op9_ngram_join, _OP9_SQL),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }

@@ -10,12 +10,12 @@ common prefixes tell which windows are equal. The earliest of each is kept, all
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm.arrays import U64, arrow_map, blocks, mix, powers, utf8
@@ -210,28 +210,30 @@ def _remove(text: bytes, spans: list[tuple[int, int]], kept: list[tuple[int, int
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def _numbered(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc`` (a number that ascends with the key), ``id`` and ``text``. Keys that are null or repeat are
-    numbered anew, in the order of key (null first) and text."""
-    source = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def _numbered(df: DataFrame, key: str, text: str, carry: Sequence[str]) -> DataFrame:
+    """``doc`` (a number that ascends with the key), ``id``, ``text`` and ``row`` (the columns to carry). Keys
+    that are null or repeat are numbered anew, in the order of key (null first) and text."""
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
+    source = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), row.alias("row"))
     unclear = source.groupBy("id").count().filter("id IS NULL OR count > 1")
     if unclear.isEmpty():
-        return source.select(F.col("id").alias("doc"), "id", "text")
+        return source.select(F.col("id").alias("doc"), "id", "text", "row")
     ordered = source.orderBy(F.asc_nulls_first("id"), "text")
-    return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("doc"), "id", "text"))
+    return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("doc"), "id", "text", "row"))
 
 
-def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
-    """Per document: ``key``, ``n_bytes``, ``removed`` (runs of removed bytes, from and to) and ``kept`` (the
-    remaining bytes).
+def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document: ``key``, ``n_bytes``, ``removed`` (runs of removed bytes, from and to), ``kept`` (the
+    remaining bytes), ``kept_text`` (the same without the rests of characters that a cut went through) and,
+    where columns to ``carry`` are named, ``row`` (a struct of them).
 
     A byte goes if a string of ``length`` bytes that covers it also begins earlier: in a document of a smaller
     key, or earlier in the same one. Strings are judged on the input, and none spans documents. Null and empty
     texts and those shorter than ``length`` lose nothing. Rows that share a key, or have none, count in the
     order of their texts, so a repeated row loses all it holds in common with the one before; an empty table
-    gives no rows. Only the two named columns are read; bytes are binary, as a cut may fall inside a character.
+    gives no rows. Only the named columns are read; bytes are binary, as a cut may fall inside a character.
     """
-    docs = _numbered(df, key, text)
+    docs = _numbered(df, key, text, carry)
     found = _anchors(docs.select("doc", "text"), length, GRAM)
     often = found.groupBy("anchor").count().filter("count > 1").select("anchor", (F.col("count") > HOT).alias("hot"))
     spans = cut_lineage(
@@ -251,7 +253,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
             spans_of, kept_of = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for a in range(0, batch.num_rows, 512):
                 rows = range(a, min(a + 512, batch.num_rows))
-                texts, runs = [], []
+                texts, whole_chars, runs = [], [], []
                 for r in rows:
                     body = raw[at[r] : at[r + 1]].tobytes()
                     if spans_of[r]:
@@ -259,14 +261,18 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
                     else:
                         gone = []
                     texts.append(body)
+                    whole_chars.append(body.decode("utf-8", "ignore"))
                     runs.append([{"from": x, "to": y} for x, y in gone])
                 kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
                 yield pa.record_batch([
-                    batch.column(0).slice(a, len(rows)), pa.array(np.diff(at)[a : a + len(rows)]), pa.array(runs, kind), pa.array(texts, pa.binary()),
-                ], ["id", "n_bytes", "removed", "kept"])
-
-    whole = docs.join(marks.hint("shuffle_merge"), "doc", "left").select("id", "text", "spans", "kept")
-    return whole.transform(arrow_map, run, "id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary").withColumnRenamed("id", key)
+                    batch.column(0).slice(a, len(rows)), pa.array(np.diff(at)[a : a + len(rows)]), pa.array(runs, kind), pa.array(texts, pa.binary()), pa.array(whole_chars, pa.string()),
+                    batch.column(4).slice(a, len(rows)),
+                ], ["id", "n_bytes", "removed", "kept", "kept_text", "row"])
+
+    whole = docs.join(marks.hint("shuffle_merge"), "doc", "left").select("id", "text", "spans", "kept", "row")
+    ddl = f"id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary, kept_text string, row {whole.schema['row'].dataType.simpleString()}"
+    out = whole.transform(arrow_map, run, ddl).withColumnRenamed("id", key)
+    return out if carry else out.drop("row")
 
 
 def brute_force(texts: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:

@@ -4,23 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import quality_rules
+from comptoir.llm import importance, ngram_join, packing, quality_rules, suffix_dedup
 from comptoir.session import cut_lineage
 
 
+def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance model samples."""
+    return importance.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
-    names = docs.columns
-    judged = quality_rules.judge(docs.select(F.struct(*names).alias("_row"), F.col("text")), keep=("_row",))
-    return judged.filter("kept").select("_row.*")
+    """Documents that break no quality rule."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality_rules.judge(docs.select(row.alias("_row"), "text"), keep=("_row",)).filter("kept").select("_row.*")
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates; rows without an id all stay."""
+    first = ngram_join.near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
+    named = docs.join(first.hint("shuffle_merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand earlier too; all documents stay, some with an empty text."""
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    left = suffix_dedup.remove_repeats(docs, carry=others)
+    found = {c: F.col(f"row.`{c}`") for c in others} | {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return left.select(*[found[c].alias(c) for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in training sequences."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", by_classifier),
     ("quality_rules", by_rules),
+    ("ngram_jaccard_join", one_of_near_duplicates),
+    ("suffix_array_dedup", without_repeats),
+    ("best_fit_packing", packed),
 ]
+#: SQL cannot express hashed models, suffix arrays and a tokenizer; tests/llm/test_pipeline.py has brute force.
 ORACLE_SQL = None
 
 
