@@ -32,6 +32,8 @@ END_ID = 2
 
 _KEPT_CHUNKS = 700_000
 _KEPT_CHARS = 64
+_RUN = 2000
+_BLANK = "Ġ"  # how the byte alphabet of such tokenizers shows a blank
 _BLOCK_CHARS = 4_000_000
 # A blank before anything but white space always begins a new pre-token of a byte-level tokenizer.
 _CHUNK = re.compile(r" (?=\S)")
@@ -53,6 +55,9 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        tokens = self.library.get_vocab()
+        self.after_blank = np.zeros(max(tokens.values()) + 1, bool)
+        self.after_blank[[i for t, i in tokens.items() if t.startswith(_BLANK)]] = True
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
@@ -60,6 +65,21 @@ class Encoder:
         coded = self.library.encode_batch([before + c for c in new], add_special_tokens=False)
         known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, coded))
 
+    def _learn_later(self, new: list[str]) -> None:
+        """Chunks after a blank, many in one text: each without a blank inside begins at the one token that does."""
+        plain = [c for c in new if " " not in c]
+        runs = [plain[i : i + _RUN] for i in range(0, len(plain), _RUN)]
+        odd = [c for c in new if " " in c]
+        for run, coded in zip(runs, self.library.encode_batch([" " + " ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(coded.ids, "<u4")
+            begins = np.flatnonzero(self.after_blank[ids])
+            if len(begins) != len(run) or begins[0]:
+                odd.extend(run)
+                continue
+            raw, ends = ids.tobytes(), (4 * np.append(begins, len(ids))).tolist()
+            self.later.update((c, raw[x:y]) for c, x, y in zip(run, ends, ends[1:]))
+        self._learn(self.later, odd, " ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts: list[list[str] | bytes] = []
         first, later = set(), set()
@@ -72,7 +92,7 @@ class Encoder:
             later.update(chunks[1:])
             parts.append(chunks)
         self._learn(self.first, list(first.difference(self.first)), "")
-        self._learn(self.later, list(later.difference(self.later)), " ")
+        self._learn_later(list(later.difference(self.later)))
         out = [p if isinstance(p, bytes) else self.first[p[0]] + b"".join([self.later[c] for c in p[1:]]) for p in parts]
         for known in (self.first, self.later):
             if len(known) > _KEPT_CHUNKS:
