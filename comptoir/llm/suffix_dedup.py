@@ -24,7 +24,7 @@ from comptoir.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-_STEP = 2 << 20
+_STEP = 1 << 20
 """Bytes of a text, or of several, whose windows are looked at together."""
 _PLACE = 23
 """Bits for a place within such a block."""
@@ -108,6 +108,8 @@ def _extract(length: int):
             docs = batch.column(0).to_pylist()
             found: dict[tuple[int, bytes], tuple[int, int]] = {}
             for r, spans in enumerate(batch.column(2).to_pylist()):
+                if not spans:
+                    continue
                 text, doc = raw[at[r] : at[r + 1]].tobytes(), docs[r]
                 for span in spans:
                     begin, extent, anchor = span["begin"], span["extent"], span["anchor"]
@@ -235,11 +237,16 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     """
     docs = _numbered(df, key, text, carry)
     found = _anchors(docs.select("doc", "text"), length, GRAM)
-    often = found.groupBy("anchor").count().filter("count > 1").select("anchor", (F.col("count") > HOT).alias("hot"))
+    # written, so that both sides of the join are plain shuffles, which Spark can split at a frequent anchor
+    often = cut_lineage(found.groupBy("anchor").count().filter("count > 1").select("anchor", (F.col("count") > HOT).alias("hot")))
     spans = cut_lineage(
         found.join(often.hint("shuffle_merge"), "anchor").groupBy("doc").agg(F.collect_list(F.struct("begin", "extent", "anchor", "hot")).alias("spans")),
     )
-    dealt = docs.join(spans.hint("shuffle_merge"), "doc").select("doc", "text", "spans").transform(arrow_map, _extract(length), "shard long, bytes binary, doc long, begin long")
+    # the same columns and kind of join as at the end, so that the texts are shuffled once for both
+    dealt = (
+        docs.join(spans.hint("shuffle_merge"), "doc", "left").select("doc", "text", "spans", "id", "row")
+        .transform(arrow_map, _extract(length), "shard long, bytes binary, doc long, begin long")
+    )
     kept = (
         dealt.repartition("shard").sortWithinPartitions("shard")
         .transform(arrow_map, _shards(length), "doc long, first long, after long")
