@@ -51,7 +51,12 @@ def _refine(order: np.ndarray, first: np.ndarray, key: Callable[[np.ndarray], np
     group = np.cumsum(first)[slots]
     items = order[slots]
     keys = key(items)
-    by = np.lexsort((keys, group))
+    if group[0] == group[-1]:
+        by = np.argsort(keys, kind="stable")
+    elif keys.dtype == np.int64:  # names below the number of suffixes
+        by = np.argsort(group * (n + 2) + keys, kind="stable")
+    else:
+        by = np.lexsort((keys, group))
     order[slots] = items[by]
     keys = keys[by]
     fresh = np.ones(len(slots), bool)
@@ -151,8 +156,9 @@ def suffix_array(text: np.ndarray, depth: int | None = None, word: np.ndarray |
     return np.concatenate(out[::-1])[1:]
 
 
-def permuted_prefixes(word: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """For each place, how many bytes its suffix shares with the one before it in ``order``, ``most`` at most."""
+def permuted_prefixes(word: np.ndarray, order: np.ndarray, most: int, least: int = 0) -> np.ndarray:
+    """For each place, how many bytes its suffix shares with the one before it in ``order``, ``most`` at most.
+    Numbers below ``least`` may come out too small by less than eight."""
     shared = np.zeros(len(order), np.int32)
     if len(order) < 2:
         return shared
@@ -161,10 +167,13 @@ def permuted_prefixes(word: np.ndarray, order: np.ndarray, most: int) -> np.ndar
     for t in range(0, most, 8):
         x = word[np.minimum(here + t, len(word) - 1)] ^ word[np.minimum(there + t, len(word) - 1)]
         same = x == 0
-        low = np.zeros(len(x), np.int32)
-        for k in range(1, 8):
-            low += x < np.uint64(1 << (8 * (8 - k)))
-        got[rows] = t + np.where(same, 8, low)
+        if t + 8 > least:
+            low = np.zeros(len(x), np.int32)
+            for k in range(1, 8):
+                low += x < np.uint64(1 << (8 * (8 - k)))
+            got[rows] = t + np.where(same, 8, low)
+        else:
+            got[rows[same]] = t + 8
         here, there, rows = here[same], there[same], rows[same]
         if not len(rows):
             break

@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,37 +101,43 @@ def _anchors(source: DataFrame, length: int, gram: int) -> DataFrame:
     return source.transform(arrow_map, run, "anchor long, doc long, begin long, extent int")
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Of a column of lists of structs: the row of each struct, and its fields."""
+    wide = column.cast(pa.list_(column.type.value_type)) if not pa.types.is_list(column.type) else column
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(wide), 0))
+    structs = wide.flatten()
+    return np.repeat(np.arange(len(sizes)), sizes), {f.name: np.asarray(structs.field(i)) for i, f in enumerate(structs.type)}
+
+
 def _extract(length: int):
     """Segments' bytes by shard, each once per batch, where it begins first."""
     def run(batches):
         for batch in batches:
             raw, at = utf8(batch.column(1))
-            docs = batch.column(0).to_pylist()
+            row, span = _flat(batch.column(2))
+            whole, docs = raw.tobytes(), np.asarray(batch.column(0))
             found: dict[tuple[int, bytes], tuple[int, int]] = {}
-            for r, spans in enumerate(batch.column(2).to_pylist()):
-                if not spans:
+
+            def add(shards, docs, begins, froms, tos):
+                for shard, doc, begin, a, b in zip(shards.tolist(), docs.tolist(), begins.tolist(), froms.tolist(), tos.tolist()):
+                    key, place = (shard, whole[a:b]), (doc, begin)  # noqa: B023
+                    if key not in found or place < found[key]:  # noqa: B023
+                        found[key] = place  # noqa: B023
+
+            begin, windows, lead = span["begin"], span["extent"].astype(np.int64) >> 16, span["extent"].astype(np.int64) & 0xFFFF
+            plain = ~span["hot"].astype(bool)
+            begins = at[row] + begin
+            add(span["anchor"][plain], docs[row[plain]], begin[plain], begins[plain], (begins + windows + length - 1)[plain])
+            # windows as far from a frequent anchor meet equal ones there: deal them by the bytes all of a band hold
+            for band in range(length // _BAND + 1):
+                hot = np.flatnonzero(~plain & (lead // _BAND >= band) & (np.maximum(0, lead - windows + 1) // _BAND <= band))
+                if not len(hot):
                     continue
-                text, doc = raw[at[r] : at[r + 1]].tobytes(), docs[r]
-                for span in spans:
-                    begin, extent, anchor = span["begin"], span["extent"], span["anchor"]
-                    windows, lead = extent >> 16, extent & 0xFFFF
-                    if not span["hot"]:
-                        parts = [(anchor, begin, begin + windows + length - 1)]
-                    else:  # windows as far from the anchor meet equal ones there: deal them by the bytes all of a band hold
-                        parts = []
-                        for band in range(max(0, lead - windows + 1) // _BAND, lead // _BAND + 1):
-                            a = max(begin, begin + lead - (band * _BAND + _BAND - 1))
-                            b = min(begin + windows - 1, begin + lead - band * _BAND)
-                            own = begin + lead - band * _BAND
-                            core = xxhash.xxh64_intdigest(text[own : own - _BAND + 1 + length], band)
-                            parts.append((core - (1 << 64) if core >> 63 else core, a, b + length))
-                    for shard, a, b in parts:
-                        key, place = (shard, text[a:b]), (doc, a)
-                        if key not in found or place < found[key]:
-                            found[key] = place
-                if len(found) > 100_000:
-                    yield _segment_batch(found)
-                    found = {}
+                own = (begins + lead)[hot] - band * _BAND
+                cores = [xxhash.xxh64_intdigest(whole[x : x - _BAND + 1 + length], band) for x in own.tolist()]
+                first = np.maximum(begins[hot], own - _BAND + 1)
+                last = np.minimum((begins + windows)[hot] - 1, own)
+                add(np.array(cores, U64).view(np.int64), docs[row[hot]], first - at[row[hot]], first, last + length)
             if found:
                 yield _segment_batch(found)
 
@@ -145,34 +152,35 @@ def _segment_batch(found: dict) -> pa.RecordBatch:
     ], ["shard", "bytes", "doc", "begin"])
 
 
-def earliest(found: list[tuple[int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
-    """(doc, first, after) runs of windows that begin nowhere earlier, of segments (doc, begin, bytes) that are
-    distinct, from a suffix array over all of them."""
-    found = sorted(found)
+def earliest(found: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, first and after of runs of windows that begin nowhere earlier, of segments (doc, begin, bytes)
+    that are distinct, from a suffix array over all of them."""
+    found = sorted(found, key=lambda f: f[:2])
     apart = bytes([_APART])
-    text = closed(np.frombuffer(apart.join(s for _, _, s in found) + apart, np.uint8))
+    text = closed(np.frombuffer(apart.join([s for _, _, s in found]) + apart, np.uint8))
     word = heads(text, length + 8)
     order = suffix_array(text, length, word)
-    same = permuted_prefixes(word, order, length) >= length
-    group = np.cumsum(~same[order])
-    first = np.full(group[-1] + 1, len(text))
-    np.minimum.at(first, group, order)  # documents and places ascend in the text
-    kept = np.zeros(len(text), np.int8)
-    kept[first[first < len(text)]] = 1
-    out, place = [], 0
-    for doc, begin, piece in found:
-        windows = len(piece) - length + 1
-        turns = np.flatnonzero(np.diff(kept[place : place + windows], prepend=0, append=0))
-        for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
-            out.append((doc, begin + a, begin + b))
-        place += len(piece) + 1
-    return out
+    same = permuted_prefixes(word, order, length, length) >= length
+    first = np.minimum.reduceat(order, np.flatnonzero(~same[order]))  # documents and places ascend in the text
+    sizes = np.array([len(s) for _, _, s in found])
+    starts = np.append(0, np.cumsum(sizes + 1))[:-1]
+    kept = np.zeros(len(text) + 1, np.int8)
+    kept[first] = 1
+    inside = np.zeros(len(text) + 1, np.int8)
+    inside[starts] = 1
+    inside[starts + sizes - length + 1] -= 1
+    kept &= np.cumsum(inside, dtype=np.int8)
+    turns = np.flatnonzero(np.diff(kept, prepend=0))
+    a, b = turns[::2], turns[1::2]
+    of = np.searchsorted(starts, a, "right") - 1
+    shift = np.array([begin for _, begin, _ in found])[of] - starts[of]
+    return np.array([doc for doc, _, _ in found])[of], a + shift, b + shift
 
 
 def _shards(length: int):
     def judged(found: dict[tuple[int, bytes], tuple[int, int]]) -> pa.RecordBatch:
         kept = earliest([(*place, piece) for (_, piece), place in found.items()], length)
-        return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*kept)], ["doc", "first", "after"])
+        return pa.record_batch([pa.array(c, pa.int64()) for c in kept], ["doc", "first", "after"])
 
     def run(batches):
         found, size, last = {}, 0, None
@@ -192,24 +200,20 @@ def _shards(length: int):
     return run
 
 
-def _remove(text: bytes, spans: list[tuple[int, int]], kept: list[tuple[int, int]], length: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """The text without the bytes of windows in ``spans`` but not in ``kept``; and the removed runs."""
-    turn = np.zeros(len(text) + 2, np.int32)
-    for begin, windows in spans:
-        turn[begin] += 1
-        turn[begin + windows] -= 1
-    for a, b in kept:
-        turn[a] -= 1
-        turn[b] += 1
-    repeated = np.flatnonzero(np.cumsum(turn) > 0)
-    if not len(repeated):
-        return text, []
-    cover = np.zeros(len(text) + 2, np.int32)
-    cover[repeated] += 1
-    np.subtract.at(cover, np.minimum(repeated + length, len(text)), 1)
-    gone = np.cumsum(cover[: len(text)]) > 0
-    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-    return np.frombuffer(text, np.uint8)[~gone].tobytes(), list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+def _gone(at: np.ndarray, spans: tuple, kept: tuple, length: int) -> np.ndarray:
+    """Which bytes of texts laid end to end are covered by windows in ``spans`` but not in ``kept``."""
+    turn = np.zeros(at[-1] + 2, np.int32)
+    row, span = spans
+    begin = at[row] + span["b"]
+    np.add.at(turn, begin, 1)
+    np.add.at(turn, begin + span["n"], -1)
+    row, keep = kept
+    np.add.at(turn, at[row] + keep["first"], -1)
+    np.add.at(turn, at[row] + keep["after"], 1)
+    repeated = np.cumsum(turn) > 0
+    cover = repeated.astype(np.int32)
+    cover[length:] -= repeated[:-length]
+    return np.cumsum(cover[: at[-1]]) > 0
 
 
 def _numbered(df: DataFrame, key: str, text: str, carry: Sequence[str]) -> DataFrame:
@@ -226,8 +230,8 @@ def _numbered(df: DataFrame, key: str, text: str, carry: Sequence[str]) -> DataF
 
 def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, carry: Sequence[str] = ()) -> DataFrame:
     """Per document: ``key``, ``n_bytes``, ``removed`` (runs of removed bytes, from and to), ``kept`` (the
-    remaining bytes), ``kept_text`` (the same without the rests of characters that a cut went through) and,
-    where columns to ``carry`` are named, ``row`` (a struct of them).
+    remaining bytes). Where columns to ``carry`` are named, also ``row`` (a struct of them) and ``kept_text``
+    (what is kept, without the rests of characters that a cut went through).
 
     A byte goes if a string of ``length`` bytes that covers it also begins earlier: in a document of a smaller
     key, or earlier in the same one. Strings are judged on the input, and none spans documents. Null and empty
@@ -255,31 +259,31 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     marks = spans.select("doc", F.transform("spans", lambda s: F.struct(s["begin"].alias("b"), F.shiftright(s["extent"], 16).alias("n"))).alias("spans")).join(kept.hint("shuffle_merge"), "doc", "left")
 
     def run(batches):
+        runs_of = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         for batch in batches:
-            raw, at = utf8(batch.column(1))
-            spans_of, kept_of = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for a in range(0, batch.num_rows, 512):
-                rows = range(a, min(a + 512, batch.num_rows))
-                texts, whole_chars, runs = [], [], []
-                for r in rows:
-                    body = raw[at[r] : at[r + 1]].tobytes()
-                    if spans_of[r]:
-                        body, gone = _remove(body, [(s["b"], s["n"]) for s in spans_of[r]], [(k["first"], k["after"]) for k in kept_of[r] or []], length)
-                    else:
-                        gone = []
-                    texts.append(body)
-                    whole_chars.append(body.decode("utf-8", "ignore"))
-                    runs.append([{"from": x, "to": y} for x, y in gone])
-                kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-                yield pa.record_batch([
-                    batch.column(0).slice(a, len(rows)), pa.array(np.diff(at)[a : a + len(rows)]), pa.array(runs, kind), pa.array(texts, pa.binary()), pa.array(whole_chars, pa.string()),
-                    batch.column(4).slice(a, len(rows)),
-                ], ["id", "n_bytes", "removed", "kept", "kept_text", "row"])
+            for part, raw, at in blocks(batch, "text"):
+                gone = _gone(at, _flat(part.column(2)), _flat(part.column(3)), length)
+                before, after = np.append(False, gone[:-1]), np.append(gone[1:], False)
+                filled = np.flatnonzero(np.diff(at))  # a run ends with its text
+                before[at[filled]] = False
+                after[at[filled + 1] - 1] = False
+                begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+                row = np.searchsorted(at, begin, "right") - 1
+                runs = pa.StructArray.from_arrays([pa.array(begin - at[row]), pa.array(end - at[row])], ["from", "to"])
+                cuts = pa.array(np.searchsorted(row, np.arange(len(at))).astype(np.int32))
+                left = np.append(0, np.cumsum(~gone))[at]
+                body = raw[~gone].tobytes()
+                texts = [body[a:b] for a, b in zip(left.tolist(), left[1:].tolist())]
+                out = [part.column(0), pa.array(np.diff(at)), pa.ListArray.from_arrays(cuts, runs).cast(runs_of), pa.array(texts, pa.binary())]
+                if carry:
+                    out += [pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()), part.column(4)]
+                yield pa.record_batch(out, ["id", "n_bytes", "removed", "kept", "kept_text", "row"][: len(out)])
 
     whole = docs.join(marks.hint("shuffle_merge"), "doc", "left").select("id", "text", "spans", "kept", "row")
-    ddl = f"id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary, kept_text string, row {whole.schema['row'].dataType.simpleString()}"
-    out = whole.transform(arrow_map, run, ddl).withColumnRenamed("id", key)
-    return out if carry else out.drop("row")
+    ddl = "id long, n_bytes long, removed array<struct<from:bigint,to:bigint>>, kept binary"
+    if carry:
+        ddl += f", kept_text string, row {whole.schema['row'].dataType.simpleString()}"
+    return whole.transform(arrow_map, run, ddl).withColumnRenamed("id", key)
 
 
 def brute_force(texts: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
