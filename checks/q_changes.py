@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -9,7 +10,7 @@ from comptoir.operators import incremental as inc
 from comptoir.operators import merge as mg
 from comptoir.operators import quality as dq
 from comptoir.operators.windows import dedup_latest
-from comptoir.session import scratch_path
+from comptoir.session import cut_lineage, scratch_path
 from comptoir.streaming import inbox as stream
 
 KEY = ["l_orderkey", "l_linenumber"]
@@ -95,6 +96,45 @@ def merge_touched_partitions(t):
     return t.spark.read.schema(old.schema).parquet(path).select(*old.columns)
 
 
+@query("mrg_04_same_batch_twice", merged_sql({**ALL, "made": "n.made"}, part=True))
+def same_batch_twice(t):
+    """A batch that is stored again changes nothing."""
+    path = scratch_path(t.spark, "table")
+    old, new = old_and_new(t, part=True)
+    mg.overwrite_parts(old, path, "part")
+    for _ in range(2):
+        mg.store(t.spark, path, new, "part", lambda target, batch: mg.upsert(target, batch, KEY + ["part"]))
+    return t.spark.read.schema(old.schema).parquet(path).select(*old.columns)
+
+
+@query("mrg_04_partial_batch", merged_sql({"l_returnflag": "n.l_returnflag"}, part=True))
+def partial_batch(t):
+    """A batch without some of the table's columns leaves them as they are, and empty on new rows."""
+    path = scratch_path(t.spark, "table")
+    old, new = old_and_new(t, part=True)
+    mg.overwrite_parts(old, path, "part")
+    some = new.select(*KEY, "part", "l_partkey", "l_quantity", "made", "l_returnflag")
+    mg.store(
+        t.spark, path, some, "part",
+        lambda target, batch: mg.upsert(target, batch, KEY + ["part"], update_cols=["l_returnflag"]),
+    )
+    return t.spark.read.schema(old.schema).parquet(path).select(*old.columns)
+
+
+@query("mrg_04_repeated_keys", merged_sql({**ALL, "made": "n.made"}, part=True))
+def repeated_keys(t):
+    """A batch that holds every row twice is stored as one that holds it once, given an order."""
+    path = scratch_path(t.spark, "table")
+    old, new = old_and_new(t, part=True)
+    mg.overwrite_parts(old, path, "part")
+    keys = KEY + ["part"]
+    mg.store(
+        t.spark, path, new.unionByName(new), "part",
+        lambda target, batch: mg.upsert(target, dedup_latest(batch, keys, "made", ["l_partkey"]), keys),
+    )
+    return t.spark.read.schema(old.schema).parquet(path).select(*old.columns)
+
+
 @query("mrg_05_retire_missing", """
     SELECT product_id, name_norm, is_current AND EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = product_id
              AND l_shipdate >= TIMESTAMP '2001-06-01') AS is_current FROM {product}""")
@@ -322,12 +362,14 @@ def streaming_upsert(t):
 
 @query("str_03_stream_dedup", "SELECT event_id, user_id, event_type, CAST(ts AS STRING) AS ts FROM events")
 def stream_dedup(t):
-    """Every event is delivered twice; one copy of each comes through."""
+    """Every event is delivered twice, the newest first, a file at a time; one copy of each comes through."""
     box, table, state = (scratch_path(t.spark, n) for n in ("inbox", "table", "checkpoint"))
-    events = t.events.select("event_id", "user_id", "event_type", F.to_timestamp(F.col("ts").cast("string")).alias("ts"))
-    events.unionByName(events).write.parquet(box)
-    source = stream.stream_inbox(t.spark, box, events.schema, fmt="parquet")
-    once = stream.stream_dedup(source, "ts", ["event_id"], "48 hours")
-    stream.append_stream(once, table, state).awaitTermination()
-    stored = t.spark.read.schema(events.schema).parquet(table)
-    return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events = t.events.select("event_id", "user_id", "event_type", "ts")
+    age = F.ntile(5).over(Window.orderBy(F.col("ts").desc(), "event_id"))
+    dealt = cut_lineage(events.withColumn("delivery", age))
+    for delivery in (1, 2, 3, 4, 5, 1):  # the first comes once more at the end
+        part = dealt.filter(F.col("delivery") == delivery).drop("delivery")
+        (part if delivery == 1 else part.unionByName(part)).coalesce(1).write.mode("append").parquet(box)
+    source = stream.stream_inbox(t.spark, box, events.schema, files_per_trigger=1, fmt="parquet")
+    stream.stream_dedup(source, table, state, ["event_id"], ["ts"]).awaitTermination()
+    return t.spark.read.schema(events.schema).parquet(table)

@@ -217,8 +217,8 @@ def pos_line_staging(t):
 @query("ds_11_pos_payment_texts", f"""
     WITH {PAID}
     SELECT order_id, 0 AS part, string_agg(part, ' | ' ORDER BY id, part) AS payment_text FROM (
-         SELECT order_id, id, method_name || ': ' || {PLAIN.format(c='amount')} AS part FROM paid) WHERE part IS NOT NULL
-      AND order_id IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <> 7 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00') GROUP BY 1""")
+         SELECT order_id, id, coalesce(method_name, 'PM_' || CAST(method_id AS STRING)) || ': ' || {PLAIN.format(c='amount')} AS part FROM paid)
+    WHERE order_id IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <> 7 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00') GROUP BY 1""")
 def pos_payment_texts(t):
     return staged_lines(t)["payment_texts"]
 

@@ -13,7 +13,7 @@ from comptoir.functions.measures import (
     SOURCE_SIDE, TARGET_SIDE, as_ts, movement_qty, plain_number,
 )
 from comptoir.functions.names import valid_barcode
-from comptoir.operators.skew import join_group_values
+from comptoir.operators.skew import splittable_join
 
 # ---- fixed values -------------------------------------------------------
 PAY_METHODS = {
@@ -102,28 +102,35 @@ def stock_age(
 
 def payment_text(
     payments: DataFrame, order: str = "order_id", seq: str = "payment_id",
-    name: str = "method_name", amount: str = "amount", chunk: int = TEXT_CHUNK, part_size: int = TEXT_PART,
+    name: str = "method_name", amount: str = "amount", method: str = "method_id", prefix: str = "PM_",
+    chunk: int = TEXT_CHUNK, part_size: int = TEXT_PART,
 ) -> DataFrame:
     """``name: amount`` of an order's payments in arrival order, set off by bars.
 
-    An order has one row, with ``part`` 0, up to ``part_size`` payments; a larger
-    one goes on in further parts, so that no single value grows with the data.
-    Texts are first built for runs of ``chunk`` sequence numbers, which spreads
-    the collecting and sorting of an order with very many payments.
+    The contract is a row per order and ``part``: part p holds the payments at positions
+    ``p * part_size`` to ``(p + 1) * part_size - 1``, whatever ``chunk`` is, so that no single value grows
+    with the data. A payment without a name has ``prefix`` and its method id, one without an amount zero.
+
+    Texts are collected for runs of ``chunk`` sequence numbers, which spreads an order with very many payments;
+    the position of a run comes from counts alone, so no text goes through a window.
     """
-    piece = F.concat(F.col(name), F.lit(": "), plain_number(amount))
-    runs = (
-        payments.filter(piece.isNotNull())
-        .groupBy(order, F.floor(F.col(seq) / chunk).alias("run"))
-        .agg(
-            F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), piece.alias("piece")))).alias("pieces"),
-        )
-        .select(order, "run", F.size("pieces").alias("n"), F.array_join(F.col("pieces.piece"), " | ").alias("text"))
-    )
+    known = F.col(method).cast("string") if method in payments.columns else F.lit(None).cast("string")
+    label = F.coalesce(F.col(name), F.concat(F.lit(prefix), F.coalesce(known, F.lit(""))))
+    piece = F.concat(label, F.lit(": "), plain_number(F.coalesce(F.col(amount), F.lit(0).cast(payments.schema[amount].dataType))))
+    run = F.floor(F.col(seq) / chunk)
+    counts = payments.groupBy(order, run.alias("run")).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(order).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    offsets = counts.select(order, "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    runs = payments.groupBy(order, run.alias("run")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), piece.alias("piece")))).alias("pieces"),
+    )
+    placed = splittable_join(runs, offsets, [order, "run"], null_safe=True)
+    first, last = F.floor(F.col("before") / part_size), F.floor((F.col("before") + F.size("pieces") - 1) / part_size)
+    split = placed.select(order, "run", "before", "pieces", F.explode(F.sequence(first, last)).alias("part"))
+    start = F.greatest(F.col("part") * part_size - F.col("before"), F.lit(0))
+    held = F.slice(F.col("pieces.piece"), (start + 1).cast("int"), ((F.col("part") + 1) * part_size - F.col("before") - start).cast("int"))
     return (
-        runs.withColumn("part", F.floor(before / part_size).cast("int"))
+        split.select(order, F.col("part").cast("int").alias("part"), "run", F.array_join(held, " | ").alias("text"))
         .groupBy(order, "part")
         .agg(F.array_sort(F.collect_list(F.struct("run", "text"))).alias("runs"))
         .select(order, "part", F.array_join(F.col("runs.text"), " | ").alias("payment_text"))
@@ -171,10 +178,10 @@ def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def duplicates(df: DataFrame, key: Sequence[str], count: str = "occurrences") -> DataFrame:
-    """Every row whose key occurs more than once, with how often it does."""
+    """Every row whose key occurs more than once, with how often it does; missing keys equal each other."""
     key = list(key)
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
-    return join_group_values(df, counts, key, count)
+    return splittable_join(df, counts, key, null_safe=True)
 
 
 def load_stats(df: DataFrame, ts: str, as_of: datetime | str, minutes: int = 5) -> DataFrame:

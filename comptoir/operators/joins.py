@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.operators.skew import join_group_values, splittable_join
+from comptoir.operators.skew import splittable_join
 from comptoir.session import cut_lineage
 
-MAX_INLINE_RULES = 200
+MAX_RULES = 2000
 
 
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
@@ -60,31 +60,24 @@ def join_valid(fact: DataFrame, periods: DataFrame, key: str, day: str) -> DataF
 
 
 def classify_by_rules(
-    fact: DataFrame, rules: DataFrame, ref: str = "movement_ref", into: str = "movement_type",
-    max_inline: int = MAX_INLINE_RULES,
+    fact: DataFrame, rules: DataFrame, ref: str = "movement_ref", into: str = "movement_type", max_rules: int = MAX_RULES,
 ) -> DataFrame:
     """Code of the first active rule whose LIKE pattern matches, by priority then code.
 
-    Up to ``max_inline`` rules become one CASE over the row: no join, no shuffle,
-    and nothing for a frequent reference to pile up on. A larger rule table is
-    matched against the distinct references only.
+    Rules are configuration kept by hand: they become one expression over the row, with no join, no shuffle
+    and nothing for a frequent reference to pile up on. A rule without a code or pattern is no rule. More than
+    ``max_rules`` are refused.
     """
-    active = rules.filter(F.col("is_active")).select("priority", "code", "pattern").distinct()
-    head = active.orderBy("priority", "code", "pattern").limit(max_inline + 1).collect()
-    if len(head) <= max_inline:
-        empty = F.lit(None).cast("string")
-        found = F.coalesce(empty, *[F.when(F.col(ref).like(r["pattern"]), F.lit(r["code"])) for r in head])
-        return _fill_type(fact, found, ref, into)
-    refs = fact.filter(F.col(ref).isNotNull()).groupBy(ref).agg(F.count(F.lit(1)).alias("__n"))
-    matched = (
-        refs.select(ref).join(active, F.expr(f"{ref} LIKE pattern"), "inner")
-        .groupBy(ref).agg(F.min_by("code", F.struct("priority", "code")).alias("__code"))
-    )
-    found = refs.join(matched, ref, "left")
-    typed = join_group_values(fact.filter(F.col(ref).isNotNull()), found, [ref], "__n")
-    untyped = fact.filter(F.col(ref).isNull()).withColumn("__code", F.lit(None).cast("string"))
-    out = typed.drop("__n").unionByName(untyped)
-    return _fill_type(out, F.col("__code"), ref, into).drop("__code")
+    usable = F.col("is_active") & F.col("code").isNotNull() & F.col("pattern").isNotNull()
+    active = rules.filter(usable).select("priority", "code", "pattern").distinct()
+    listed = active.orderBy("priority", "code", "pattern").limit(max_rules + 1).collect()
+    if len(listed) > max_rules:
+        raise ValueError(f"more than {max_rules} rules")
+    # runs of rules nest instead of making one long list, so that each stays a small piece of generated code
+    found = [F.when(F.col(ref).like(r["pattern"]), F.lit(r["code"])) for r in listed]
+    while len(found) > 1:
+        found = [F.coalesce(*found[i : i + 16]) for i in range(0, len(found), 16)]
+    return _fill_type(fact, found[0] if found else F.lit(None).cast("string"), ref, into)
 
 
 def _fill_type(fact: DataFrame, found: Column, ref: str, into: str) -> DataFrame:

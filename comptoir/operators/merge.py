@@ -12,8 +12,9 @@ from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from comptoir.functions.measures import as_date
 from comptoir.session import scratch_path
@@ -35,7 +36,8 @@ def upsert(
     update_cols: Sequence[str] | None = None, keep_if_null: Sequence[str] = (),
     insert_only: Sequence[str] = (), delta: bool = False,
 ) -> DataFrame:
-    """Insert new keys, overwrite known ones; the source has each key once.
+    """Insert new keys, overwrite known ones. A key that the source repeats is an error at run time; keys with
+    a missing part match nothing and may repeat.
 
     ``update_cols`` limits what changes on a match, ``insert_only`` names columns
     the old row keeps, and ``keep_if_null`` columns are never erased.
@@ -52,7 +54,7 @@ def upsert(
     src = source.select(
         *[(F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(f"s_{c}")
           for c in cols],
-        F.lit(True).alias("__s"),
+        _once(keys).alias("__s"),
     )
     tgt = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("__t"))
     same = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
@@ -75,6 +77,13 @@ def upsert(
     return merged(tgt.join(src, same, "left")).unionByName(new)
 
 
+def _once(keys: Sequence[str]) -> Column:
+    """True, or an error if the row's key occurs again; counted where the join needs the rows anyway."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    again = whole & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    return F.when(again, F.raise_error(F.lit(f"the source of a merge repeats a key of {', '.join(keys)}")).cast("boolean")).otherwise(True)
+
+
 def retire_missing(
     target: DataFrame, source: DataFrame, key: str, flag: str = "is_current",
     stamp: str | None = None, as_of: Column | None = None,
@@ -126,9 +135,6 @@ def apply_retention(
 
 # ---- tables ---------------------------------------------------------------
 
-MAX_LISTED_PARTS = 5_000
-
-
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -152,26 +158,49 @@ def store(
     staged = scratch_path(spark, "batch")
     batch.write.parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
-    touched = touched_parts(read_or_empty(spark, path, batch.schema), batch, part_col)
+    target = read_or_empty(spark, path, table_schema(spark, path, batch, part_col))
+    merged = merge(touched_parts(target, batch, part_col), batch)
+    lost = [c for c in target.columns if c not in merged.columns]
+    if lost:
+        raise ValueError(f"the merge would lose the table's columns {lost}")
     merged_path = scratch_path(spark, "merged")
-    merge(touched, batch).write.parquet(merged_path)
-    overwrite_parts(spark.read.schema(batch.schema).parquet(merged_path), path, part_col)
+    merged.write.parquet(merged_path)
+    overwrite_parts(spark.read.schema(merged.schema).parquet(merged_path), path, part_col)
+    for used in (staged, merged_path):
+        remove(spark, used)
+
+
+def table_schema(spark: SparkSession, path: str, batch: DataFrame, part_col: str) -> StructType:
+    """The schema of a stored table, which a batch need not cover; of a new one, the batch's.
+
+    The partition column has the batch's type, as folder names hold no types.
+    """
+    try:
+        stored = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return batch.schema
+    return StructType([batch.schema[part_col] if f.name == part_col else f for f in stored.fields])
 
 
 def touched_parts(target: DataFrame, batch: DataFrame, part_col: str) -> DataFrame:
     """Target rows in the partitions the batch has rows for.
 
-    Up to ``MAX_LISTED_PARTS`` partition values become a literal list, by which
-    the scan skips every other folder; more than that are joined.
+    The partition values become a literal list, by which the scan skips every other folder. There are no more
+    of them than folders that the write will name, which Spark's driver lists in any case.
     """
-    parts = batch.select(part_col).distinct()
-    listed = [r[0] for r in parts.limit(MAX_LISTED_PARTS + 1).collect()]
-    if len(listed) > MAX_LISTED_PARTS:
-        return target.join(parts, target[part_col].eqNullSafe(parts[part_col]), "left_semi")
+    listed = [r[0] for r in batch.select(part_col).distinct().collect()]
     wanted = F.col(part_col).isin(*[v for v in listed if v is not None])
     return target.filter(wanted | F.col(part_col).isNull() if None in listed else wanted)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that only this job uses, on whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def overwrite_parts(df: DataFrame, path: str, part_col: str) -> None:
     """Replace exactly the partitions that the frame has rows for."""
     (

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_GROUPS = 1000
 SALTS = 64
 
 
@@ -25,7 +24,9 @@ def row_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id()), F.lit(salts))
 
 
-def splittable_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+def splittable_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
     """Many-to-one join whose skewed partitions AQE can split, also when ``right``
     is a grouped or ranked frame.
 
@@ -33,32 +34,11 @@ def splittable_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     a shuffle. A right side already grouped by the key is not shuffled again, so
     its frequent keys would each stay one task. Joining on a hash of the key as
     well makes both sides shuffle right at the join; small sides are still
-    broadcast.
+    broadcast. With ``null_safe`` missing keys equal each other.
     """
     on = [on] if isinstance(on, str) else list(on)
     keyed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})
     cond = F.xxhash64(*on) == F.xxhash64(*[f"__r_{k}" for k in on])
     for k in on:
-        cond = cond & (F.col(k) == F.col(f"__r_{k}"))
+        cond = cond & (F.col(k).eqNullSafe(F.col(f"__r_{k}")) if null_safe else F.col(k) == F.col(f"__r_{k}"))
     return left.join(keyed, cond, how).drop(*[f"__r_{k}" for k in on])
-
-
-def join_group_values(
-    df: DataFrame, groups: DataFrame, on: Sequence[str], size: str, hot_groups: int = HOT_GROUPS
-) -> DataFrame:
-    """Inner join of rows with one record per group, whatever the group sizes.
-
-    ``groups`` has the exact size of each group. The largest ``hot_groups`` of
-    them, a bounded set, are broadcast, so their rows do not move at all. Each
-    remaining group has at most ``1 / hot_groups`` of the rows and is joined by
-    an ordinary shuffle.
-    """
-    on = list(on)
-    largest = groups.orderBy(F.col(size).desc(), *on).limit(hot_groups)
-    hot = F.broadcast(largest)
-    hot_keys = F.broadcast(largest.select(*on))
-    in_hot = df.join(hot, on, "inner")
-    in_rest = df.join(hot_keys, on, "left_anti").join(
-        groups.join(hot_keys, on, "left_anti"), on, "inner"
-    )
-    return in_hot.unionByName(in_rest)

@@ -26,6 +26,8 @@ def numbered(df: DataFrame, order: Sequence[str], per: str = "day", period: bool
     For a period, the rows of earlier days are added as an offset. Only the
     per-day counts are summed in one place, never the rows themselves.
     """
+    if period:
+        df = df.repartition(per)  # once, under the numbering and the counts
     within = Window.partitionBy(per).orderBy(*[pg_asc(c) for c in order])
     out = df.withColumn(into, F.row_number().over(within))
     if not period:
@@ -67,11 +69,6 @@ def flag_duplicates(
     return step.withColumn(into, F.when(first, 0).otherwise(1)).drop("__salt", "__rn", "__part")
 
 
-def capped(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
-    """At most ``rows`` rows in key order."""
-    return df.orderBy(*[pg_asc(c) for c in order]).limit(rows)
-
-
 def top_one(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first by ``order``: a lookup that cannot multiply rows."""
     first = Window.partitionBy(*key).orderBy(*[pg_asc(c) for c in order])

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.functions.measures import (
-    age_days, as_date, fin_status, qty_status,
+    age_days, as_date, fin_status, qty_status, movement_qty,
 )
 from comptoir.functions.names import shop_key, valid_barcode
 from comptoir.functions.records import json_path
 from comptoir.operators.aggregates import (
-    CASH_METHOD, PAY_METHODS, age_bucket, by_bucket, movement_by_location, movement_io, pay_by_method, sum_by,
+    CASH_METHOD, PAY_METHODS, age_bucket, by_bucket, movement_io, pay_by_method, sum_by,
 )
 from comptoir.operators.filters import SITUATION_LOCATIONS, current, locations_in, nonzero, on_days, only_exceptions
 from comptoir.operators.joins import attach_order, join_day_shop, join_valid, left_dim, with_dims
@@ -142,8 +142,9 @@ def stock_movement(movements: DataFrame, locations: DataFrame, products: DataFra
     known = moved.filter(valid_barcode("barcode")).join(products.select("product_id"), "product_id", "left_semi")
     summed = known.groupBy(
         "movement_day", "location_id", "side", "location_usage", "is_internal", "movement_type"
-    ).agg(F.sum(F.abs("qty")).alias("qty"))
-    return movement_by_location(summed.join(locations.select("location_id", "name_norm"), "location_id"))
+    ).agg(F.sum(movement_qty("side", "qty")).alias("qty_final"))
+    named = summed.join(locations.select("location_id", "name_norm"), "location_id")
+    return named.select("movement_day", "location_id", "name_norm", "side", "location_usage", "is_internal", "movement_type", "qty_final")
 
 
 def stock_age_report(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +30,15 @@ def build_session(app: str = "comptoir", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster
-    that folder would die with its machine.
+    A local session without that setting uses a folder beside its warehouse. On a
+    cluster the folder must be named, as one that dies with its machine is of no use.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="comptoir-")
+    fallback = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/comptoir-scratch"
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.schemas import MOVE_LINE_FILE
@@ -46,23 +46,27 @@ def latest_file(spark: SparkSession, inbox: str, pattern: str = "*.gz") -> str |
 def write_extract(df: DataFrame, out_dir: str, run_ts: datetime, since: datetime, filter_done: bool = True) -> str:
     """Write one extract and its manifest; returns the folder of the data files.
 
-    The manifest counts what was written by reading it back, so the upstream
-    plan runs once.
+    Rows are counted while they are written. A ``raw`` that is no JSON stays as text.
     """
     spark = df.sparkSession
     base = f"stock_move_line_{run_ts:%Y%m%d_%H%M%S}"
     data_dir = f"{out_dir}/{base}"
-    nested = df.withColumn("raw", F.try_parse_json("raw")) if "raw" in df.columns else df
-    nested.write.option("ignoreNullFields", "false").json(data_dir, compression="gzip")
+    as_text = F.to_variant_object(F.struct(F.col("raw").alias("text"))) if "raw" in df.columns else None
+    nested = df
+    if as_text is not None:
+        parsed = F.try_parse_json("raw")
+        nested = df.withColumn("raw", F.coalesce(parsed, F.variant_get(as_text, "$.text", "variant")))
+    seen = Observation()
+    counted = nested.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("ignoreNullFields", "false").json(data_dir, compression="gzip")
     manifest = (
-        spark.read.schema("odoo_id BIGINT").json(data_dir)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        spark.range(1)
         .select(
             F.lit(EXTRACT_MODEL).alias("model"),
             F.lit(f"{run_ts:%Y-%m-%d %H:%M:%S}").alias("created_at_utc"),
             F.lit(f"{since:%Y-%m-%d %H:%M:%S}").alias("extract_since_utc"),
             F.lit(filter_done).alias("filter_done"),
-            "rows",
+            F.lit(seen.get["rows"]).alias("rows"),
             F.lit(base).alias("data_file"),
         )
     )

@@ -71,7 +71,7 @@ def record_json(columns: Sequence[str], relations: Sequence[str] = (), extra: Se
         F.concat(F.lit(f'"{c}":'), F.when(F.trim(c) != "", F.col(c)).otherwise("null"), F.lit(","))
         for c in relations
     ]
-    return F.concat(F.lit("{"), *nested, F.substring(rest, 2, 1 << 30)) if nested else rest
+    return F.concat(F.lit("{"), *nested, F.substr(rest, F.lit(2))) if nested else rest
 
 
 def with_payload(df: DataFrame, name: str = "payload", relations: Sequence[str] = ()) -> DataFrame:

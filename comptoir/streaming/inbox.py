@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from comptoir.operators.merge import store, upsert
-from comptoir.operators.windows import dedup_latest
+from comptoir.operators.merge import read_or_empty, store, touched_parts, upsert
+from comptoir.operators.skew import splittable_join
+from comptoir.operators.windows import dedup_latest, top_one
 from comptoir.schemas import MOVE_LINE_FILE
 
 
@@ -32,9 +33,38 @@ def stream_inbox(
     return reader.format(fmt).load(inbox)
 
 
-def stream_dedup(df: DataFrame, ts: str, keys: Sequence[str], delay: str = "2 hours") -> DataFrame:
-    """First arrival of each key; state is dropped once the watermark has passed it."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def append_new(path: str, keys: Sequence[str], order: Sequence[str], part_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """One micro-batch into a table: the first row of each key by ``order``, unless the table has the key.
+
+    The table itself is the memory, so no row is too late and a batch that is run twice adds nothing. With
+    ``part_col``, a function of the key, only the partitions that the batch touches are looked at. Rows with
+    a missing key part equal each other, like any key.
+    """
+    keys = list(keys)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = top_one(batch, keys, list(order))
+        known = read_or_empty(spark, path, batch.schema)
+        if part_col:
+            known = touched_parts(known, batch, part_col)
+        fresh = splittable_join(first, known.select(*keys).distinct(), keys, "left_anti", null_safe=True)
+        writer = fresh.write.mode("append")
+        (writer.partitionBy(part_col) if part_col else writer).parquet(path)
+
+    return run
+
+
+def stream_dedup(
+    df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], part_col: str | None = None
+) -> StreamingQuery:
+    """Append what has arrived and is not yet in the table, then stop; deliveries may come in any order."""
+    return (
+        df.writeStream.foreachBatch(append_new(path, keys, order, part_col))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, part_col: str | None = None) -> StreamingQuery:
@@ -49,14 +79,15 @@ def merge_batch(path: str, part_col: str, keys: Sequence[str], ts: str, seq: Seq
     """One micro-batch into a keyed table: latest version per key, then a merge.
 
     An older version never replaces a newer one, so a batch that is run twice,
-    or arrives late, leaves the same table. The partition must be a function of
-    the key.
+    or arrives late, leaves the same table. A version without a time replaces the
+    known one, as a plain overwrite would. The partition must be a function of the key.
     """
     keys = list(keys)
 
     def newest(target: DataFrame, batch: DataFrame) -> DataFrame:
         known = target.select(*keys, F.col(ts).alias("__old"))
-        fresh = batch.join(known, keys, "left").filter(F.col("__old").isNull() | (F.col(ts) >= F.col("__old")))
+        newer = F.col("__old").isNull() | F.col(ts).isNull() | (F.col(ts) >= F.col("__old"))
+        fresh = batch.join(known, keys, "left").filter(newer)
         return upsert(target, fresh.drop("__old"), keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:

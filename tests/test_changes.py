@@ -81,13 +81,53 @@ def test_store_touches_only_its_partitions(spark):
     assert rows(spark.read.schema(schema).parquet(path)) == [(1, "a", 1), (2, "B", 2), (3, "c", 3)]
 
 
-def test_touched_parts_beyond_the_listed_ones(spark, monkeypatch):
-    monkeypatch.setattr(mg, "MAX_LISTED_PARTS", 1)
+def test_touched_parts_with_a_missing_one(spark):
     target = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, None)], "k int, part int")
     batch = spark.createDataFrame([(9, 1), (9, 3), (9, None)], "k int, part int")
     assert rows(mg.touched_parts(target, batch, "part").select("k")) == [(1,), (3,), (4,)]
 
 
+def test_merge_keeps_columns_the_batch_lacks(spark):
+    path = scratch_path(spark, "t")
+    mg.overwrite_parts(spark.createDataFrame([(1, "a", 7, 1), (2, "b", 8, 1)], "k int, v string, w int, part int"), path, "part")
+    batch = spark.createDataFrame([(1, "A", 1), (3, "C", 1)], "k int, v string, part int")
+    mg.store(spark, path, batch, "part", lambda t, b: mg.upsert(t, b, ["k", "part"], update_cols=["v"]))
+    assert rows(spark.read.parquet(path).select("k", "v", "w")) == [(1, "A", 7), (2, "b", 8), (3, "C", None)]
+    with pytest.raises(ValueError):
+        mg.store(spark, path, batch, "part", lambda t, b: b)
+
+
+def test_a_repeated_key_is_an_error(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(Exception, match="repeats a key"):
+        mg.upsert(target, batch, ["k"]).collect()
+    missing = spark.createDataFrame([(None, "x"), (None, "y")], "k int, v string")
+    assert mg.upsert(target, missing, ["k"]).count() == 3
+
+
+def test_late_files_are_not_lost(spark):
+    """Newest first, a file per batch: nothing is too late, and nothing comes twice."""
+    from comptoir.streaming import inbox as stream
+
+    box, table, state = (scratch_path(spark, n) for n in ("box", "table", "state"))
+    events = spark.range(1000).selectExpr("id", "timestamp_ntz'2024-01-31' - make_dt_interval(cast(id / 40 AS int)) AS ts")
+    for lo in (0, 250, 500, 750, 0):
+        events.filter(f"id >= {lo} AND id < {lo + 250}").unionByName(events.filter(f"id = {lo}")).coalesce(1).write.mode("append").parquet(box)
+    source = stream.stream_inbox(spark, box, events.schema, files_per_trigger=1, fmt="parquet")
+    stream.stream_dedup(source, table, state, ["id"], ["ts"]).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == list(range(1000))
+
+
+def test_a_version_without_a_time_is_not_lost(spark):
+    from comptoir.streaming import inbox as stream
+
+    path, schema = scratch_path(spark, "t"), "k int, v string, ts timestamp_ntz, part int"
+    for v, ts in (("old", T0), ("new", None)):
+        stream.merge_batch(path, "part", ["k", "part"], "ts", ["v"])(spark.createDataFrame([(1, v, ts, 1)], schema), 0)
+    assert rows(spark.read.schema(schema).parquet(path).select("k", "v")) == [(1, "new")]
+
+
 def test_drop_old_parts(spark):
     path = scratch_path(spark, "t")
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-03-01")], "k int, day string")

@@ -10,16 +10,17 @@ from tests.conftest import plan, rows
 RULE = "code string, pattern string, priority int, is_active boolean"
 
 
-@pytest.mark.parametrize("inline", [200, 0])
-def test_rules_by_priority_then_code(spark, inline):
+@pytest.mark.parametrize("idle", [0, 300])
+def test_rules_by_priority_then_code(spark, idle):
     rules = spark.createDataFrame(
-        [("B", "X%", 1, True), ("A", "X%", 1, True), ("LOW", "%", 9, True), ("OFF", "%", 0, False), ("BIG", "%99", 3, True)], RULE
+        [("B", "X%", 1, True), ("A", "X%", 1, True), ("LOW", "%", 9, True), ("OFF", "%", 0, False), ("BIG", "%99", 3, True),
+         (None, "%", 0, True), ("NONE", None, 0, True), *[(f"I{i}", f"no such {i}%", i % 7, True) for i in range(idle)]], RULE
     )
     fact = spark.createDataFrame(
         [(1, "X99", None), (2, "Y99", ""), (3, "Y", "KEPT"), (4, None, None), (5, "Z", None)],
         "i int, movement_ref string, movement_type string",
     )
-    typed = jn.classify_by_rules(fact, rules, max_inline=inline).select("i", "movement_type")
+    typed = jn.classify_by_rules(fact, rules).select("i", "movement_type")
     assert rows(typed) == [(1, "A"), (2, "BIG"), (3, "KEPT"), (4, None), (5, "LOW")]
 
 
@@ -29,6 +30,14 @@ def test_no_rule_matches(spark):
     assert rows(jn.classify_by_rules(fact, rules).select("movement_type")) == [("",)]
 
 
+def test_more_rules_than_allowed_are_refused(spark):
+    rules = spark.createDataFrame([(f"C{i}", f"{i}%", i, True) for i in range(4)], RULE)
+    fact = spark.createDataFrame([(1, "1")], "i int, movement_ref string")
+    assert rows(jn.classify_by_rules(fact, rules, max_rules=4).select("movement_type")) == [("C1",)]
+    with pytest.raises(ValueError):
+        jn.classify_by_rules(fact, rules, max_rules=3)
+
+
 def test_inline_rules_need_no_shuffle(spark):
     rules = spark.createDataFrame([("A", "X%", 1, True)], RULE)
     fact = spark.range(10).selectExpr("id", "concat('X', id) AS movement_ref")

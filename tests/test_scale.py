@@ -12,7 +12,7 @@ from checks.registry import run
 from comptoir.operators import aggregates as agg
 from comptoir.operators import joins as jn
 from comptoir.operators import windows as win
-from comptoir.operators.skew import join_group_values, row_salt, splittable_join
+from comptoir.operators.skew import row_salt, splittable_join
 from comptoir.plans import pos
 from comptoir.sources import slices
 from tests.conftest import SF, plan, rows
@@ -85,11 +85,17 @@ def test_every_row_of_a_hot_group_is_kept(hot):
     assert out.select("occurrences").distinct().collect()[0][0] == 20_000
 
 
-@pytest.mark.parametrize("hot_groups", [1, 3, 1000])
-def test_group_values_reach_every_group(spark, hot_groups):
-    df = spark.range(100).selectExpr("id % 7 AS k", "id")
+def test_group_values_reach_every_group(spark):
+    df = spark.range(100).selectExpr("nullif(id % 7, 3) AS k", "id")
     groups = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    assert rows(join_group_values(df, groups, ["k"], "n", hot_groups)) == rows(df.join(groups, "k"))
+    got = rows(splittable_join(df, groups, ["k"], null_safe=True))
+    assert len(got) == 100 and sorted(r[2] for r in got if r[0] is None) == [14] * 14
+    assert rows(splittable_join(df, groups, ["k"])) == rows(df.join(groups, "k"))
+
+
+def test_duplicates_keep_missing_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (5, 3), (5, 4), (6, 5)], "k int, v int")
+    assert rows(agg.duplicates(df, ["k"]).select("k", "v", "occurrences")) == [(None, 1, 2), (None, 2, 2), (5, 3, 2), (5, 4, 2)]
 
 
 def test_copies_are_salted_apart(spark):
@@ -110,6 +116,9 @@ def test_payment_text_in_runs_and_parts(spark):
     whole = " | ".join(f"m{i}: {i}.0" for i in range(50))
     assert rows(agg.payment_text(pays)) == [(1, 0, whole)]
     assert rows(agg.payment_text(pays, chunk=7)) == [(1, 0, whole)]
+    for chunk in (1, 7, 1000):  # the cut is at positions, however runs are cut
+        sizes = [p[2].count(" | ") + 1 for p in rows(agg.payment_text(pays, chunk=chunk, part_size=13))]
+        assert sizes == [13, 13, 13, 11]
     parts = rows(agg.payment_text(pays, chunk=7, part_size=10))
     assert [p[1] for p in parts] == [0, 1, 2, 3, 4]
     assert " | ".join(p[2] for p in parts) == whole
