@@ -37,6 +37,8 @@ _BLANK = "Ġ"  # how the byte alphabet of such tokenizers shows a blank
 _BLOCK_CHARS = 4_000_000
 # A blank before anything but white space always begins a new pre-token of a byte-level tokenizer.
 _CHUNK = re.compile(r" (?=\S)")
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_BEFORE_SPACE = {True: [" " + c for c in _SPACES if c.isascii()], False: [" " + c for c in _SPACES]}
 _ROWS = pa.schema([
     ("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -44,6 +46,13 @@ _ROWS = pa.schema([
 _DDL = "key long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
+def _chunks(text: str) -> list[str]:
+    """The text cut before every blank that more than white space follows, without those blanks."""
+    if text[-1:] == " " or any(pair in text for pair in _BEFORE_SPACE[text.isascii()]):
+        return _CHUNK.split(text)
+    return text.split(" ")
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, which sees each distinct chunk of text once."""
 
@@ -81,26 +90,37 @@ class Encoder:
         self._learn(self.later, odd, " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list[list[str] | bytes] = []
-        first, later = set(), set()
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list = []
+        later_of, first, later = self.later.get, set(), set()
         for text in texts:
             if any(s in text for s in self.special):
-                parts.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
                 continue
-            chunks = _CHUNK.split(text)
-            first.add(chunks[0])
-            later.update(chunks[1:])
-            parts.append(chunks)
-        self._learn(self.first, list(first.difference(self.first)), "")
-        self._learn_later(list(later.difference(self.later)))
-        out = [p if isinstance(p, bytes) else self.first[p[0]] + b"".join([self.later[c] for c in p[1:]]) for p in parts]
-        for known in (self.first, self.later):
+            begin, *rest = _chunks(text)
+            coded = list(map(later_of, rest))
+            if None in coded:
+                later.update([c for c, x in zip(rest, coded) if x is None])
+            else:
+                rest = None
+            if begin not in self.first:
+                first.add(begin)
+            out.append((begin, rest, coded))
+        self._learn(self.first, list(first), "")
+        self._learn_later(list(later))
+        for i, held in enumerate(out):
+            if not isinstance(held, bytes):
+                begin, rest, coded = held
+                if rest is not None:
+                    coded = [self.later[c] if x is None else x for c, x in zip(rest, coded)]
+                out[i] = self.first[begin] + b"".join(coded)
+        for known, new in ((self.first, first), (self.later, later)):
             if len(known) > _KEPT_CHUNKS:
                 known.clear()
             else:
-                for chunk in first | later:
+                for chunk in new:
                     if len(chunk) > _KEPT_CHARS:
-                        known.pop(chunk, None)
+                        del known[chunk]
         return out
 
 
