@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comptoir.operators.skew import splittable_join
 from comptoir.session import cut_lineage
 
 
@@ -22,11 +23,11 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: every larger neighbour goes to the smallest of the neighbours and the node itself
         both = pair.unionByName(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
-        large = both.filter("v > u").join(least.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("w").alias("v")).filter("u <> v")
+        large = splittable_join(both.filter("v > u"), least, "u").select(F.col("v").alias("u"), F.col("w").alias("v")).filter("u <> v")
         # small star: every smaller neighbour, and the node, goes to the smallest
         large = cut_lineage(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("w"))
-        small = large.join(least.hint("shuffle_merge"), "u").filter("v <> w").select(F.col("v").alias("u"), F.col("w").alias("v"))
+        small = splittable_join(large, least, "u").filter("v <> w").select(F.col("v").alias("u"), F.col("w").alias("v"))
         pair = cut_lineage(least.select("u", F.col("w").alias("v")).unionByName(small).distinct())
         before, state = state, _state(pair)
         if state == before:
