@@ -136,6 +136,17 @@ def judge(df: DataFrame, rules: Iterable[Rule] = RULES, base: Iterable[str] = BA
     return counted.select("*", any_of(base).alias("base_failed"), (~any_of(broken)).alias("kept"))
 
 
+def keep_good(df: DataFrame, rules: Iterable[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text breaks no rule, with all their columns.
+
+    The partition number in the condition stops the optimizer from copying the whole projection, many times
+    over, into a filter below it.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    judged = judge(df.select(row.alias("_row"), F.col(text)), rules, text=text, keep=("_row",))
+    return judged.withColumn("_part", F.spark_partition_id()).filter((F.col("_part") >= 0) & F.col("kept")).select("_row.*")
+
+
 def rules_sql(rules: Iterable[Rule] = RULES) -> dict[str, str]:
     """The same table as SQL conditions over the counts, true where a text breaks the rule."""
     values = {

@@ -19,8 +19,7 @@ def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return quality_rules.judge(docs.select(row.alias("_row"), "text"), keep=("_row",)).filter("kept").select("_row.*")
+    return quality_rules.keep_good(docs)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
