@@ -89,7 +89,7 @@ def _ordered(x: np.ndarray) -> np.ndarray:
 def _scored(batch: pa.RecordBatch, weights: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for part, raw, at in blocks(batch, "text"):
         numbers, owner = _features(raw, at, len(weights))
-        log_weight = np.bincount(owner, weights[numbers], part.num_rows)
+        log_weight = np.bincount(owner, weights[numbers], part.num_rows).astype(np.float64)  # whole if there are no words
         docs = np.asarray(part.column(part.schema.get_field_index("doc")).fill_null(0))
         yield part, log_weight, _ordered(log_weight + _noise(docs))
 
