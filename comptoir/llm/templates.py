@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm.arrays import U64, arrow_map, mix
+from comptoir.operators.skew import splittable_join
 
 SUPPORT = 0.5
 """Share of a host's pages that a template's tokens occur on, at least."""
@@ -229,9 +230,11 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
     )
 
 
-def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """``host`` and ``template``: its paths and fixed texts (struct path, text), of hosts with two pages at least."""
-    whole = vectors.filter("path = '' AND text = 0").select("host", F.col("pages").alias("of")).filter("of > 1")
+def deduce(vectors: DataFrame, counts: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """``host`` and ``template``: its paths and fixed texts (struct path, text), of hosts with two pages at least.
+
+    ``counts`` has the pages ``of`` each host."""
+    whole = counts.filter("of > 1")
     often = vectors.filter("pages > 1").join(whole.hint("shuffle_merge"), "host").filter(F.col("pages") >= F.col("of") * support)
     classes = often.groupBy("host", "vector", "pages", "times").agg(F.collect_list(F.struct("path", "text")).alias("tokens"))
     # a class of one token is a repeated element, or a text that nothing else goes with
@@ -294,7 +297,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
     """
     source = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.coalesce(F.col(body), F.lit("")).alias("html"), host(url).alias("host"))
     marked = source.filter("host IS NOT NULL").select("host", F.xxhash64("page", "url").alias("page"), "html")
-    templates = deduce(occurrence_vectors(marked), support)
+    counts = marked.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    templates = deduce(occurrence_vectors(marked), counts, support)
 
     def run(batches):
         known: dict[str, tuple] = {}
@@ -312,6 +316,6 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
                 texts.append(main_text(page, template))
             yield pa.record_batch([ids, urls, pa.array(texts, pa.string())], ["page", "url", "text"])
 
-    joined = source.join(templates.hint("shuffle_merge"), "host", "left").select("page", "url", "html", "host", "template")
+    joined = splittable_join(source, templates, "host", "left").select("page", "url", "html", "host", "template")
     kind = joined.schema["page"].dataType.simpleString()
     return joined.transform(arrow_map, run, f"page {kind}, url string, text string").toDF(key, "url", "text")
