@@ -69,7 +69,7 @@ def changed_products(
         "written_at": parse_dt("write_date"),
         "template_id": m2o_id("product_tmpl_id"),
     })
-    changed = slice_since(base, "written_at", "id", since_ts, since_id, max_rows).filter(has_code_prefix("name"))
+    changed = slice_since(base, "written_at", "id", since_ts, since_id, max_rows, "write_date").filter(has_code_prefix("name"))
     tmpl = templates.select(
         F.col("id").alias("template_id"), m2o_id("categ_id").alias("category_id"), m2o_id("uom_id").alias("uom_id")
     )

@@ -13,6 +13,7 @@ from comptoir.operators.incremental import backfill
 from comptoir.operators.merge import purge_from, upsert
 from comptoir.schemas import EXPENSE_RELATIONS, QTY
 from comptoir.sources.scans import with_payload
+from comptoir.sources.slices import not_before
 
 
 def fct_expense(expenses: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -32,13 +33,13 @@ def fct_expense(expenses: DataFrame, as_of: datetime | str) -> DataFrame:
 
 def load_expenses(target: DataFrame, expenses: DataFrame, as_of: datetime | str, since_ts: datetime | str) -> DataFrame:
     """Incremental load of expenses written after a time."""
-    new = fct_expense(expenses, as_of).filter(F.col("write_ts") > as_ts(since_ts))
+    new = fct_expense(expenses.filter(not_before("write_date", since_ts)), as_of).filter(F.col("write_ts") > as_ts(since_ts))
     return upsert(target, new, ["expense_id"])
 
 
 def load_expense_status(target: DataFrame, expenses: DataFrame, as_of: datetime | str, since_ts: datetime | str) -> DataFrame:
     """As ``load_expenses``, but a known expense only takes a new status and payload."""
-    new = fct_expense(expenses, as_of).filter(F.col("write_ts") > as_ts(since_ts))
+    new = fct_expense(expenses.filter(not_before("write_date", since_ts)), as_of).filter(F.col("write_ts") > as_ts(since_ts))
     return upsert(target, new, ["expense_id"], update_cols=["status", "payload", "updated_at"])
 
 

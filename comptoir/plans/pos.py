@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from comptoir.functions.measures import as_ts, payment_dt, split_overflow
 from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
+from comptoir.operators.incremental import since_from_target
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
 from comptoir.operators.merge import upsert
 from comptoir.operators.skew import splittable_join
+from comptoir.operators.windows import dedup_latest, top_one
 from comptoir.schemas import (
     ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
 )
 from comptoir.sources.scans import with_payload
-from comptoir.sources.slices import slice_last, slice_range
+from comptoir.session import cut_lineage
+from comptoir.sources.slices import not_before, slice_last, slice_range
 
 # fixed values
 UNPAID, UNKNOWN_ORDER = "NON PAYÉ", "INCONNU"
@@ -38,7 +41,8 @@ def stg_pos_line(
     with the square of its size. ``with_payment_text`` puts the two together.
     """
     recent = slice_last(
-        lines.withColumn("created_at", parse_dt("create_date")), "created_at", as_of, hours=hours, inclusive=True
+        lines.withColumn("created_at", parse_dt("create_date")), "created_at", as_of, hours=hours, inclusive=True,
+        text="create_date",
     ).withColumn("order_id", m2o_id("order_id"))
     keys = recent.select("order_id")
     paid = payments.select(
@@ -111,7 +115,7 @@ def pos_hist(
     """
     in_range = slice_range(
         lines.withColumns({"created_at": parse_dt("create_date"), "order_id": m2o_id("order_id")}),
-        "created_at", from_, to,
+        "created_at", from_, to, "create_date",
     ).filter(F.col("order_id").isNotNull())
     keys = in_range.select("order_id")
     heads = restrict_to(with_payload(orders, relations=ORDER_RELATIONS).withColumn("order_id", F.col("id")), keys, "order_id")
@@ -227,7 +231,8 @@ def fct_pos_payment(payments: DataFrame, orders: DataFrame, as_of: datetime | st
 
 def fct_pos_session(sessions: DataFrame, as_of: datetime | str, days: int = 30) -> DataFrame:
     recent = slice_last(
-        with_payload(sessions, relations=SESSION_RELATIONS).withColumn("__at", parse_dt("write_date")), "__at", as_of, days=days, inclusive=True
+        with_payload(sessions, relations=SESSION_RELATIONS).withColumn("__at", parse_dt("write_date")), "__at", as_of, days=days, inclusive=True,
+        text="write_date",
     )
     return recent.select(
         F.col("id").alias("session_id"),
@@ -241,18 +246,35 @@ def fct_pos_session(sessions: DataFrame, as_of: datetime | str, days: int = 30)
 
 def fct_pos(
     orders: DataFrame, lines: DataFrame, payments: DataFrame, sessions: DataFrame, products: DataFrame,
-    as_of: datetime | str, targets: dict[str, DataFrame] | None = None,
+    as_of: datetime | str, targets: dict[str, DataFrame] | None = None, buffer: str = "INTERVAL 48 HOURS",
 ) -> dict[str, DataFrame]:
-    """All four facts; lines and payments also find orders loaded earlier."""
+    """All four facts; lines and payments also find orders loaded earlier.
+
+    With ``targets`` each source is read from the latest write its own target holds, less ``buffer``; the
+    latest version of each id is merged, and stored lines without a barcode take the one their product has
+    by now. Orders are written once and read by the other facts.
+    """
     targets = targets or {}
 
+    def recent(name: str, source: DataFrame) -> DataFrame:
+        if name not in targets:
+            return source
+        start = since_from_target(targets[name], "write_ts", buffer).first()["since_ts"]
+        return source.filter(not_before("write_date", start) & (parse_dt("write_date") >= as_ts(start)))
+
     def merged(name: str, new: DataFrame, key: str) -> DataFrame:
-        return upsert(targets[name], new, [key]) if name in targets else new
+        if name not in targets:
+            return new
+        latest = dedup_latest(new, [key], "write_ts", ["payload"]) if "write_ts" in new.columns else top_one(new, [key], ["payload"])
+        return upsert(targets[name], latest, [key])
 
-    all_orders = merged("orders", fct_pos_order(orders, as_of), "order_id")
+    all_orders = cut_lineage(merged("orders", fct_pos_order(recent("orders", orders), as_of), "order_id"))
+    all_lines = merged("lines", fct_pos_line(recent("lines", lines), all_orders, products, as_of), "line_id")
+    if "lines" in targets:
+        all_lines = fill_from(all_lines, products, "product_id", "barcode")
     return {
         "orders": all_orders,
-        "lines": merged("lines", fct_pos_line(lines, all_orders, products, as_of), "line_id"),
-        "payments": merged("payments", fct_pos_payment(payments, all_orders, as_of), "payment_id"),
+        "lines": all_lines,
+        "payments": merged("payments", fct_pos_payment(recent("payments", payments), all_orders, as_of), "payment_id"),
         "sessions": merged("sessions", fct_pos_session(sessions, as_of), "session_id"),
     }

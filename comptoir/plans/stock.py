@@ -32,7 +32,7 @@ def stg_quant(
     raw = with_payload(quants, relations=QUANT_RELATIONS).withColumns({
         "written_at": parse_dt("write_date"), "location_id": m2o_id("location_id"),
     })
-    changed = slice_since(scan_in_scope(raw, locations, usages), "written_at", "id", since_ts, since_id, max_rows)
+    changed = slice_since(scan_in_scope(raw, locations, usages), "written_at", "id", since_ts, since_id, max_rows, "write_date")
     new = dedup_latest(changed, ["id"], "written_at", ["payload"]).select(
         F.coalesce(F.col("written_at").cast("date"), as_date(str(as_of)[:10])).alias("part_day"),
         F.col("id").alias("quant_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,17 +13,35 @@ def _ts(value: datetime | date | str):
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _text(value: datetime | date | str) -> str:
+    """A time as sources write it, to whole seconds."""
+    return f"{datetime.fromisoformat(str(value)):%Y-%m-%d %H:%M:%S}"
+
+
+def not_before(text: str, value: datetime | date | str) -> Column:
+    """Bound on a time held as text, for the scan to skip row groups by; what it lets through is still parsed.
+
+    The layout sorts as text. Texts that begin with a blank sort before any digit and are let through.
+    """
+    return (F.col(text) >= _text(value)) | (F.col(text) < "0")
+
+
+def not_after(text: str, value: datetime | date | str) -> Column:
+    return F.col(text) <= _text(value)
+
+
 def slice_since(
     df: DataFrame, ts: str, key: str, since_ts: datetime | str, since_id: int,
-    max_rows: int | None = None,
+    max_rows: int | None = None, text: str | None = None,
 ) -> DataFrame:
     """Rows after ``(since_ts, since_id)`` in time order, at most ``max_rows``.
 
     The leading ``>=`` is implied by the rest; it is there because an OR of two
-    columns is not a range the scan can skip by.
+    columns is not a range the scan can skip by. ``text`` names the column that
+    ``ts`` was parsed from.
     """
     at = _ts(since_ts)
-    out = df.filter(
+    out = (df.filter(not_before(text, since_ts)) if text else df).filter(
         (F.col(ts) >= at) & ((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > since_id)))
     )
     if max_rows:
@@ -33,18 +51,23 @@ def slice_since(
 
 def slice_last(
     df: DataFrame, col: str, as_of: datetime | str, days: float = 0, hours: float = 0,
-    inclusive: bool = False, state_col: str | None = None, state: str = "done",
+    inclusive: bool = False, state_col: str | None = None, state: str = "done", text: str | None = None,
 ) -> DataFrame:
-    """Rows of the last days or hours before ``as_of``, optionally in one state."""
+    """Rows of the last days or hours before ``as_of``, optionally in one state.
+
+    ``text`` names the column that ``col`` was parsed from.
+    """
     start = datetime.fromisoformat(str(as_of)) - timedelta(days=days, hours=hours)
     cond = F.col(col) >= _ts(start) if inclusive else F.col(col) > _ts(start)
     if state_col:
         cond = cond & (F.coalesce(F.col(state_col), F.lit("")) == state)
-    return df.filter(cond)
+    return (df.filter(not_before(text, start)) if text else df).filter(cond)
 
 
-def slice_range(df: DataFrame, col: str, from_: datetime | str, to: datetime | str) -> DataFrame:
-    """Half-open range ``[from_, to)``."""
+def slice_range(df: DataFrame, col: str, from_: datetime | str, to: datetime | str, text: str | None = None) -> DataFrame:
+    """Half-open range ``[from_, to)``; ``text`` names the column that ``col`` was parsed from."""
+    if text:
+        df = df.filter(not_before(text, from_) & not_after(text, to))
     return df.filter((F.col(col) >= _ts(from_)) & (F.col(col) < _ts(to)))
 
 

@@ -13,7 +13,10 @@ from comptoir.operators import aggregates as agg
 from comptoir.operators import joins as jn
 from comptoir.operators import windows as win
 from comptoir.operators.skew import row_salt, splittable_join
-from comptoir.plans import pos
+from comptoir.functions.records import parse_dt
+from comptoir.plans import movements as mv
+from comptoir.plans import pos, stock
+from comptoir.session import scratch_path
 from comptoir.sources import slices
 from tests.conftest import SF, plan, rows
 
@@ -151,6 +154,33 @@ def test_slices_reach_the_scan(tables):
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
 
 
+RAW_SLICES = {
+    "move lines": ("line_raw", "write_date", lambda t, raw: mv.extract_move_lines(raw, t.priced_product, "2002-01-01")),
+    "line staging": ("order_line_raw", "create_date", lambda t, raw: pos.stg_pos_line(raw, t.order_raw, t.payment_raw, "2002-01-01")["lines"]),
+    "history": ("order_line_raw", "create_date", lambda t, raw: pos.pos_hist(t.order_raw, raw, t.payment_raw, "2001-01-01", "2002-01-01", "2002-01-01")["lines"]),
+    "sessions": ("session_raw", "write_date", lambda t, raw: pos.fct_pos_session(raw, "2002-01-01")),
+    "quants": ("quant_raw", "write_date", lambda t, raw: stock.stg_quant(raw, t.location, "2001-01-01 00:00:00", 0, "2002-01-01")),
+}
+
+
+@pytest.mark.parametrize("name", list(RAW_SLICES))
+def test_slices_on_text_reach_the_scan(spark, tables, name):
+    table, text, run = RAW_SLICES[name]
+    path = scratch_path(spark, "raw")
+    getattr(tables, table).limit(200).write.parquet(path)
+    assert re.search(rf"PushedFilters: \[[^\]]*GreaterThanOrEqual\({text},", plan(run(tables, spark.read.parquet(path))))
+
+
+def test_text_bounds_lose_nothing(spark):
+    times = ["2024-01-05 10:00:00", " 2024-01-06 00:00:00", "2024-01-05 09:59:59", "2024-01-05 10:00:01 ", "bad", None, ""]
+    df = spark.createDataFrame([(t,) for t in times], "raw string").withColumn("at", parse_dt("raw"))
+    for at in ("2024-01-05 10:00:00", "2024-01-05 10:00:00.5", "2024-01-05"):
+        for inclusive in (True, False):
+            plain = slices.slice_last(df, "at", at, inclusive=inclusive)
+            assert rows(slices.slice_last(df, "at", at, inclusive=inclusive, text="raw")) == rows(plain)
+        assert rows(slices.slice_range(df, "at", "2024-01-05 10:00:00", at, "raw")) == rows(slices.slice_range(df, "at", "2024-01-05 10:00:00", at))
+
+
 def test_capped_slice_keeps_only_the_top_rows_per_task(tables):
     capped = slices.slice_since(tables.events, "ts", "event_id", "2024-01-15 00:00:00", 0, max_rows=10)
     assert "TakeOrderedAndProject" in plan(capped)
