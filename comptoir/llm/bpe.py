@@ -25,10 +25,10 @@ _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(f"[{_SPACE}]+")
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 """Encoded words that a worker keeps from block to block (memory only; results don't depend on it)."""
 _KEPT_CHARS = 48
-_BLOCK_CHARS = 6_000_000
+_BLOCK_CHARS = 2_500_000
 
 
 def _byte_alphabet() -> list[str]:
