@@ -20,7 +20,7 @@ from comptoir.operators.filters import SITUATION_LOCATIONS, current, locations_i
 from comptoir.operators.joins import attach_order, join_day_shop, join_valid, left_dim, with_dims
 from comptoir.operators.quality import stock_situation as situation
 from comptoir.operators.sets import day_spine
-from comptoir.operators.windows import numbered
+from comptoir.operators.windows import numbered, sorted_report
 
 
 def as_day(value: date | str) -> date:
@@ -133,7 +133,7 @@ def stock_situation(
         .withColumn("day", F.date_add("movement_day", 1)),
         ["day", "location_id"],
     )
-    return situation(spine, prev, curr, moved, ["day", "location_id"])
+    return sorted_report(situation(spine, prev, curr, moved, ["day", "location_id"]), ["day", "name_norm"], desc=["name_norm"])
 
 
 def stock_movement(movements: DataFrame, locations: DataFrame, products: DataFrame, from_day: date | str, to_day: date | str | None = None) -> DataFrame:
@@ -144,7 +144,8 @@ def stock_movement(movements: DataFrame, locations: DataFrame, products: DataFra
         "movement_day", "location_id", "side", "location_usage", "is_internal", "movement_type"
     ).agg(F.sum(movement_qty("side", "qty")).alias("qty_final"))
     named = summed.join(locations.select("location_id", "name_norm"), "location_id")
-    return named.select("movement_day", "location_id", "name_norm", "side", "location_usage", "is_internal", "movement_type", "qty_final")
+    rows = named.select("movement_day", "location_id", "name_norm", "side", "location_usage", "is_internal", "movement_type", "qty_final")
+    return sorted_report(rows, ["movement_day", "side", "location_usage", "movement_type", "name_norm"])
 
 
 def stock_age_report(
@@ -162,7 +163,7 @@ def stock_age_report(
     )
     summed = sum_by(known, ["opening_date", "location_id", "bucket"], "opening_qty", "qty")
     named = summed.join(locations.select("location_id", F.col("complete_name").alias("location")), "location_id")
-    return by_bucket(named, ["opening_date", "location"], "bucket", "qty")
+    return sorted_report(by_bucket(named, ["opening_date", "location"], "bucket", "qty"), ["opening_date", "location"])
 
 
 def detailed_revenue(lines: DataFrame, orders: DataFrame, from_day: date | str, to_day: date | str | None = None) -> DataFrame:
@@ -177,7 +178,7 @@ def detailed_revenue(lines: DataFrame, orders: DataFrame, from_day: date | str,
         json_path("payload", "$.config_id[1]").alias("pos_name"),
         json_path("payload", "$.employee_id[1]").alias("agent"),
     )
-    return attach_order(sold, heads)
+    return sorted_report(attach_order(sold, heads), ["pos_name", "order_id"])
 
 
 def stock_opening_listing(openings: DataFrame, locations: DataFrame, products: DataFrame, from_day: date | str, to_day: date | str | None = None) -> DataFrame:
@@ -203,4 +204,4 @@ def stock_exceptions(openings: DataFrame, products: DataFrame, locations: DataFr
     ).select(
         "opening_date", "barcode", "location", "product_name", "category", "opening_qty", "unit_cost",
         "unit_sale_price", "status_qty", "status_financial",
-    )
+    ).transform(sorted_report, ["location", "category"])

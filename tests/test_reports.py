@@ -142,3 +142,17 @@ def test_coverage(spark):
     df = spark.createDataFrame([(date(2024, 1, 31),), (date(2024, 3, 1),)], "d date")
     assert [r[0] for r in rows(dq.missing_months(df, "d", "2024-01-15", "2024-03-02"))] == [date(2024, 2, 1)]
     assert dq.missing_days(df, "d", "2024-01-30", "2024-02-01").count() == 2
+
+
+def test_reports_come_in_their_order(tables):
+    """Presentation order, with missing values last, as the reports list them."""
+    moved = [(r.movement_day, r.side) for r in run_query("rp_04_stock_movement", tables)]
+    assert moved == sorted(moved)
+    odd = [(r.location is None, r.location, r.category is None, r.category or "") for r in run_query("rp_08_stock_exceptions", tables)]
+    assert odd == sorted(odd)
+
+
+def run_query(name, tables):
+    from checks import QUERIES
+
+    return QUERIES[name][0](tables).collect()
