@@ -11,13 +11,14 @@ from checks.q_sources import EXTRACT_SQL, extract_columns
 from checks.registry import query
 from checks.standins import PAYMENT_ID
 from comptoir.functions.records import m2o_id, parse_dt
+from comptoir.operators import merge as mg
 from comptoir.operators.windows import dedup_latest
 from comptoir.plans import dimensions as dim
 from comptoir.plans import expenses as ex
 from comptoir.plans import movements as mv
 from comptoir.plans import pos, stock
 from comptoir.plans import reports as rp
-from comptoir.session import cut_lineage
+from comptoir.session import cut_lineage, scratch_path
 
 AS_OF = "2002-01-01 00:00:00"
 PART_KEYWORDS = ("PERRUQUE", "LACE", "CLOSURE", "PLANTE")
@@ -109,11 +110,14 @@ def move_line_extract(t):
     return extract_columns(lines)
 
 
-@query("ds_07_move_line_staging", """
+STAGED_SQL = """
     SELECT odoo_id AS move_line_id, product_id, location_dest_id, write_date[1:10] AS part_day, write_date AS write_ts, CAST(qty AS DOUBLE) AS qty_done,
            CASE WHEN barcode <> 'false' THEN barcode END AS barcode, unit_sale_price, unit_cost, ref AS movement_ref,
            md5(CAST(odoo_id AS STRING) || '|' || write_date || '|' || regexp_replace(CAST(CAST(qty AS DECIMAL(20,4)) AS STRING), '0{{1,3}}$', '')) AS dup_key
-    FROM (""" + EXTRACT_SQL + ")")
+    FROM (""" + EXTRACT_SQL + ")"
+
+
+@query("ds_07_move_line_staging", STAGED_SQL)
 def move_line_staging(t):
     extract = mv.extract_move_lines(t.line_raw, t.priced_product, datetime(2002, 1, 1), days=2922)
     return mv.stg_move_line(extract, AS_OF).select(
@@ -122,6 +126,21 @@ def move_line_staging(t):
     )
 
 
+@query("ds_07_stored_by_day", STAGED_SQL)
+def move_lines_by_day(t):
+    """An earlier load had other days from the cut on; the reload takes their place, read back from the table."""
+    extract = mv.extract_move_lines(t.line_raw, t.priced_product, datetime(2002, 1, 1), days=2922)
+    staged = cut_lineage(mv.stg_move_line(extract, AS_OF))
+    path, cut = scratch_path(t.spark, "staging"), "1998-01-01"
+    moved = F.when(F.col("part_day") >= cut, F.date_add("part_day", 9000)).otherwise(F.col("part_day"))
+    mg.overwrite_parts(staged.withColumn("part_day", moved), path, "part_day")
+    mv.store_move_lines(staged, path, cut)
+    return t.spark.read.schema(staged.schema).parquet(path).select(
+        "move_line_id", "product_id", "location_dest_id", "part_day", "write_ts", "qty_done", "barcode",
+        "unit_sale_price", "unit_cost", "movement_ref", "dup_key",
+    )
+
+
 ENTRIES_SQL = f"""
     WITH moves AS (SELECT coalesce(write_ts, business_ts) AS moved_at, s.*, coalesce(movement_ref,
                CASE WHEN move_line_id % 8 <> 1 THEN 'PICK/' || CAST(move_id AS STRING) END) AS ref

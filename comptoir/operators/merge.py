@@ -215,19 +215,49 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def drop_old_parts(spark: SparkSession, path: str, part_col: str, first_kept: str) -> list[str]:
-    """Delete the partition folders of values before ``first_kept``; returns the values.
-
-    Works on folder names alone: days as ``yyyy-MM-dd`` and months as ``yyyyMM``
-    both sort as text.
-    """
+def drop_parts(spark: SparkSession, path: str, part_col: str, wanted: Callable[[str], bool]) -> list[str]:
+    """Delete the partition folders whose value is ``wanted``; returns the values. Works on folder names alone."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     dropped = []
-    for status in fs.listStatus(root):
+    for status in fs.listStatus(root) if fs.exists(root) else []:
         name, _, part = status.getPath().getName().partition("=")
-        if name == part_col and part != "__HIVE_DEFAULT_PARTITION__" and part < str(first_kept):
+        if name == part_col and part != "__HIVE_DEFAULT_PARTITION__" and wanted(part):
             fs.delete(status.getPath(), True)
             dropped.append(part)
     return sorted(dropped)
+
+
+def drop_old_parts(spark: SparkSession, path: str, part_col: str, first_kept: str) -> list[str]:
+    """Delete the partition folders of values before ``first_kept``; returns the values.
+
+    Days as ``yyyy-MM-dd`` and months as ``yyyyMM`` both sort as text.
+    """
+    return drop_parts(spark, path, part_col, lambda part: part < str(first_kept))
+
+
+def reload_parts(
+    spark: SparkSession, path: str, batch: DataFrame, part_col: str, first: date | str, last: date | str | None = None
+) -> list[str]:
+    """The stored form of ``reload_window``, ``replace_day`` and ``purge_from``: partitions from ``first`` to ``last``
+    (or on) come from the batch alone, and those that it leaves empty disappear; returns the latter.
+
+    Only partitions in the range are written or deleted, and none is read. The batch is written to the shared
+    folder first, so a run that breaks off can be repeated. Partition values sort as text.
+    """
+    inside = F.col(part_col).cast("string") >= str(first)
+    if last is not None:
+        inside = inside & (F.col(part_col).cast("string") <= str(last))
+    staged = scratch_path(spark, "reload")
+    batch.filter(inside).write.parquet(staged)
+    held = spark.read.schema(batch.schema).parquet(staged)
+    filled = {str(r[0]) for r in held.select(part_col).distinct().collect()}
+    if filled:
+        overwrite_parts(held, path, part_col)
+    emptied = drop_parts(
+        spark, path, part_col,
+        lambda part: part >= str(first) and (last is None or part <= str(last)) and part not in filled,
+    )
+    remove(spark, staged)
+    return emptied

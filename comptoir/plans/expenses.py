@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from comptoir.functions.measures import as_ts
 from comptoir.functions.records import clean_false, m2o_name, parse_dt
 from comptoir.operators.incremental import backfill
-from comptoir.operators.merge import purge_from, upsert
+from comptoir.operators.merge import purge_from, reload_parts, upsert
 from comptoir.schemas import EXPENSE_RELATIONS, QTY
 from comptoir.sources.scans import with_payload
 from comptoir.sources.slices import not_before
@@ -52,3 +52,9 @@ def reload_expenses(
     if purge:
         target = purge_from(target, "expense_date", from_day)
     return upsert(target, rows, ["expense_id"]), per_day
+
+
+def store_expenses(expenses: DataFrame, path: str, from_day: date | str, to_day: date | str | None = None) -> list[str]:
+    """Expenses by day: a purge from ``from_day`` on and the reload of the same days in one; undated rows stay out."""
+    dated = expenses.filter(F.col("expense_date").isNotNull())
+    return reload_parts(dated.sparkSession, path, dated, "expense_date", from_day, to_day)

@@ -13,7 +13,7 @@ from comptoir.functions.names import TRACKED_KEYWORDS, UNTRACKED_PREFIXES, is_tr
 from comptoir.functions.records import m2o_id, parse_dt
 from comptoir.operators.filters import exclude_ids
 from comptoir.operators.joins import with_dims
-from comptoir.operators.merge import upsert
+from comptoir.operators.merge import reload_parts, upsert
 from comptoir.operators.sets import MOVE_SOURCE, OPENING_SOURCE, OPENING_TYPE, UNKNOWN_TYPE, stack
 from comptoir.operators.windows import dedup_latest
 from comptoir.schemas import QTY, QUANT_RELATIONS
@@ -113,3 +113,8 @@ def ledger(opening: DataFrame, movements: DataFrame, products: DataFrame) -> Dat
         "move_line_id",
     )
     return stack(first, second)
+
+
+def store_opening(opening: DataFrame, path: str, day: date | str) -> list[str]:
+    """A day's opening in place of whatever was stored for the day."""
+    return reload_parts(opening.sparkSession, path, opening, "opening_date", day, day)

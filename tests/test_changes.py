@@ -128,6 +128,30 @@ def test_a_version_without_a_time_is_not_lost(spark):
     assert rows(spark.read.schema(schema).parquet(path).select("k", "v")) == [(1, "new")]
 
 
+def test_reload_parts_drops_emptied_days(spark):
+    path = scratch_path(spark, "t")
+    made = lambda days: spark.createDataFrame([(i, d) for i, d in enumerate(days)], "k int, day string")
+    read = lambda: sorted({r.day for r in spark.read.schema("k int, day string").parquet(path).collect()})
+    assert mg.reload_parts(spark, path, made(["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05"]), "day", "2024-01-01") == []
+    assert mg.reload_parts(spark, path, made(["2024-01-01", "2024-01-03", "2024-01-04"]), "day", "2024-01-02") == ["2024-01-02", "2024-01-05"]
+    assert read() == ["2024-01-01", "2024-01-03", "2024-01-04"]
+    assert mg.reload_parts(spark, path, made([]), "day", "2024-01-03", "2024-01-03") == ["2024-01-03"]
+    assert mg.reload_parts(spark, path, made([]), "day", "2024-01-01") == ["2024-01-01", "2024-01-04"]
+
+
+def test_movements_by_month_and_openings_by_day(tables):
+    from checks.q_relational import rules
+    from comptoir.plans import movements as mv
+
+    path = scratch_path(tables.spark, "fact")
+    entries = mv.latest_entries(mv.fct_stock_movement(tables.staged, tables.location, rules(tables), "2002-01-01 00:00:00"))
+    mv.store_movements(entries.filter("move_line_id % 3 = 0"), path)
+    for _ in range(2):
+        mv.store_movements(entries, path)
+    stored = tables.spark.read.parquet(path)
+    assert stored.count() == entries.count() == stored.select(*mv.MOVEMENT_KEY).distinct().count()
+
+
 def test_drop_old_parts(spark):
     path = scratch_path(spark, "t")
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-03-01")], "k int, day string")
