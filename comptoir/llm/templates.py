@@ -50,6 +50,10 @@ LEFT_OUT_NAMES = frozenset(
     "recommended newsletter subscribe subscription signup login toolbar pagination pager skip hidden widget widgets form tooltip".split()
 )
 MAIN = frozenset(("article", "main"))
+# Labels such as "has-sidebar", and those of whole pages, tell what stands elsewhere.
+_ABOUT_OTHERS = frozenset(("has", "with", "without", "no", "not"))
+_NAMED_FOR_OTHERS = frozenset(("html", "body", "main"))
+_NO_ARTICLE = frozenset("comment comments reply replies ad ads advert advertisement promo sponsored related recommended hidden".split())
 _OUTSIDE_MAIN = frozenset(("header", "hgroup"))
 _OUTSIDE_MAIN_NAMES = frozenset(("header", "topbar"))
 _CLOSES = {
@@ -77,8 +81,13 @@ def _step(tag: str, attributes: str) -> str:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             found.add("hidden")
-        elif name in ("class", "id", "role"):
-            found.update(w for w in _NOT_WORD.split(value) if w in LEFT_OUT_NAMES or w in _OUTSIDE_MAIN_NAMES or w in MAIN)
+        elif name in ("class", "id", "role") and tag not in _NAMED_FOR_OTHERS:
+            for label in value.split():
+                words = _NOT_WORD.split(label)
+                if not _ABOUT_OTHERS.intersection(words):
+                    found.update(w for w in words if w in LEFT_OUT_NAMES or w in _OUTSIDE_MAIN_NAMES or w in MAIN)
+    if tag == "article":
+        found &= _NO_ARTICLE
     return ".".join([tag, *sorted(found)])
 
 

@@ -35,6 +35,8 @@ PAGES = {
     "": "", "plain text": "plain text", "<": "<", "<p": "<p", "<article></article><p>rest</p>": "rest",
     "<ul class=menu><li>x</ul><ul><li>a<li>b</ul>": "a b", "<table><tr><td>a<td>b<tr><td>c</table>": "a b c",
     "<article class='comment'><p>no</p></article><p>yes</p>": "yes", "<script>never closed <p>no": "", "<!-- open <p>no": "",
+    "<body class='has-sidebar menu-open'><main class='with-ads'><div class='no-sidebar'>a<div class='right-sidebar'>b</div></div></main>": "a",
+    "<article class='post nav-item' id='main'><p>a</p><section id='comments'><p>b</p></section></article>": "a",
     "<article>" + "<div>" * 3000 + "deep": "deep",
 }
 
