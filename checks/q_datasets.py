@@ -73,6 +73,19 @@ def product_dimension(t):
     )
 
 
+def product_load(t):
+    return dim.load_products(
+        t.product_raw, t.template_raw, t.unit_raw, t.category_raw, "2024-01-05 08:00:00", 1 << 60, AS_OF, keywords=PART_KEYWORDS
+    )
+
+
+@query("ds_03_product_watermark", """
+    SELECT write_date AS watermark_ts, id AS watermark_id FROM {product_raw}
+    WHERE active AND barcode IS NOT NULL AND barcode <> 'false' AND write_date > '2024-01-05 08:00:00' ORDER BY write_date DESC, id DESC LIMIT 1""")
+def product_watermark(t):
+    return product_load(t)["watermark"]
+
+
 @query("ds_04_location_dimension", """
     SELECT s_suppkey AS location_id, full_name AS complete_name,
            CASE s_suppkey % 5 WHEN 0 THEN 'internal' WHEN 1 THEN 'customer' WHEN 2 THEN 'supplier' WHEN 3 THEN 'inventory' ELSE 'internal' END AS usage,
@@ -426,6 +439,16 @@ def quant_staging(t):
     return staged.select("quant_id", "written_at", "part_day", "location_id")
 
 
+@query("ds_15_quant_watermark", """
+    SELECT CAST(l_shipdate AS STRING) AS watermark_ts, l_orderkey * 8 + l_linenumber AS watermark_id
+    FROM lineitem JOIN {location} l ON l.location_id = l_suppkey WHERE l.usage IN ('internal', 'inventory')
+         AND l_shipdate >= TIMESTAMP '1996-01-01' AND NOT (l_shipdate = TIMESTAMP '1996-01-01' AND l_orderkey * 8 + l_linenumber <= 100)
+    ORDER BY l_shipdate DESC, l_orderkey * 8 + l_linenumber DESC LIMIT 1""")
+def quant_watermark(t):
+    raw = t.quant_raw.withColumn("z", m2o_id("location_id"))
+    return stock.load_quants(raw, t.location, "1996-01-01 00:00:00", 100, AS_OF)["watermark"]
+
+
 @query("rp_06_detailed_revenue", f"""
     SELECT CAST(CAST(o_orderdate AS DATE) AS STRING) AS txn_day, l_orderkey AS order_id, 'Part, ' || CAST(l_partkey AS STRING) AS product_name, p.barcode,
            l_quantity AS qty, l_extendedprice AS unit_price, l_extendedprice AS subtotal_excl_tax,

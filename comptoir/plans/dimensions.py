@@ -17,6 +17,7 @@ from comptoir.functions.names import (
     norm_site, pos_category,
 )
 from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
+from comptoir.operators.aggregates import duplicates, max_ts_id
 from comptoir.operators.joins import category_paths, enrich_product
 from comptoir.operators.merge import retire_missing, upsert
 from comptoir.operators.windows import dedup_latest
@@ -58,18 +59,39 @@ def dim_shop(configs: DataFrame, as_of: datetime | str, target: DataFrame | None
     return _merged(new, target, ["shop_id"], insert_only=["created_at"])
 
 
+def product_slice(products: DataFrame, since_ts: datetime | str, since_id: int, max_rows: int | None = None) -> DataFrame:
+    """Active products with a barcode, written since a watermark."""
+    base = products.filter(F.col("active") & F.col("barcode").isNotNull() & (F.col("barcode") != "false"))
+    base = base.withColumns({
+        "written_at": parse_dt("write_date"),
+        "template_id": m2o_id("product_tmpl_id"),
+    })
+    return slice_since(base, "written_at", "id", since_ts, since_id, max_rows, "write_date")
+
+
+def load_products(
+    products: DataFrame, templates: DataFrame, units: DataFrame, categories: DataFrame,
+    since_ts: datetime | str, since_id: int, as_of: datetime | str, target: DataFrame | None = None,
+    max_rows: int | None = None, **scope,
+) -> dict[str, DataFrame]:
+    """The dimension after a load, its audits (every version touched, and ids with several), and the watermark
+    of the slice, from which the next load goes on."""
+    changed = changed_products(products, templates, units, categories, since_ts, since_id, as_of, max_rows, **scope)
+    return {
+        "products": dim_product(changed, target),
+        "touched": changed.select("product_id", "name_raw", "category_norm", "barcode", "updated_at"),
+        "duplicates": duplicates(changed.select("product_id", "name_raw", "updated_at"), ["product_id"]),
+        "watermark": max_ts_id(product_slice(products, since_ts, since_id, max_rows), "written_at", "id"),
+    }
+
+
 def changed_products(
     products: DataFrame, templates: DataFrame, units: DataFrame, categories: DataFrame,
     since_ts: datetime | str, since_id: int, as_of: datetime | str, max_rows: int | None = None,
     keywords: tuple[str, ...] = CATEGORY_KEYWORDS, prefix: str = CATEGORY_PREFIX,
 ) -> DataFrame:
     """Coded products of a sales category changed since a watermark, all versions."""
-    base = products.filter(F.col("active") & F.col("barcode").isNotNull() & (F.col("barcode") != "false"))
-    base = base.withColumns({
-        "written_at": parse_dt("write_date"),
-        "template_id": m2o_id("product_tmpl_id"),
-    })
-    changed = slice_since(base, "written_at", "id", since_ts, since_id, max_rows, "write_date").filter(has_code_prefix("name"))
+    changed = product_slice(products, since_ts, since_id, max_rows).filter(has_code_prefix("name"))
     tmpl = templates.select(
         F.col("id").alias("template_id"), m2o_id("categ_id").alias("category_id"), m2o_id("uom_id").alias("uom_id")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from comptoir.functions.measures import INTERNAL_USAGE, as_date, date_key, value
 from comptoir.functions.names import TRACKED_KEYWORDS, UNTRACKED_PREFIXES, is_tracked_product
 from comptoir.functions.records import m2o_id, parse_dt
+from comptoir.operators.aggregates import max_ts_id
 from comptoir.operators.filters import exclude_ids
 from comptoir.operators.joins import with_dims
 from comptoir.operators.merge import reload_parts, upsert
@@ -24,15 +25,34 @@ from comptoir.sources.slices import slice_since
 QUANT_USAGES = ("internal", "inventory", "production", "transit")
 
 
+def quant_slice(
+    quants: DataFrame, locations: DataFrame, since_ts: datetime | str, since_id: int,
+    usages: Sequence[str] = QUANT_USAGES, max_rows: int | None = None,
+) -> DataFrame:
+    """Quants written since a watermark at locations in scope."""
+    raw = with_payload(quants, relations=QUANT_RELATIONS).withColumns({
+        "written_at": parse_dt("write_date"), "location_id": m2o_id("location_id"),
+    })
+    return slice_since(scan_in_scope(raw, locations, usages), "written_at", "id", since_ts, since_id, max_rows, "write_date")
+
+
+def load_quants(
+    quants: DataFrame, locations: DataFrame, since_ts: datetime | str, since_id: int, as_of: datetime | str,
+    target: DataFrame | None = None, usages: Sequence[str] = QUANT_USAGES, max_rows: int | None = None,
+) -> dict[str, DataFrame]:
+    """Staged quants, and the watermark of the slice, from which the next load goes on."""
+    return {
+        "quants": stg_quant(quants, locations, since_ts, since_id, as_of, usages, max_rows, target),
+        "watermark": max_ts_id(quant_slice(quants, locations, since_ts, since_id, usages, max_rows), "written_at", "id"),
+    }
+
+
 def stg_quant(
     quants: DataFrame, locations: DataFrame, since_ts: datetime | str, since_id: int, as_of: datetime | str,
     usages: Sequence[str] = QUANT_USAGES, max_rows: int | None = None, target: DataFrame | None = None,
 ) -> DataFrame:
     """Quants written since a watermark at locations in scope, latest version each."""
-    raw = with_payload(quants, relations=QUANT_RELATIONS).withColumns({
-        "written_at": parse_dt("write_date"), "location_id": m2o_id("location_id"),
-    })
-    changed = slice_since(scan_in_scope(raw, locations, usages), "written_at", "id", since_ts, since_id, max_rows, "write_date")
+    changed = quant_slice(quants, locations, since_ts, since_id, usages, max_rows)
     new = dedup_latest(changed, ["id"], "written_at", ["payload"]).select(
         F.coalesce(F.col("written_at").cast("date"), as_date(str(as_of)[:10])).alias("part_day"),
         F.col("id").alias("quant_id"),

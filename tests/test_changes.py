@@ -251,3 +251,13 @@ def test_streamed_upsert_is_idempotent_and_never_goes_back(spark):
 
 def test_default_start_is_a_constant(spark):
     assert spark.range(1).select(as_ts(inc.DEFAULT_START)).first()[0] == datetime(2000, 1, 1)
+
+
+def test_product_load_audits(tables):
+    from checks.q_datasets import product_load
+
+    out = product_load(tables)
+    touched = out["touched"].count()
+    assert touched == out["products"].count() > 0
+    assert out["duplicates"].count() == 0
+    assert out["watermark"].first()["watermark_id"] is not None
