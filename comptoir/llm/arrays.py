@@ -46,7 +46,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def blocks(batch: pa.RecordBatch, text: str, size: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def blocks(batch: pa.RecordBatch, text: str, size: int = (1 << 20) - 1) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Runs of rows with about ``size`` bytes of text each, one row at least, with their bytes and starts."""
     raw, at = utf8(batch.column(batch.schema.get_field_index(text)))
     row, rows = 0, len(at) - 1
@@ -117,7 +117,21 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+held: dict[str, dict] = {}
+"""What operators keep in a worker from task to task, by the operator's name."""
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers.
+
+    A worker serves many stages; what other operators than ``keeps`` left in it is freed first.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def alone(batches):
+        for name in [n for n in held if n != keeps]:
+            del held[name]
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(alone, schema)

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import arrow_map
+from comptoir.llm.arrays import arrow_map, held
 
 # The white space of the Unicode property, as a pattern's \s has it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -188,14 +188,12 @@ class Vocabulary:
         return " ".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_loaded: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
     """One per worker and file."""
-    if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
+    kept = held.setdefault("bpe", {})
+    if path not in kept:
+        kept[path] = Vocabulary(path)
+    return kept[path]
 
 
 def _text_blocks(column: pa.Array) -> Iterator[list[str]]:
@@ -227,7 +225,7 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
 
     source = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    return source.transform(arrow_map, run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return source.transform(arrow_map, run, f"key {kind}, ids binary", "bpe").withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
@@ -242,4 +240,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> D
 
     source = df.select(F.col(key).alias("key"), F.coalesce(F.col(ids), F.lit(b"")).alias("ids"))
     kind = source.schema["key"].dataType.simpleString()
-    return source.transform(arrow_map, run, f"key {kind}, ids binary, decoded string").withColumnRenamed("key", key)
+    return source.transform(arrow_map, run, f"key {kind}, ids binary, decoded string", "bpe").withColumnRenamed("key", key)

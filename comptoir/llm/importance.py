@@ -187,7 +187,6 @@ def resample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 def keep_sampled(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``df`` that ``resample`` keeps, with all their columns, scored again on the way past."""
     model, _ = fit(df, labels, key, text, **how)
-    names = df.columns
     if model.lowest_key is None:
         return df.limit(0)
     sent = df.sparkSession.sparkContext.broadcast(model.weights)
@@ -195,9 +194,10 @@ def keep_sampled(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
     def run(batches):
         for batch in batches:
-            for part, _, keys in _scored(batch, sent.value):
-                yield pa.record_batch([part.column(0).filter(pa.array(keys >= lowest))], ["row"])
+            both = pa.record_batch([batch.column(batch.schema.get_field_index(key)).cast(pa.int64()), batch.column(batch.schema.get_field_index(text)).fill_null("")], ["doc", "text"])
+            row = 0
+            for part, _, keys in _scored(both, sent.value):
+                yield batch.slice(row, part.num_rows).filter(pa.array(keys >= lowest))
+                row += part.num_rows
 
-    packed = df.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.transform(arrow_map, run, f"row {kind}").select("row.*")
+    return df.transform(arrow_map, run, df.schema)

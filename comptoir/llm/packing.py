@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import arrow_map
+from comptoir.llm.arrays import arrow_map, held
 from comptoir.session import cut_lineage
 
 SEQUENCE = 1024
@@ -124,7 +124,11 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+def _encoder(path: str) -> Encoder:
+    kept = held.setdefault("packing", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def cut(ids: bytes, size: int) -> Iterator[tuple[int, int, int, int]]:
@@ -187,9 +191,7 @@ def pack(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", size
     An empty table gives no rows. Each round is a written table, so sequence numbers survive lost executors.
     """
     def local(batches):
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        encoder, numbers, open_pieces = _encoders[path], _numbers(0), []
+        encoder, numbers, open_pieces = _encoder(path), _numbers(0), []
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -229,7 +231,7 @@ def pack(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", size
         return run
 
     source = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    placed = cut_lineage(source.transform(arrow_map, local, _DDL))
+    placed = cut_lineage(source.transform(arrow_map, local, _DDL, "packing"))
     done, level = placed.filter(F.col("sequence_id").isNotNull()), 0
     tasks = max(1, source.rdd.getNumPartitions())
     while True:
