@@ -34,7 +34,7 @@ LEAST_SHARED = 1000
 PAGE_HEADER = "X-Page-Id"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
-_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+_OPTIONS = {"compression": "gzip"}
 
 
 def _arc_head(version: int, url: str, ip: str, mime: str, length: int, code: str = "200", offset: int = 0, name: str = "-") -> str:
