@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -133,5 +134,8 @@ def arrow_map(df: DataFrame, run: Callable, schema: str, keeps: str | None = Non
             del held[name]
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim is not None:
+            trim(0)
 
     return df.mapInArrow(alone, schema)
