@@ -1,10 +1,10 @@
 """Main text of web pages by template deduction over equivalence classes.
 
 Pages of a host share a template. Its tokens are element paths and fixed texts at a path; a token's
-occurrence vector says how often it stands on each page of the host. Tokens with the same vector form an
-equivalence class; classes that occur on enough pages and nest inside one another, path in path, make up the
-template. What stands between template tokens are slots, named by the innermost template path around them;
-the slots that hold the article are extracted.
+occurrence vector says how often it stands on each differing page of the host. Tokens with the same vector
+form an equivalence class; classes that occur on enough pages make up the template. Its fixed texts are
+dropped outside the article. Which of the slots between them hold the article is told by elements and by
+names in class, id and role, not by classes.
 """
 
 from __future__ import annotations
@@ -13,21 +13,29 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import U64, arrow_map, mix
+from comptoir.llm.arrays import U64, arrow_map
 from comptoir.operators.skew import splittable_join
+from comptoir.session import cut_lineage
 
 SUPPORT = 0.5
 """Share of a host's pages that a template's tokens occur on, at least."""
 MOST_TOKENS = 4000
-"""Template paths per host that are sent along with its pages. With more, as on hosts that share no template,
-pages are read by their own elements."""
+"""Fixed texts per host that are sent along with its pages. With more, pages are read by their own elements."""
+LEAST_PAGES = 3
+"""Differing pages that a template's tokens occur on, at least; two pages may be versions of one text."""
+MOST_FIXED = 0.5
+"""Share of the text in article and main elements that is fixed, at most. Pages that share more there are
+versions of one text, which all stays."""
+IN_MAIN = -1
+_LENGTHS = (1 << 20) - 1
+_MAIN_BIT, _OUT_BIT = 1 << 61, 1 << 60
 
 # Elements that end a block of text.
 BLOCKS = frozenset(
@@ -171,32 +179,78 @@ def _tidy(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
+def _text_token(path: str, words: str, out: bool, main: bool) -> int:
+    """A text at a path as a number: a hash, its length (20 bits), and the path's verdict."""
+    mark = int.from_bytes(blake2b(f"{path}\0{words}".encode("utf-8", "surrogatepass"), digest_size=5).digest(), "big")
+    return 1 << 62 | main << 61 | out << 60 | min(len(words), _LENGTHS) << 40 | mark
+
+
 def tokens(page: str) -> dict[tuple[str, int], int]:
-    """How often each template token stands on a page: (path, 0) for an element, (path, hash) for a text at a path."""
+    """How often each token stands on a page: (path, 0) for an element, (path, text token) for a text at a path,
+    ("", 0) for the page itself, and ("", IN_MAIN) with the length of all texts in article and main elements that are not left out."""
     found: Counter = Counter()
+    found["", 0] = 1
     for path, text, _ in chunks(page):
         if not text:
             found[path, 0] += 1
-        elif not text.isspace() and not verdict(path)[1]:
-            words = _tidy(text)
-            found[path, crc32(words.encode()) | len(words) << 32 | 1 << 62] += 1
+        elif not text.isspace():
+            words, (out, main) = _tidy(text), verdict(path)
+            found[path, _text_token(path, words, out, main)] += 1
+            if main and not out:
+                found["", IN_MAIN] += min(len(words), _LENGTHS)
     return found
 
 
+def _packed(found: dict[tuple[str, int], int]) -> bytes:
+    """Tokens as lines, one for each path; pages with the same tokens have the same bytes."""
+    lines: dict[str, list[str]] = {}
+    for (path, text), times in sorted(found.items()):
+        lines.setdefault(path, [path]).append(f"{text:x}.{times:x}")
+    return "\n".join("\t".join(line) for line in lines.values()).encode("utf-8", "surrogatepass")
+
+
+def _unpacked(packed: bytes) -> Iterator[tuple[str, int, int]]:
+    for line in packed.decode("utf-8", "surrogatepass").split("\n"):
+        path, *entries = line.split("\t")
+        for entry in entries:
+            text, _, times = entry.partition(".")
+            yield path, int(text, 16), int(times, 16)
+
+
 def host(url: str = "url"):
     """The host of an address in lower case, without user and port; null where there is none."""
     return F.lower(F.nullif(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """``host, path, text, pages, times, vector`` of each token, from ``host``, ``page`` and ``html``.
+    """``host, path, text, pages, times, vector`` of each token, from ``host`` and ``html``, over the differing
+    pages of a host: those with the same tokens count once.
 
     An occurrence vector is as long as its host has pages, so it is carried as a sum over pages of a hash of
     the page times the count: equal vectors have equal sums, and sums are combined in every task and again by
-    key, whatever share of the pages a host has.
+    key, whatever share of the pages a host has. Copies are dropped in every task first, so that a page with
+    very many copies does not gather in one.
     """
-    def run(batches):
+    def parsed(batches):
+        seen: set[tuple[str, int]] = set()
+        for batch in batches:
+            hosts, marks, packs = [], [], []
+            for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                packed = _packed(tokens(page))
+                mark = int.from_bytes(blake2b(packed, digest_size=8).digest(), "big", signed=True)
+                if (name, mark) in seen:
+                    continue
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen.add((name, mark))
+                hosts.append(name)
+                marks.append(mark)
+                packs.append(packed)
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(packs, pa.binary())], ["host", "mark", "tokens"])
+
+    def summed_up(batches):
         held: dict[tuple, list[int]] = {}
+        last = None
 
         def batch_of():
             keys = list(held)
@@ -208,11 +262,12 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
 
         mask = (1 << 64) - 1
         for batch in batches:
-            marks = mix(np.asarray(batch.column(1)).astype(np.int64).view(U64) ^ U64(0x51ED270B)).tolist()
-            for name, mark, page in zip(batch.column(0).to_pylist(), marks, batch.column(2).to_pylist()):
-                found = tokens(page)
-                found["", 0] = 1  # the page itself
-                for (path, text), times in found.items():
+            marks = np.asarray(batch.column(1)).astype(np.int64).view(U64).tolist()
+            for name, mark, packed in zip(batch.column(0).to_pylist(), marks, batch.column(2).to_pylist()):
+                if (name, mark) == last:
+                    continue
+                last = (name, mark)
+                for path, text, times in _unpacked(packed):
                     entry = held.get((name, path, text))
                     if entry is None:
                         held[name, path, text] = [1, times, mark * times & mask]
@@ -226,7 +281,8 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
         if held:
             yield batch_of()
 
-    found = pages.transform(arrow_map, run, "host string, path string, text long, pages long, times long, vector long")
+    differing = pages.select("host", "html").transform(arrow_map, parsed, "host string, mark long, tokens binary").repartition("mark", "host").sortWithinPartitions("mark", "host")
+    found = differing.transform(arrow_map, summed_up, "host string, path string, text long, pages long, times long, vector long")
     # halves, so that sums cannot overflow; their remainders modulo 2**32 are what is compared
     low, high = F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("vector", 32)
     summed = found.groupBy("host", "path", "text").agg(
@@ -239,58 +295,57 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
     )
 
 
-def deduce(vectors: DataFrame, counts: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """``host`` and ``template``: its paths and fixed texts (struct path, text), of hosts with two pages at least.
-
-    ``counts`` has the pages ``of`` each host."""
-    whole = counts.filter("of > 1")
-    often = vectors.filter("pages > 1").join(whole.hint("shuffle_merge"), "host").filter(F.col("pages") >= F.col("of") * support)
-    classes = often.groupBy("host", "vector", "pages", "times").agg(F.collect_list(F.struct("path", "text")).alias("tokens"))
-    # a class of one token is a repeated element, or a text that nothing else goes with
-    wide = classes.filter((F.size("tokens") > 1) | F.exists("tokens", lambda t: t["text"] == 0))
-    grouped = wide.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
-    return grouped.filter(F.size("template") <= MOST_TOKENS)
+def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """``host`` and ``template``: its fixed texts, as text tokens, of hosts with LEAST_PAGES differing pages.
 
+    A class is the tokens of a host with one vector. Outside article and main elements, a text that occurs on
+    enough pages is fixed if its class has another token. An element never stands on a page without
+    those around it, so paths of a template nest by themselves.
 
-def nested(template: list[tuple[str, int]]) -> tuple[set[str], set[tuple[str, int]]]:
-    """Paths whose every outer path is in the template too, and fixed texts at such paths."""
-    paths: set[str] = {""}
-    for path in sorted(p for p, text in template if text == 0):
-        if not path or path.rpartition("/")[0] in paths:
-            paths.add(path)
-    return paths, {(p, t) for p, t in template if t and p in paths}
+    A fixed text stands on ``support`` of the pages, so a host has no more of them than ``1 / support`` times
+    what its average page has texts: whatever the size of a template, it is sent whole, in 8 bytes a text.
+    """
+    often = cut_lineage(vectors.filter(F.col("pages") >= LEAST_PAGES))
+    hosts = often.filter("path = ''").groupBy("host").agg(
+        F.max(F.when(F.col("text") == 0, F.col("pages"))).alias("of"), F.max(F.when(F.col("text") == IN_MAIN, F.col("times"))).alias("main_chars"),
+    )
+    enough = often.filter(F.col("text") != IN_MAIN).join(hosts.hint("shuffle_merge"), "host").filter(F.col("pages") >= F.col("of") * support)
+    same = Window.partitionBy("host", "vector", "pages", "times")
+    main = F.col("text").bitwiseAND(F.lit(_MAIN_BIT)) != 0
+    classes = enough.select(
+        "host", "text", "times", "main_chars", main.alias("main"), F.count(F.lit(1)).over(same).alias("size"), F.count_if(F.col("text") == 0).over(same).alias("elements"),
+    )
+    used = (F.col("text") != 0) & (F.col("text").bitwiseAND(F.lit(_OUT_BIT)) == 0)  # what is left out anyway is not sent
+    fixed = classes.filter(used & F.expr("elements > 0 OR NOT main AND size > 1"))
+    length = F.shiftright("text", 40).bitwiseAND(F.lit(_LENGTHS)) * F.col("times")
+    grouped = fixed.groupBy("host").agg(
+        F.collect_list(F.when(~F.col("main"), F.col("text"))).alias("outside"), F.collect_list(F.when(F.col("main"), F.col("text"))).alias("inside"),
+        (F.coalesce(F.sum(F.when(F.col("main"), length)), F.lit(0)) <= F.max("main_chars") * MOST_FIXED).alias("differ"),
+    )
+    return grouped.select("host", F.col("outside").alias("template")).filter(F.size("template") <= MOST_TOKENS)
 
 
-def main_text(page: str, template: tuple[set[str], set[tuple[str, int]]] | None) -> str:
-    """The article of a page: blocks in order with one blank between.
+def main_text(page: str, fixed: frozenset[int] | None) -> str:
+    """The article of a page: blocks in order with one blank between, without the ``fixed`` texts of its host.
 
-    A text belongs to the slot of the innermost template path around it. If the page has slots inside an
-    article or main element, those are extracted, else all that are not left out, less the fixed texts.
+    If the page has texts inside an article or main element, those are extracted, else all that are not left
+    out by what elements and their names are for.
     """
-    paths, fixed = template if template is not None else (None, frozenset())
     found: list[tuple[bool, bool, str]] = []
-    slots: dict[str, tuple[bool, bool]] = {}
+    any_main = False
     for path, text, fresh in chunks(page):
         if not text:
             continue
-        slot = slots.get(path)
-        if slot is None:
-            inner = path
-            while paths is not None and inner not in paths:
-                inner = inner.rpartition("/")[0]
-            out, main = verdict(inner)
-            own_out, own_main = verdict(path)  # elements inside the slot that only this page has
-            slot = slots[path] = (out or own_out, main or own_main)
-        out, main = slot
+        out, main = verdict(path)
         if not out:
-            if fixed and not main and not text.isspace():
-                words = _tidy(text)
-                if (path, crc32(words.encode()) | len(words) << 32 | 1 << 62) in fixed:
-                    text = " "
+            filled = not text.isspace()
+            if fixed and filled and _text_token(path, _tidy(text), out, main) in fixed:
+                text = " "
             found.append((main, fresh, text))
+            any_main = any_main or main and filled
         elif fresh:
             found.append((False, True, " "))
-    if any(main and not text.isspace() for main, _, text in found):
+    if any_main:
         found = [f if f[0] else (True, f[1], " ") for f in found]
     return _tidy("".join(("\n" if fresh else "") + text for _, fresh, text in found))
 
@@ -299,18 +354,17 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
     """``key``, ``url`` and ``text``, the main text of every page (empty if it has none).
 
     Character references are decoded; white space in a block becomes one blank. A null body is empty. Pages
-    without an address, and those of a host with one page, have no template and are read by their own
-    elements. Rows stay as they are, repeated ones too; an empty table gives no rows. Only the three named
+    without an address, and those of a host with fewer than LEAST_PAGES differing pages, have no template and
+    are read by their own elements. Rows stay as they are, repeated ones too; an empty table gives no rows. Only the three named
     columns are read. A host's template is the only thing joined to its pages, many to one, so Spark can split
     a host with very many pages.
     """
     source = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.coalesce(F.col(body), F.lit("")).alias("html"), host(url).alias("host"))
-    marked = source.filter("host IS NOT NULL").select("host", F.xxhash64("page", "url").alias("page"), "html")
-    counts = marked.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    templates = deduce(occurrence_vectors(marked), counts, support)
+    # written, so that Spark knows its size and moves no page if it is small
+    templates = cut_lineage(deduce(occurrence_vectors(source.filter("host IS NOT NULL").select("host", "html")), support))
 
     def run(batches):
-        known: dict[str, tuple] = {}
+        known: dict[str, frozenset] = {}
         for batch in batches:
             ids, urls, bodies, hosts, templates_of = [batch.column(i) for i in range(5)]
             texts = []
@@ -320,7 +374,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
                     if name not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[name] = nested([(t["path"], t["text"]) for t in templates_of[i].as_py()])
+                        known[name] = frozenset(templates_of[i].as_py())
                     template = known[name]
                 texts.append(main_text(page, template))
             yield pa.record_batch([ids, urls, pa.array(texts, pa.string())], ["page", "url", "text"])

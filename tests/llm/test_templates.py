@@ -70,3 +70,20 @@ def test_nulls_repeats_and_empty_table(spark):
     got = sorted(((r.page_id, r.text) for r in tp.extract(df).collect()), key=str)
     assert [k for k, _ in got] == [1, 1, 1, None] and got[-1] == (None, "")
     assert tp.extract(df.limit(0)).count() == 0
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in tp.extract(df).orderBy("page_id").collect()]
+
+
+def test_copies_are_no_template(spark):
+    """Copies of a text on hosts of two and three pages without article elements keep it."""
+    a, b = ("<body><div><p>Welcome</p></div>" + "".join(f"<p>{t}{i}</p>" for i in range(9)) + "</body>" for t in "ab")
+    whole = ["Welcome " + " ".join(f"{t}{i}" for i in range(9)) for t in "ab"]
+    assert texts(spark, [("http://h/1?a", a), ("http://h/1?b", a)]) == [whole[0]] * 2
+    assert texts(spark, [("http://h/1?a", a), ("http://h/1?b", a), ("http://h/2", b)]) == [whole[0], whole[0], whole[1]]
+    # copies count once, so what most of the differing pages share is still found
+    rest = [a.replace("a", f"c{i}x") for i in range(3)]
+    got = texts(spark, [(f"http://h/{i}", p.replace("Welcome", "Hello")) for i, p in enumerate([a] * 8 + rest)])
+    assert got[0] == whole[0].removeprefix("Welcome ") and not any("Hello" in t for t in got)
