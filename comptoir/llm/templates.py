@@ -26,8 +26,6 @@ from comptoir.session import cut_lineage
 
 SUPPORT = 0.5
 """Share of a host's pages that a template's tokens occur on, at least."""
-MOST_TOKENS = 4000
-"""Fixed texts per host that are sent along with its pages. With more, pages are read by their own elements."""
 LEAST_PAGES = 3
 """Differing pages that a template's tokens occur on, at least; two pages may be versions of one text."""
 MOST_FIXED = 0.5
@@ -322,7 +320,7 @@ def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
         F.collect_list(F.when(~F.col("main"), F.col("text"))).alias("outside"), F.collect_list(F.when(F.col("main"), F.col("text"))).alias("inside"),
         (F.coalesce(F.sum(F.when(F.col("main"), length)), F.lit(0)) <= F.max("main_chars") * MOST_FIXED).alias("differ"),
     )
-    return grouped.select("host", F.col("outside").alias("template")).filter(F.size("template") <= MOST_TOKENS)
+    return grouped.select("host", F.col("outside").alias("template"))
 
 
 def main_text(page: str, fixed: frozenset[int] | None) -> str:
