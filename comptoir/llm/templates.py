@@ -3,7 +3,7 @@
 Pages of a host share a template. Its tokens are element paths and fixed texts at a path; a token's
 occurrence vector says how often it stands on each differing page of the host. Tokens with the same vector
 form an equivalence class; classes that occur on enough pages make up the template. Its fixed texts are
-dropped outside the article. Which of the slots between them hold the article is told by elements and by
+dropped, inside the article too. Which of the slots between them hold the article is told by elements and by
 names in class, id and role, not by classes.
 """
 
@@ -297,7 +297,8 @@ def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host`` and ``template``: its fixed texts, as text tokens, of hosts with LEAST_PAGES differing pages.
 
     A class is the tokens of a host with one vector. Outside article and main elements, a text that occurs on
-    enough pages is fixed if its class has another token. An element never stands on a page without
+    enough pages is fixed if its class has another token; inside, only if its class has an element, so that the
+    text stands on every page that has the element, as often as that. An element never stands on a page without
     those around it, so paths of a template nest by themselves.
 
     A fixed text stands on ``support`` of the pages, so a host has no more of them than ``1 / support`` times
@@ -320,7 +321,7 @@ def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
         F.collect_list(F.when(~F.col("main"), F.col("text"))).alias("outside"), F.collect_list(F.when(F.col("main"), F.col("text"))).alias("inside"),
         (F.coalesce(F.sum(F.when(F.col("main"), length)), F.lit(0)) <= F.max("main_chars") * MOST_FIXED).alias("differ"),
     )
-    return grouped.select("host", F.col("outside").alias("template"))
+    return grouped.select("host", F.when(F.col("differ"), F.concat("outside", "inside")).otherwise(F.col("outside")).alias("template"))
 
 
 def main_text(page: str, fixed: frozenset[int] | None) -> str:

@@ -93,3 +93,15 @@ def test_large_templates_are_sent_whole(spark):
     """5000 fixed texts in plain elements go like five do."""
     menu = "<div>" + "".join(f"<div>go to {i}</div>" for i in range(5000)) + "</div>"
     assert texts(spark, [(f"http://h/{i}", f"<body>{menu}<p>story {i}</p></body>") for i in range(4)]) == [f"story {i}" for i in range(4)]
+
+
+def test_fixed_texts_inside_the_article(spark):
+    """Boilerplate without a telling name goes from the article by its class; titles and paragraphs that some pages share stay."""
+    page = "<article><h1>{t}</h1><p>story {i} has words of its own {i}</p><p>{s}</p><div class=x1>Tell your friends</div></article>"
+    pages = [page.format(i=i, t="News" if i < 4 else f"Title {i}", s="shared by some" if i % 2 else f"own {i}") for i in range(6)]
+    got = texts(spark, [(f"http://h/{i}", p) for i, p in enumerate(pages)])
+    assert got == [tp.main_text(p, None).removesuffix(" Tell your friends") for p in pages]
+    assert got != [tp.main_text(p, None) for p in pages]
+    # versions of one article share most of it, which is no template
+    versions = ["<article><h1>Title</h1><p>" + "the same long story " * 9 + f"</p><p>as of {i}</p></article>" for i in range(5)]
+    assert texts(spark, [(f"http://h/{i}", p) for i, p in enumerate(versions)]) == [tp.main_text(p, None) for p in versions]
