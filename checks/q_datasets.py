@@ -351,13 +351,39 @@ def once(lines):
     JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN {product} p ON p.product_id = l_partkey
     WHERE l_linenumber <> 7 AND o_orderstatus <> 'F' AND times = 1""")
 def pos_lines_loaded_twice(t):
-    """Half the lines without barcodes first, then all sources over them: late lines come in, barcodes are filled."""
-    lines, blank = once(t.order_line_raw), t.product.withColumn("barcode", F.lit(None).cast("string"))
+    """Half the lines without barcodes first, then all sources over them: late lines come in, barcodes are filled.
+
+    All lines are loaded; those whose id repeats are left out of the rows compared, as versions of one time have
+    no order that both engines share."""
+    lines, blank = t.order_line_raw, t.product.withColumn("barcode", F.lit(None).cast("string"))
     first = pos.fct_pos(t.order_raw, lines.filter("id % 2 = 0"), exact_payments(t), t.session_raw, blank, AS_OF)
     targets = {"orders": cut_lineage(first["orders"]), "lines": cut_lineage(first["lines"].filter("line_id < 0").unionByName(first["lines"]))}
     again = pos.fct_pos(
         t.order_raw, lines, exact_payments(t), t.session_raw, t.product, AS_OF, targets=targets, buffer="INTERVAL 20000 DAYS",
     )
+    ids = once(lines).select(F.col("id").alias("line_id"))
+    return again["lines"].join(ids, "line_id", "left_semi").select(
+        "line_id", "order_id", "config_id", "txn_day", "product_id", "barcode", "qty", "subtotal_incl_tax"
+    )
+
+
+@query("ds_13_pos_line_versions", """
+    SELECT line_id, l_orderkey AS order_id, c_nationkey AS config_id, CAST(CAST(o_orderdate AS DATE) AS STRING) AS txn_day,
+           p.product_id, p.barcode, l_quantity + CASE WHEN line_id % 3 = 0 THEN 0 ELSE 100 END AS qty,
+           CAST(CAST(l_extendedprice * 1.25 AS DECIMAL(16,4)) AS DOUBLE) AS subtotal_incl_tax
+    FROM {numbered_line} JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN {product} p ON p.product_id = l_partkey
+    WHERE l_linenumber <> 7 AND o_orderstatus <> 'F'""")
+def pos_line_versions(t):
+    """All lines under ids of their own; half are stored without barcodes, then each comes in two versions, of which
+    the other one is older for a third of the ids and newer for the rest."""
+    lines, blank = t.numbered_line_raw, t.product.withColumn("barcode", F.lit(None).cast("string"))
+    first = pos.fct_pos(t.order_raw, lines.filter("id % 2 = 0"), exact_payments(t), t.session_raw, blank, AS_OF)
+    targets = {"orders": cut_lineage(first["orders"]), "lines": cut_lineage(first["lines"])}
+    at = F.when(F.col("id") % 3 == 0, "1970-01-02 00:00:00").otherwise("2001-12-01 00:00:00")
+    versions = lines.unionByName(lines.withColumns({"qty": F.col("qty") + 100, "write_date": at}))
+    again = pos.fct_pos(
+        t.order_raw, versions, exact_payments(t), t.session_raw, t.product, AS_OF, targets=targets, buffer="INTERVAL 20000 DAYS",
+    )
     return again["lines"].select(
         "line_id", "order_id", "config_id", "txn_day", "product_id", "barcode", "qty", "subtotal_incl_tax"
     )

@@ -126,6 +126,17 @@ VIEWS: dict[str, str] = {
                l_extendedprice AS price_unit, l_discount AS discount, l_extendedprice AS price_subtotal,
                l_extendedprice * 1.25 AS price_subtotal_incl, {SHIP_TEXT} AS create_date, {SHIP_TEXT} AS write_date
         FROM {{lineitem}}""",
+    # lines that share order and number get ids of their own
+    "numbered_line": f"""
+        SELECT *, {LINE_ID} + (row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice,
+               l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1) * 1000000000000 AS line_id
+        FROM {{lineitem}}""",
+    "numbered_line_raw": f"""
+        SELECT line_id AS id, {_m2o('l_orderkey + CASE WHEN l_linenumber = 7 THEN 100000000000 ELSE 0 END', "'O'")} AS order_id,
+               {_m2o('l_partkey', "'Part, ' || CAST(l_partkey AS STRING)")} AS product_id, l_quantity AS qty,
+               l_extendedprice AS price_unit, l_discount AS discount, l_extendedprice AS price_subtotal,
+               l_extendedprice * 1.25 AS price_subtotal_incl, {SHIP_TEXT} AS create_date, {SHIP_TEXT} AS write_date
+        FROM {{numbered_line}}""",
     "payment_raw": f"""
         SELECT {PAYMENT_ID} AS id, {_m2o('l_orderkey', "'O'")} AS pos_order_id,
                CASE WHEN l_linenumber = 6 THEN '[6]' ELSE

@@ -29,3 +29,11 @@ def test_every_query_has_a_twin():
 
 def test_flagship(spark):
     assert entry.entry(spark).columns[:3] == ["shop", "day", "total_sales"]
+
+
+def test_versions_cover_all_lines(spark, con):
+    """The load of line versions has every line of an order and product that is known, also those that share order and number."""
+    _, count = difference("ds_13_pos_line_versions", spark, con, SF)
+    assert count == con.execute("""
+        SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey
+        WHERE l_linenumber <> 7 AND o_orderstatus <> 'F'""").fetchone()[0]
