@@ -187,7 +187,8 @@ def near_duplicates(
     sets = some.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
     sets = cut_lineage(sets)
     reps = sets.select("rep", "h1", "h2", "n").join(some.hint("shuffle_merge"), [F.col("rep") == some["doc"], sets["h1"] == some["h1"], sets["h2"] == some["h2"]])
-    banded = cut_lineage(reps.select("rep", "bands").dropDuplicates(["rep"]).select("rep", F.explode("bands").alias("bucket")))
+    # a key with several texts has the bands of each
+    banded = cut_lineage(reps.select("rep", sets["h1"], sets["h2"], "bands").dropDuplicates(["rep", "h1", "h2"]).select("rep", F.explode("bands").alias("bucket")))
     hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("bucket", "hub")
     ties = banded.join(hubs.hint("shuffle_merge"), "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     groups = cut_lineage(components(ties))

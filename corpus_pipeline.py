@@ -22,11 +22,23 @@ def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``number`` of its own for each row, the id where all rows have one that does not repeat.
+    Else rows are numbered in the order of id (null last) and text."""
+    unclear = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1")
+    if unclear.isEmpty():
+        return docs.withColumn("number", F.col("doc_id").cast("long"))
+    # with the place of the row, so that equal rows too can be dealt to several tasks
+    ordered = docs.withColumn("number", F.monotonically_increasing_id()).orderBy(F.asc_nulls_last("doc_id"), "text", "number")
+    return cut_lineage(ordered.withColumn("number", F.monotonically_increasing_id()))
+
+
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without an id all stay."""
-    first = ngram_join.near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(first.hint("shuffle_merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """The document with the smallest id of each group of near duplicates. Rows are judged one by one: those that
+    share an id go only if their texts are near duplicates, and a row without an id goes for one that has one."""
+    rows = _numbered(docs)
+    first = ngram_join.near_duplicates(rows, "number").filter("number = class_id").select("number")
+    return rows.join(first.hint("shuffle_merge"), "number", "left_semi").select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

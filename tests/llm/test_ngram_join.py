@@ -79,6 +79,14 @@ def test_nulls_repeats_and_empty_table(spark):
     assert nj.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_key_with_two_texts(spark):
+    """Links of both texts are found."""
+    a, b = (" ".join(f"{t}{i}" for i in range(60)) for t in "ab")
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + " more"), (3, b + " more")], "doc_id long, text string")
+    got = {(r.doc_id, r.class_id) for r in nj.near_duplicates(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 40)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(40)] + [(7, 7), (None, 3)]

@@ -49,6 +49,15 @@ def test_repeated_rows_nulls_and_other_columns(spark):
         assert cp.STAGES[-1][1](spark, held, SF).count() >= 0
 
 
+def test_near_duplicates_are_judged_by_row(spark):
+    """Unrelated texts of one id, or without one, all stay; of copies one stays, whatever their ids."""
+    a, b, c, d = (" ".join(f"{t}{i}" for i in range(60)) for t in "abcd")
+    rows = [(1, a), (1, b), (1, b), (1, None), (2, a + " more"), (None, b), (None, c), (None, c + " more"), (None, d), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in cp.one_of_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (1, None), (None, c), (None, d), (None, None)], key=str)
+
+
 def test_run(spark):
     out = cp.run(spark, SF)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
