@@ -145,7 +145,8 @@ def fit(
     """The model, and the scores of all documents (a written table: doc, log_weight, key).
 
     Counts cover all documents. Of the labels at most ``labelled`` are used, one per id (the smallest, if ids
-    repeat; null ids and labels are left out); two in three fit the target, the third fixes the cut. Without
+    repeat; null ids and labels are left out); two in three fit the target, the third fixes the cut, each id by
+    its smallest score. Without
     good labels every weight is zero and everything is kept. The driver holds ``features`` counts, the scores
     of the held-out third, and a digit's counts; nothing that grows with the corpus.
     """
@@ -166,7 +167,7 @@ def fit(
         share = (raw + 1) / (raw + 1).sum()
         weights = np.log((target + PRIOR * features * share) / (target.sum() + PRIOR * features)) - np.log(share)
     scores = cut_lineage(score(source, weights))
-    held = scores.join(F.broadcast(marked.filter("NOT fits")), "doc").select("good", "log_weight").collect()
+    held = scores.join(F.broadcast(marked.filter("NOT fits")), "doc").groupBy("doc").agg(F.min("good").alias("good"), F.min("log_weight").alias("log_weight")).collect()
     cut = _best_cut(*[np.array([r["log_weight"] for r in held if r["good"] == kind]) for kind in (True, False)]) if target.sum() else 0.0
     k = scores.filter(F.col("log_weight") >= cut).count()
     return Model(weights, cut, kth_largest(scores, k)), scores

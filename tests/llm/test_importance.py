@@ -83,3 +83,13 @@ def test_accuracy_on_documents(spark):
     right = Counter((q, kept[d]) for d, q in labels.items())
     assert right[1, True] >= 0.99 * (right[1, True] + right[1, False])
     assert right[0, False] >= 0.85 * (right[0, True] + right[0, False])
+
+
+def test_copies_of_a_labelled_document_count_once_for_the_cut(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(im, "_best_cut", lambda good, bad: sizes.append(len(good) + len(bad)) or 0.0)
+    docs = spark.createDataFrame([(i, f"w{i % 7} of x{i}") for i in range(40) for _ in range(9 if i < 20 else 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    im.fit(docs, labels)
+    held_out = spark.range(40).filter("pmod(xxhash64(id), 3) = 0").count()
+    assert sizes == [held_out] and held_out > 0
