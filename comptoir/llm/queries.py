@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import archives, block_knn, bpe, chat, importance, ngram_join, packing, quality_rules, suffix_dedup, templates
+from comptoir.llm import archives, block_knn, bpe, chat, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -183,6 +183,62 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def _hash_sql(text: str) -> str:
+    fields = [*merkle.FIELDS[:-1], text]
+    told = " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE octet_length(encode(CAST({f} AS VARCHAR))) || ':' || {f} END" for f in fields)
+    return f"sha256({told})"
+
+
+_OP11_SQL = f"""
+WITH RECURSIVE told AS (
+    SELECT doc_id, lang, text, {_hash_sql('text')} AS leaf, {_hash_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+           list_reduce(
+               list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+               lambda c, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b)),
+               CAST(4294967295 AS BIGINT)
+           ) AS crc FROM documents
+), leaves AS (
+    SELECT doc_id, lang, leaf, CASE WHEN xor(crc, 4294967295) % {merkle.TAMPERED} = 0 THEN lowered ELSE leaf END AS judged,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM told
+), nodes AS (
+    SELECT lang, 0 AS level, i, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, i // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(h, '' ORDER BY i))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, i // {merkle.FAN}, n
+), subroots AS (
+    SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, i, n, subroot AS h FROM subroots
+    UNION ALL
+    SELECT level + 1, i // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(h, '' ORDER BY i))
+    FROM tops WHERE n > 1 GROUP BY level, i // {merkle.FAN}, n
+), beside AS (
+    SELECT a.lang, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM nodes AS a JOIN nodes AS b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.i // {merkle.FAN} = b.i // {merkle.FAN} WHERE a.n > 1 GROUP BY ALL
+), beside_tops AS (
+    SELECT a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+    FROM tops AS a JOIN tops AS b ON a.level = b.level AND a.i // {merkle.FAN} = b.i // {merkle.FAN} WHERE a.n > 1 GROUP BY ALL
+), steps AS (
+    SELECT x.lang, x.i, s.level, s.l, s.r FROM leaves AS x JOIN beside AS s ON x.lang IS NOT DISTINCT FROM s.lang AND s.i = x.i // CAST(pow({merkle.FAN}, s.level) AS BIGINT)
+    UNION ALL
+    SELECT x.lang, x.i, 100 + s.level, s.l, s.r FROM leaves AS x JOIN subroots AS t ON x.lang IS NOT DISTINCT FROM t.lang
+    JOIN beside_tops AS s ON s.i = t.i // CAST(pow({merkle.FAN}, s.level) AS BIGINT)
+), paths AS (
+    SELECT lang, i, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs, string_agg(l || r, '' ORDER BY level) AS proof FROM steps GROUP BY lang, i
+), folded AS (
+    SELECT x.doc_id, x.lang, x.i, x.leaf, coalesce(p.ls, []) AS ls, coalesce(p.rs, []) AS rs, coalesce(p.proof, '') AS proof, 1 AS k, x.judged AS h
+    FROM leaves AS x LEFT JOIN paths AS p ON x.lang IS NOT DISTINCT FROM p.lang AND x.i = p.i
+    UNION ALL
+    SELECT doc_id, lang, i, leaf, ls, rs, proof, k + 1, sha256(ls[k] || h || rs[k]) FROM folded WHERE k <= len(ls)
+)
+SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM folded AS f JOIN subroots AS s ON f.lang IS NOT DISTINCT FROM s.lang JOIN tops AS t ON t.n = 1 WHERE f.k > len(f.ls)"""
+
+
 QUERIES = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_template_extraction": (op2_template_extraction, None),
@@ -194,4 +250,5 @@ QUERIES = {
     "op8_block_knn": (op8_block_knn, _OP8_SQL),
     "op9_ngram_join": (op9_ngram_join, _OP9_SQL),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, _OP11_SQL),
 }
