@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import archives, block_knn, bpe, chat, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
+from comptoir.llm import archives, block_knn, bpe, chat, hamming_join, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -239,6 +239,27 @@ SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256
 FROM folded AS f JOIN subroots AS s ON f.lang IS NOT DISTINCT FROM s.lang JOIN tops AS t ON t.n = 1 WHERE f.k > len(f.ls)"""
 
 
+def op13_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_OP13_SQL = f"""
+WITH RECURSIVE body AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < {hamming_join.WORDS} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {hamming_join.WORDS - 1}], ' ') END AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {hamming_join.WORDS - 2}, 2))) AS i FROM body WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+both_ways AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams AS a JOIN grams AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM both_ways AS j JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * j.n >= 85 * (x.n + y.n - j.n)
+), reach AS (
+    SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, links.b FROM reach JOIN links ON links.a = reach.r
+), class AS (SELECT d, min(r) AS component_id FROM reach GROUP BY d)
+SELECT d AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d = component_id AS kept FROM class LEFT JOIN sizes ON doc_id = d"""
+
+
 QUERIES = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_template_extraction": (op2_template_extraction, None),
@@ -251,4 +272,5 @@ QUERIES = {
     "op9_ngram_join": (op9_ngram_join, _OP9_SQL),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
     "op11_merkle_manifest": (op11_merkle_manifest, _OP11_SQL),
+    "op13_hamming_near_dedup": (op13_hamming_near_dedup, _OP13_SQL),
 }
