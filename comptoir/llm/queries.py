@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import archives, block_knn, bpe, chat, hamming_join, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
+from comptoir.llm import align, archives, block_knn, bpe, chat, hamming_join, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -239,6 +239,10 @@ SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256
 FROM folded AS f JOIN subroots AS s ON f.lang IS NOT DISTINCT FROM s.lang JOIN tops AS t ON t.n = 1 WHERE f.k > len(f.ls)"""
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.overlap_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -272,5 +276,6 @@ QUERIES = {
     "op9_ngram_join": (op9_ngram_join, _OP9_SQL),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
     "op11_merkle_manifest": (op11_merkle_manifest, _OP11_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
     "op13_hamming_near_dedup": (op13_hamming_near_dedup, _OP13_SQL),
 }
