@@ -317,8 +317,8 @@ def payment_text(t):
       SELECT order_id, row_number() OVER (PARTITION BY order_id ORDER BY seq, part) AS pos, part FROM (
         SELECT order_id, seq, {PAY_PIECE} AS part FROM {PAY_ROWS})) GROUP BY 1, 2""")
 def payment_text_parts(t):
-    """Parts of three payments by position, from runs of two sequence numbers."""
-    return agg.payment_text(typed_payments(t), chunk=2, part_size=3)
+    """Parts of three payments by position."""
+    return agg.payment_text(typed_payments(t), part_size=3)
 
 
 @query("ag_07_payment_summary", f"""

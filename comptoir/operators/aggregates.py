@@ -6,13 +6,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions.measures import (
     SOURCE_SIDE, TARGET_SIDE, as_ts, movement_qty, plain_number,
 )
 from comptoir.functions.names import valid_barcode
+from comptoir.operators.positions import with_positions
 from comptoir.operators.skew import splittable_join
 
 # ---- fixed values -------------------------------------------------------
@@ -35,7 +36,6 @@ AGE_BUCKETS = {
 DEFAULT_START = "2000-01-01 00:00:00"
 # -------------------------------------------------------------------------
 
-TEXT_CHUNK = 10_000
 TEXT_PART = 100_000
 
 
@@ -103,38 +103,27 @@ def stock_age(
 def payment_text(
     payments: DataFrame, order: str = "order_id", seq: str = "payment_id",
     name: str = "method_name", amount: str = "amount", method: str = "method_id", prefix: str = "PM_",
-    chunk: int = TEXT_CHUNK, part_size: int = TEXT_PART,
+    part_size: int = TEXT_PART,
 ) -> DataFrame:
     """``name: amount`` of an order's payments in arrival order, set off by bars.
 
     The contract is a row per order and ``part``: part p holds the payments at positions
-    ``p * part_size`` to ``(p + 1) * part_size - 1``, whatever ``chunk`` is, so that no single value grows
-    with the data. A payment without a name has ``prefix`` and its method id, one without an amount zero.
+    ``p * part_size`` to ``(p + 1) * part_size - 1``, so that no single value grows with the data. Payments
+    stand in the order of ``seq``, missing ones last, then of their text. A payment without a name has
+    ``prefix`` and its method id, one without an amount zero.
 
-    Texts are collected for runs of ``chunk`` sequence numbers, which spreads an order with very many payments;
-    the position of a run comes from counts alone, so no text goes through a window.
+    Positions are exact and come from counts, whatever the sequence numbers look like: they may repeat or be
+    missing, and an order may hold any share of the payments. What is collected is ``part_size`` payments.
     """
     known = F.col(method).cast("string") if method in payments.columns else F.lit(None).cast("string")
     label = F.coalesce(F.col(name), F.concat(F.lit(prefix), F.coalesce(known, F.lit(""))))
     piece = F.concat(label, F.lit(": "), plain_number(F.coalesce(F.col(amount), F.lit(0).cast(payments.schema[amount].dataType))))
-    run = F.floor(F.col(seq) / chunk)
-    counts = payments.groupBy(order, run.alias("run")).agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy(order).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(order, "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    runs = payments.groupBy(order, run.alias("run")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), piece.alias("piece")))).alias("pieces"),
-    )
-    placed = splittable_join(runs, offsets, [order, "run"], null_safe=True)
-    first, last = F.floor(F.col("before") / part_size), F.floor((F.col("before") + F.size("pieces") - 1) / part_size)
-    split = placed.select(order, "run", "before", "pieces", F.explode(F.sequence(first, last)).alias("part"))
-    start = F.greatest(F.col("part") * part_size - F.col("before"), F.lit(0))
-    held = F.slice(F.col("pieces.piece"), (start + 1).cast("int"), ((F.col("part") + 1) * part_size - F.col("before") - start).cast("int"))
-    return (
-        split.select(order, F.col("part").cast("int").alias("part"), "run", F.array_join(held, " | ").alias("text"))
-        .groupBy(order, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("run", "text"))).alias("runs"))
-        .select(order, "part", F.array_join(F.col("runs.text"), " | ").alias("payment_text"))
+    told = payments.select(order, F.col(seq).alias("seq"), piece.alias("piece"))
+    placed = with_positions(told, [order], [F.col("seq").asc_nulls_last(), F.col("piece")])
+    parts = placed.groupBy(order, F.floor(F.col("position") / part_size).cast("int").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("position", "piece"))).alias("pieces")
     )
+    return parts.select(order, "part", F.array_join(F.col("pieces.piece"), " | ").alias("payment_text"))
 
 
 def payment_summary(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date, datetime
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.functions.measures import as_ts
 from comptoir.operators.aggregates import DEFAULT_START
 from comptoir.operators.sets import day_spine
+from comptoir.schemas import RUN_LOG
 
 # ---- fixed values -------------------------------------------------------
 DEFAULT_ID = 0
@@ -125,6 +127,66 @@ def since_from_target(
     return target.agg((F.coalesce(top, as_ts(as_of) - F.expr(lookback)) - F.expr(buffer)).alias("since_ts"))
 
 
+def footer_max(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """The greatest value of a stored column, read from the Parquet footers: no row is scanned.
+
+    Spark takes the maximum of a number from footers, not that of a time, so tables keep their load time as
+    microseconds as well. The frame belongs to a session of its own, whose reader pushes aggregates down.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.max(col).alias("top"))
+
+
+def since_from_stored(
+    spark: SparkSession, path: str, micros_col: str, buffer: str, as_of: datetime | str | None = None, lookback: str = "INTERVAL 7 DAYS"
+) -> DataFrame:
+    """As ``since_from_target`` for a stored table, from its footers; a table that is not there counts as empty."""
+    try:
+        top = footer_max(spark, path, micros_col).first()["top"]
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        top = None
+    reached = F.lit(None if top is None else str(datetime(1970, 1, 1) + timedelta(microseconds=top))).cast("timestamp_ntz")
+    return since_from_target(spark.range(1).select(reached.alias("reached")), "reached", buffer, as_of, lookback)
+
+
+def logged_load(
+    rows: DataFrame, ts: str, key: str, load: Callable[[DataFrame], None], log_path: str, job: str,
+    started_at: datetime | str, ended_at: datetime | str | None = None, lookback_sec: int | None = None,
+) -> Row:
+    """Run a load and append what became of it to the run log; returns that row.
+
+    The watermark, the greatest time and id that went through, is observed on the rows while ``load`` writes them, so
+    the slice is read once. A load that fails is logged as such, without a watermark, and raises. The maximum is the
+    same however often a lost task is run again; the row count is for information.
+    """
+    spark, seen = rows.sparkSession, Observation()
+    pair = F.struct(F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(key).cast("bigint").alias("id"))
+    error = None
+    try:
+        load(rows.observe(seen, F.max(F.when(F.col(ts).isNotNull(), pair)).alias("top"), F.count(F.lit(1)).alias("rows")))
+    except Exception as e:
+        error = e
+    found = {} if error else seen.get
+    top = found.get("top")
+    logged = Row(
+        job_name=job, watermark_type="ts", watermark_ts=top["ts"] if top else None, watermark_id=top["id"] if top else None,
+        lookback_sec=lookback_sec, started_at=_time(started_at), ended_at=_time(ended_at or started_at),
+        status=FAIL if error else SUCCESS, row_count=found.get("rows"), error=str(error)[:ERROR_LENGTH] if error else None, is_enabled=True,
+    )
+    spark.createDataFrame([logged], RUN_LOG).coalesce(1).write.mode("append").parquet(log_path)
+    if error:
+        raise error
+    return logged
+
+
+def _time(value: datetime | str) -> datetime:
+    return value if isinstance(value, datetime) else datetime.fromisoformat(value)
+
+
 def backfill(df: DataFrame, day_col: str, from_day: date | str, to_day: date | str) -> tuple[DataFrame, DataFrame]:
     """Rows of an inclusive day range, and how many there are per day, empty days too.
 

@@ -11,13 +11,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from comptoir.operators.skew import splittable_join
 from comptoir.session import cut_lineage
 
-MAX_RULES = 2000
+PREFIX_LENGTHS = 8
+"""Lengths of literal beginnings that rules are looked up by, at most."""
+FEW_RULES = 32
+"""So few rules are no work for an index."""
+INLINED = 500
+"""Rules without a literal beginning that become part of the expression; more are tried as one list."""
 
 
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
@@ -59,25 +65,86 @@ def join_valid(fact: DataFrame, periods: DataFrame, key: str, day: str) -> DataF
     return fact.join(active, held, "inner").drop("__key", "valid_from", "valid_to")
 
 
+def rule_index(rules: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """Rules by the part of their literal beginning that they are looked up by: ``size, prefix, rules`` in rank order.
+
+    A pattern begins literally up to its first wildcard or escape. It is filed under the greatest of ``lengths`` that
+    its beginning covers, 0 if none.
+    """
+    beginning = F.regexp_extract("pattern", r"^[^%_\\]*", 0)
+    size = F.array_max(F.filter(F.array(F.lit(0), *[F.lit(n) for n in lengths]), lambda n: n <= F.length(beginning)))
+    filed = rules.withColumn("size", size).withColumn("prefix", F.substring(beginning, F.lit(1), F.col("size")))
+    return filed.groupBy("size", "prefix").agg(F.array_sort(F.collect_list(F.struct("priority", "code", "pattern"))).alias("rules"))
+
+
 def classify_by_rules(
-    fact: DataFrame, rules: DataFrame, ref: str = "movement_ref", into: str = "movement_type", max_rules: int = MAX_RULES,
+    fact: DataFrame, rules: DataFrame, ref: str = "movement_ref", into: str = "movement_type",
+    few: int = FEW_RULES, most_lengths: int = PREFIX_LENGTHS, inlined: int = INLINED,
 ) -> DataFrame:
     """Code of the first active rule whose LIKE pattern matches, by priority then code.
 
-    Rules are configuration kept by hand: they become one expression over the row, with no join, no shuffle
-    and nothing for a frequent reference to pile up on. A rule without a code or pattern is no rule. More than
-    ``max_rules`` are refused.
+    Most patterns begin literally, so a reference is looked up by its own beginning, once for each of a few lengths,
+    and LIKE is tried on the rules found there alone: the cost of a row hardly depends on the number of rules, of
+    which there may be any. The lookups are many-to-one joins; Spark broadcasts the index while it is small and
+    shuffles otherwise. Patterns that begin with a wildcard concern every row: they become one expression over it, or,
+    beyond ``inlined``, a list that is tried row by row. Up to ``few`` rules are that expression in any case. All of
+    these give the same codes. A rule without a code or pattern is no rule.
     """
     usable = F.col("is_active") & F.col("code").isNotNull() & F.col("pattern").isNotNull()
     active = rules.filter(usable).select("priority", "code", "pattern").distinct()
-    listed = active.orderBy("priority", "code", "pattern").limit(max_rules + 1).collect()
-    if len(listed) > max_rules:
-        raise ValueError(f"more than {max_rules} rules")
+    listed = active.limit(few + 1).collect()
+    if len(listed) <= few:
+        return _fill_type(fact, _first_code(_inline_rules(listed, ref, active.schema["priority"].dataType)), ref, into)
+    begins = F.length(F.regexp_extract("pattern", _BEGINNING, 0))
+    counted = [r["n"] for r in active.select(begins.alias("n")).filter("n > 0").distinct().orderBy("n").collect()]
+    lengths = counted[:: max(1, -(-len(counted) // most_lengths))]  # with the least, which every literal beginning covers
+    index = cut_lineage(rule_index(active, lengths))
+    listed = index.filter("size = 0").select(F.inline("rules")).limit(inlined + 1).collect()
+    looked_up = [*lengths, *([0] if len(listed) > inlined else [])]
+    out, found = fact, []
+    for n in looked_up:
+        held = index.filter(F.col("size") == n).select(F.col("prefix").alias("__prefix"), F.col("rules").alias("__rules"))
+        keyed = out.withColumn("__prefix", F.substring(ref, 1, n) if n else F.lit(""))
+        first = F.expr(f"get(filter(__rules, r -> `{ref}` LIKE r.pattern), 0)")
+        out = splittable_join(keyed, held, "__prefix", "left").withColumn(f"__found{n}", first).drop("__prefix", "__rules")
+        found.append(F.col(f"__found{n}"))
+    if len(listed) <= inlined:
+        found += _inline_rules(listed, ref, active.schema["priority"].dataType)
+    return _fill_type(out, _first_code(found), ref, into).drop(*[f"__found{n}" for n in looked_up])
+
+
+_BEGINNING = r"^[^%_\\]*"
+
+
+def rule_index(rules: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """Rules by the part of their literal beginning that they are looked up by: ``size, prefix, rules`` in rank order.
+
+    A pattern begins literally up to its first wildcard or escape. It is filed under the greatest of ``lengths`` that
+    its beginning covers, 0 if none.
+    """
+    beginning = F.regexp_extract("pattern", _BEGINNING, 0)
+    size = F.array_max(F.filter(F.array(F.lit(0), *[F.lit(n) for n in lengths]), lambda n: n <= F.length(beginning)))
+    filed = rules.withColumn("size", size).withColumn("prefix", F.substring(beginning, F.lit(1), F.col("size")))
+    return filed.groupBy("size", "prefix").agg(F.array_sort(F.collect_list(F.struct("priority", "code", "pattern"))).alias("rules"))
+
+
+def _inline_rules(listed: Sequence[Row], ref: str, priority: DataType) -> list[Column]:
+    """The first of the listed rules that matches, as one column, none if there are no rules."""
+    ranked = sorted(listed, key=lambda r: (r["priority"] is not None, r["priority"] or 0, r["code"], r["pattern"]))
+    found = [
+        F.when(F.col(ref).like(r["pattern"]), F.struct(F.lit(r["priority"]).cast(priority).alias("priority"), F.lit(r["code"]).alias("code"), F.lit(r["pattern"]).alias("pattern")))
+        for r in ranked
+    ]
     # runs of rules nest instead of making one long list, so that each stays a small piece of generated code
-    found = [F.when(F.col(ref).like(r["pattern"]), F.lit(r["code"])) for r in listed]
     while len(found) > 1:
         found = [F.coalesce(*found[i : i + 16]) for i in range(0, len(found), 16)]
-    return _fill_type(fact, found[0] if found else F.lit(None).cast("string"), ref, into)
+    return found
+
+
+def _first_code(found: Sequence[Column]) -> Column:
+    if len(found) < 2:
+        return found[0]["code"] if found else F.lit(None).cast("string")
+    return F.array_min(F.array_compact(F.array(*found)))["code"]
 
 
 def _fill_type(fact: DataFrame, found: Column, ref: str, into: str) -> DataFrame:

@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from comptoir.functions.measures import as_date
+from comptoir.operators.skew import row_salt
 from comptoir.session import scratch_path
 
 
@@ -51,13 +52,16 @@ def upsert(
     cols = target.columns
     updates = set(update_cols if update_cols is not None else cols) - set(keys) - set(insert_only)
     keep = set(keep_if_null)
+    source = _checked(source, keys)
     src = source.select(
         *[(F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(f"s_{c}")
           for c in cols],
-        _once(keys).alias("__s"),
+        F.col("__apart").alias("s___apart"), F.lit(True).alias("__s"),
     )
-    tgt = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("__t"))
-    same = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
+    tgt = target.withColumn("__apart", _apart(target, keys)).select(
+        *[F.col(c).alias(f"t_{c}") for c in cols], F.col("__apart").alias("t___apart"), F.lit(True).alias("__t"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in (*keys, "__apart")])
     in_s, in_t = F.col("__s").isNotNull(), F.col("__t").isNotNull()
 
     def merged(df: DataFrame) -> DataFrame:
@@ -77,11 +81,27 @@ def upsert(
     return merged(tgt.join(src, same, "left")).unionByName(new)
 
 
-def _once(keys: Sequence[str]) -> Column:
-    """True, or an error if the row's key occurs again; counted where the join needs the rows anyway."""
+def _apart(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for a row with a whole key. Rows with a missing part match nothing: they get a number that deals them to
+    many tasks, where one key of nulls would gather them in one."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    again = whole & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
-    return F.when(again, F.raise_error(F.lit(f"the source of a merge repeats a key of {', '.join(keys)}")).cast("boolean")).otherwise(True)
+    hashed = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    return F.when(whole, F.lit(0)).otherwise(row_salt(hashed, 1024) + 1)
+
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return _has_map(kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, (MapType, VariantType))
+
+
+def _checked(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with ``__apart``; a key that repeats is an error. The error stands in a filter, which decides about
+    rows, so no plan can do without it, whichever columns it reads."""
+    apart = source.withColumn("__apart", _apart(source, keys))
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys, "__apart"))
+    error = F.raise_error(F.lit(f"the source of a merge repeats a key of {', '.join(keys)}")).cast("boolean")
+    return apart.withColumn("__times", times).filter(F.when((F.col("__apart") == 0) & (F.col("__times") > 1), error).otherwise(True)).drop("__times")
 
 
 def retire_missing(
@@ -170,6 +190,81 @@ def store(
         remove(spark, used)
 
 
+INTENT = "_comptoir_intent"
+
+
+def store_by_file(
+    spark: SparkSession, path: str, batch: DataFrame, part_col: str, keys: Sequence[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> dict[str, int]:
+    """Change a keyed table by rewriting only the files that hold a key of the batch; returns how many files went and
+    how many came.
+
+    The keys, which include the partition column, are looked up in the partitions that the batch touches; the rows of
+    the files they are found in are merged with the batch, and no other file is read in full or written. New files
+    are written to the shared folder first. What is to change then goes into a file of intent beside the data, which
+    readers skip: a run that breaks off after that is completed by the next one, so files are never lost or doubled.
+    """
+    complete_store(spark, path)
+    staged = scratch_path(spark, "batch")
+    batch.write.parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    fs, root = file_system(spark, path)
+    fs.mkdirs(root)
+    stored = spark.read.schema(table_schema(spark, path, batch, part_col)).parquet(path).withColumn("__file", F.col("_metadata.file_path"))
+    target = touched_parts(stored, batch, part_col)
+    hit = target.select(*keys, "__file").join(batch.select(*keys), list(keys), "left_semi")
+    old = sorted(r[0] for r in hit.select("__file").distinct().collect())  # names that the job deletes one by one
+    target = stored.filter(F.col("_metadata.file_path").isin(*old)).drop("__file")
+    merged = merge(target, batch)
+    lost = [c for c in target.columns if c not in merged.columns]
+    if lost:
+        raise ValueError(f"the merge would lose the table's columns {lost}")
+    written = scratch_path(spark, "files")
+    merged.hint("rebalance", part_col).write.partitionBy(part_col).parquet(written)
+    out = fs.create(_hadoop(spark, f"{path}/{INTENT}.tmp"), True)
+    out.write(bytearray("\n".join([written, *old]).encode()))
+    out.close()
+    fs.rename(_hadoop(spark, f"{path}/{INTENT}.tmp"), _hadoop(spark, f"{path}/{INTENT}"))
+    came = complete_store(spark, path)
+    remove(spark, staged)
+    return {"replaced": len(old), "written": came}
+
+
+def complete_store(spark: SparkSession, path: str) -> int:
+    """Do what a file of intent says, if there is one: old files go, new ones take their place. Each step can be done
+    again. Returns how many files came."""
+    fs, root = file_system(spark, path)
+    intent = _hadoop(spark, f"{path}/{INTENT}")
+    if not fs.exists(intent):
+        return 0
+    written, *old = bytes(fs.open(intent).readAllBytes()).decode().split("\n")
+    uri = spark.sparkContext._jvm.java.net.URI
+    for name in old:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri(name)), False)
+    came, source = 0, _hadoop(spark, written)
+    for part in fs.listStatus(source) if fs.exists(source) else []:
+        if not part.isDirectory():
+            continue
+        folder = _hadoop(spark, f"{path}/{part.getPath().getName()}")
+        fs.mkdirs(folder)
+        for file in fs.listStatus(part.getPath()):
+            came += fs.rename(file.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, file.getPath().getName()))
+    fs.delete(intent, False)
+    remove(spark, written)
+    return came
+
+
+def _hadoop(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    found = _hadoop(spark, path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def table_schema(spark: SparkSession, path: str, batch: DataFrame, part_col: str) -> StructType:
     """The schema of a stored table, which a batch need not cover; of a new one, the batch's.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from comptoir.operators.skew import SALTS, row_salt
+from comptoir.operators.skew import SALTS, row_salt, splittable_join
 
 
 def pg_asc(c: str) -> Column:
@@ -69,6 +69,32 @@ def flag_duplicates(
     return step.withColumn(into, F.when(first, 0).otherwise(1)).drop("__salt", "__rn", "__part")
 
 
+def flag_across_loads(
+    new: DataFrame, seen: DataFrame | None, key: Sequence[str], order: Sequence[str], into: str = "dup_flag",
+) -> dict[str, DataFrame]:
+    """The flag of ``flag_duplicates`` for one load after others, as if all had been one.
+
+    ``seen`` is the state of earlier loads: key and order of the first row of each key. Returns ``rows`` with the flag,
+    the next ``seen``, and ``demoted``: keys and orders of rows that were first until now, and are not any more because
+    this load has an earlier one. A row that equals the first one in its order is a copy of it. The state is joined
+    many to one, so a key with very many rows is dealt to several tasks; it grows with the keys, not with the rows.
+    """
+    key, order = list(key), list(order)
+    rank = lambda p: F.struct(*[c for o in order for c in (F.col(f"{p}{o}").isNull().alias(f"no_{o}"), F.col(f"{p}{o}").alias(o))])
+    flagged = flag_duplicates(new, key, order, into)
+    firsts = flagged.filter(F.col(into) == 0).select(*key, *order)
+    if seen is None:
+        return {"rows": flagged, "seen": firsts, "demoted": firsts.limit(0)}
+    known = seen.select(*key, *[F.col(o).alias(f"__s_{o}") for o in order], F.lit(True).alias("__known"))
+    beside = splittable_join(flagged, known, key, "left", null_safe=True)
+    later = F.coalesce(F.col("__known") & (rank("__s_") <= rank("")), F.lit(False))
+    rows = beside.withColumn(into, F.when(later, 1).otherwise(F.col(into))).select(*flagged.columns)
+    first_of = F.min_by(F.struct(*order), rank(""))
+    state = seen.select(*key, *order).unionByName(firsts).groupBy(*key).agg(first_of.alias("__first")).select(*key, "__first.*")
+    passed = splittable_join(firsts, known, key, "inner", null_safe=True).filter(rank("") < rank("__s_"))
+    return {"rows": rows, "seen": state, "demoted": passed.select(*key, *[F.col(f"__s_{o}").alias(o) for o in order])}
+
+
 def top_one(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first by ``order``: a lookup that cannot multiply rows."""
     first = Window.partitionBy(*key).orderBy(*[pg_asc(c) for c in order])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.functions.measures import as_ts, payment_dt, split_overflow
@@ -12,14 +13,14 @@ from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
 from comptoir.operators.incremental import since_from_target
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
-from comptoir.operators.merge import upsert
+from comptoir.operators.merge import file_system, upsert
 from comptoir.operators.skew import splittable_join
 from comptoir.operators.windows import dedup_latest, top_one
 from comptoir.schemas import (
     ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
 )
 from comptoir.sources.scans import with_payload
-from comptoir.session import cut_lineage
+from comptoir.session import cut_lineage, scratch_path
 from comptoir.sources.slices import not_before, slice_last, slice_range
 
 # fixed values
@@ -67,8 +68,9 @@ def stg_pos_line(
     if not targets:
         return {"lines": new_lines, "payment_texts": texts}
     changing = ["qty", "price_unit", "pos_reference", "ingested_at"]
+    versions = dedup_latest(new_lines, ["line_id", "created_at"], "created_at", ["product_id", "qty", "price_unit", "discount_percent", "subtotal_incl_tax"])
     return {
-        "lines": upsert(targets["lines"], new_lines, ["line_id", "created_at"], update_cols=changing),
+        "lines": upsert(targets["lines"], versions, ["line_id", "created_at"], update_cols=changing),
         "payment_texts": upsert(targets["payment_texts"], texts, ["order_id", "part"]),
     }
 
@@ -170,12 +172,46 @@ def pos_hist(
     )
     new = {"orders": order_rows, "lines": line_rows, "payments": payment_rows}
     ids = {"orders": "order_id", "lines": "line_id", "payments": "payment_id"}
+    last = {
+        "orders": ("write_ts", ["payload"]), "payments": ("write_ts", ["payload"]),
+        "lines": ("created_at", ["product_id", "qty", "price_unit", "discount_percent", "subtotal_incl_tax"]),
+    }
     out = {
-        k: upsert(targets[k], df, [ids[k]]) if targets and k in targets else df for k, df in new.items()
+        k: upsert(targets[k], dedup_latest(df, [ids[k]], *last[k]), [ids[k]]) if targets and k in targets else df
+        for k, df in new.items()
     }
     return {**out, "rejected_payments": rejected}
 
 
+def load_pos_hist(
+    orders: DataFrame, lines: DataFrame, payments: DataFrame, from_: datetime | str, to: datetime | str,
+    as_of: datetime | str, targets: dict[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """``pos_hist`` with each source scanned once and all tables written by one job.
+
+    The lines of the range, then the orders and payments they name, are staged as they are; everything else starts from
+    those. The tables are the branches of one written frame, split by kind, and are read back from their folders.
+    """
+    in_range = cut_lineage(slice_range(
+        lines.withColumn("__created", parse_dt("create_date")), "__created", from_, to, "create_date",
+    ).drop("__created").filter(m2o_id("order_id").isNotNull()))
+    keys = in_range.select(m2o_id("order_id").alias("__order")).distinct()
+    named = cut_lineage(splittable_join(orders.withColumn("__order", F.col("id")), keys, "__order", "left_semi").drop("__order"))
+    paid = cut_lineage(splittable_join(payments.withColumn("__order", m2o_id("pos_order_id")), keys, "__order", "left_semi").drop("__order"))
+    tables = pos_hist(named, in_range, paid, from_, to, as_of, targets)
+    tagged = [df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(kind)) for kind, df in tables.items()]
+    path = scratch_path(orders.sparkSession, "history")
+    reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).write.partitionBy("kind").parquet(path)
+    read = orders.sparkSession.read
+    return {kind: read.schema(t.select(kind).schema).parquet(f"{path}/kind={kind}").select(f"{kind}.*") if _written(orders.sparkSession, f"{path}/kind={kind}") else tables[kind].limit(0) for kind, t in zip(tables, tagged)}
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    """Whether a branch had rows: one without any leaves no folder."""
+    fs, folder = file_system(spark, path)
+    return fs.exists(folder)
+
+
 def fct_pos_order(orders: DataFrame, as_of: datetime | str) -> DataFrame:
     return with_payload(orders, relations=ORDER_RELATIONS).select(
         *_order_columns("id", True, as_of),
@@ -252,7 +288,7 @@ def fct_pos(
 
     With ``targets`` each source is read from the latest write its own target holds, less ``buffer``; the
     latest version of each id is merged, and stored lines without a barcode take the one their product has
-    by now. Orders are written once and read by the other facts.
+    by now. What the other facts need of the orders, four columns, is written once and read by them.
     """
     targets = targets or {}
 
@@ -268,13 +304,14 @@ def fct_pos(
         latest = dedup_latest(new, [key], "write_ts", ["payload"]) if "write_ts" in new.columns else top_one(new, [key], ["payload"])
         return upsert(targets[name], latest, [key])
 
-    all_orders = cut_lineage(merged("orders", fct_pos_order(recent("orders", orders), as_of), "order_id"))
-    all_lines = merged("lines", fct_pos_line(recent("lines", lines), all_orders, products, as_of), "line_id")
+    all_orders = merged("orders", fct_pos_order(recent("orders", orders), as_of), "order_id")
+    heads = cut_lineage(all_orders.select("order_id", "config_id", "txn_ts", "txn_day"))
+    all_lines = merged("lines", fct_pos_line(recent("lines", lines), heads, products, as_of), "line_id")
     if "lines" in targets:
         all_lines = fill_from(all_lines, products, "product_id", "barcode")
     return {
         "orders": all_orders,
         "lines": all_lines,
-        "payments": merged("payments", fct_pos_payment(recent("payments", payments), all_orders, as_of), "payment_id"),
+        "payments": merged("payments", fct_pos_payment(recent("payments", payments), heads, as_of), "payment_id"),
         "sessions": merged("sessions", fct_pos_session(sessions, as_of), "session_id"),
     }

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from comptoir.operators import joins as jn
 from tests.conftest import plan, rows
@@ -30,12 +32,48 @@ def test_no_rule_matches(spark):
     assert rows(jn.classify_by_rules(fact, rules).select("movement_type")) == [("",)]
 
 
-def test_more_rules_than_allowed_are_refused(spark):
-    rules = spark.createDataFrame([(f"C{i}", f"{i}%", i, True) for i in range(4)], RULE)
-    fact = spark.createDataFrame([(1, "1")], "i int, movement_ref string")
-    assert rows(jn.classify_by_rules(fact, rules, max_rules=4).select("movement_type")) == [("C1",)]
-    with pytest.raises(ValueError):
-        jn.classify_by_rules(fact, rules, max_rules=3)
+RULES_OF_ALL_KINDS = [
+    *[(f"P{i:05d}", f"REF/{i}%", 1 + i % 5, True) for i in range(300)], *[(f"L{n}", "R" * n + "_%", 3, True) for n in range(1, 30)],
+    ("ESC", r"100\%%", 2, True), ("EXACT", "exact", 0, True), ("SUFFIX", "%7", 4, True), ("SAME_B", "REF/1%", 1, True), ("SAME_A", "REF/1%", 1, True),
+    ("NOPRIO", "REF/9_", None, True), ("OFF", "REF/%", 0, False), ("E", "é%", 1, True),
+]
+
+
+def expected_code(ref):
+    def like(pattern):
+        out, i = "", 0
+        while i < len(pattern):
+            c = pattern[i]
+            if c == "\\":
+                i += 1
+                out += re.escape(pattern[i])
+            else:
+                out += {"%": ".*", "_": "."}.get(c, re.escape(c))
+            i += 1
+        return re.fullmatch(out, ref, re.DOTALL) is not None
+
+    hits = [(p is not None, p or 0, c) for c, pattern, p, on in RULES_OF_ALL_KINDS if on and like(pattern)]
+    return min(hits)[2] if hits else None
+
+
+@pytest.mark.parametrize("how", [{}, {"few": 10_000}, {"inlined": 0}, {"most_lengths": 1}, {"most_lengths": 3, "inlined": 0}])
+def test_rules_by_their_literal_beginning(spark, how):
+    """The index, the expression and the list give the code that the definition gives."""
+    refs = [None, "", "R", "RR", "RRRRRx", "R" * 40, "exact", "exactly", "100%", "100%x", "1000", "REF/", "REF/1", "REF/17", "REF/299/x", "REF/91", "x7", "éé", "e", "REF/300\n7"]
+    fact = spark.createDataFrame([(i, r) for i, r in enumerate(refs)], "i int, movement_ref string")
+    rules = spark.createDataFrame(RULES_OF_ALL_KINDS, RULE)
+    got = jn.classify_by_rules(fact, rules, **how)
+    assert got.columns == ["i", "movement_ref", "movement_type"]
+    assert rows(got.select("i", "movement_type")) == sorted(((i, None if r is None else expected_code(r)) for i, r in enumerate(refs)), key=lambda x: str(x[0]))
+
+
+def test_any_number_of_rules(spark):
+    """20,000 rules: no shuffle of the rows, none compared with more than those that begin alike."""
+    rules = spark.range(20_000).selectExpr("concat('C', id) AS code", "concat('DOC', id, '/%') AS pattern", "cast(id % 7 AS int) AS priority", "true AS is_active")
+    fact = spark.range(0, 40_000, 1, 4).selectExpr("id", "concat('DOC', id, '/x') AS movement_ref")
+    typed = jn.classify_by_rules(fact, rules)
+    assert "hashpartitioning" not in plan(typed) and "NestedLoop" not in plan(typed)
+    assert rows(typed.groupBy((F.col("movement_type") == F.concat(F.lit("C"), "id")).alias("own")).count()) == [(None, 20_000), (True, 20_000)]
 
 
 def test_inline_rules_need_no_shuffle(spark):

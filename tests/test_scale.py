@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from checks.registry import run
 from comptoir.operators import aggregates as agg
 from comptoir.operators import joins as jn
 from comptoir.operators import windows as win
+from comptoir.operators.positions import with_positions
 from comptoir.operators.skew import row_salt, splittable_join
 from comptoir.functions.records import parse_dt
 from comptoir.plans import movements as mv
@@ -114,19 +116,45 @@ def test_one_first_row_per_key_among_copies(spark):
     assert flagged.count() == 3000
 
 
-def test_payment_text_in_runs_and_parts(spark):
+def test_payment_text_in_parts(spark):
     pays = spark.range(50).selectExpr("1L AS order_id", "id AS payment_id", "concat('m', id) AS method_name", "cast(id AS decimal(16,4)) AS amount")
     whole = " | ".join(f"m{i}: {i}.0" for i in range(50))
     assert rows(agg.payment_text(pays)) == [(1, 0, whole)]
-    assert rows(agg.payment_text(pays, chunk=7)) == [(1, 0, whole)]
-    for chunk in (1, 7, 1000):  # the cut is at positions, however runs are cut
-        sizes = [p[2].count(" | ") + 1 for p in rows(agg.payment_text(pays, chunk=chunk, part_size=13))]
-        assert sizes == [13, 13, 13, 11]
-    parts = rows(agg.payment_text(pays, chunk=7, part_size=10))
+    sizes = [p[2].count(" | ") + 1 for p in rows(agg.payment_text(pays, part_size=13))]
+    assert sizes == [13, 13, 13, 11]
+    parts = rows(agg.payment_text(pays, part_size=10))
     assert [p[1] for p in parts] == [0, 1, 2, 3, 4]
     assert " | ".join(p[2] for p in parts) == whole
 
 
+def test_payment_text_of_one_order_with_repeated_and_missing_numbers(spark):
+    """100,000 payments of one order: exact positions, and no more than a part in one value."""
+    pays = spark.range(0, 100_000, 1, 8).selectExpr(
+        "7L AS order_id", "if(id % 3 = 0, NULL, if(id % 3 = 1, 5L, id)) AS payment_id", "'m' AS method_name", "cast(id AS decimal(16,4)) AS amount"
+    )
+    want = sorted(range(100_000), key=lambda i: (i % 3 == 0, 5 if i % 3 == 1 else i if i % 3 else 0, f"m: {i}.0"))
+    got = rows(agg.payment_text(pays, part_size=1000))
+    got.sort(key=lambda r: r[1])
+    assert [r[1] for r in got] == list(range(100)) and {r[2].count(" | ") for r in got} == {999}
+    assert " | ".join(r[2] for r in got) == " | ".join(f"m: {i}.0" for i in want)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_positions(spark, partitions):
+    """Groups of all sizes, missing groups, whole rows that repeat."""
+    df = spark.range(0, 4000, 1, partitions).selectExpr("if(id % 3 = 0, NULL, if(id % 3 = 1, 'hot', concat('g', id % 50))) AS g", "cast(id % 97 AS int) AS v")
+    got = with_positions(df, ["g"], ["v"], "at", "of")
+    assert got.columns == ["g", "v", "at", "of"]
+    found = {}
+    for g, v, at, of in got.collect():
+        found.setdefault((g, of), []).append((at, v))
+    assert sum(map(len, found.values())) == 4000 and len({g for g, _ in found}) == len(found)
+    for (_, of), members in found.items():
+        members.sort()
+        assert [at for at, _ in members] == list(range(of)) and [v for _, v in members] == sorted(v for _, v in members)
+    assert with_positions(df.limit(0), ["g"], ["v"]).count() == 0
+
+
 def test_lines_with_payment_text(spark):
     lines = spark.createDataFrame([(1, 10), (2, 10), (3, 11)], "line_id int, order_id int")
     texts = spark.createDataFrame([(10, 1, "b: 2.0"), (10, 0, "a: 1.0")], "order_id int, part int, payment_text string")
@@ -181,9 +209,28 @@ def test_text_bounds_lose_nothing(spark):
         assert rows(slices.slice_range(df, "at", "2024-01-05 10:00:00", at, "raw")) == rows(slices.slice_range(df, "at", "2024-01-05 10:00:00", at))
 
 
-def test_capped_slice_keeps_only_the_top_rows_per_task(tables):
-    capped = slices.slice_since(tables.events, "ts", "event_id", "2024-01-15 00:00:00", 0, max_rows=10)
-    assert "TakeOrderedAndProject" in plan(capped)
+def test_capped_slice_is_a_filter(tables):
+    """Nothing is sorted or gathered; the end of the slice reaches the scan."""
+    text = plan(slices.slice_since(tables.events, "ts", "event_id", "2024-01-15 00:00:00", 0, max_rows=10))
+    assert "TakeOrderedAndProject" not in text and "Exchange" not in text and "Sort" not in text
+    assert "LessThanOrEqual(ts," in text
+
+
+@pytest.mark.parametrize("few", [4096, 3])
+@pytest.mark.parametrize("n", [1, 7, 250, 251, 400, 999, 1000, 1001])
+def test_capped_slice_by_time_then_id(spark, monkeypatch, n, few):
+    """Many ids at one time, repeated pairs, missing ids: the first n pairs, and all rows that share the last one."""
+    monkeypatch.setattr(slices, "FEW", few)
+    monkeypatch.setattr(slices, "BINS", 16)
+    df = spark.range(1000).selectExpr(
+        "if(id % 100 = 99, NULL, if(id < 500, id * 1000003, id div 2)) AS k",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, cast(if(id < 250, 0, if(id < 400, id * 7919.000001, 0.000001)) AS decimal(18, 6))) AS ts", "id",
+    )
+    least = -(1 << 62)
+    pairs = sorted((r.ts, least if r.k is None else r.k, r.id) for r in df.collect() if r.ts > datetime(2023, 12, 31))
+    want = pairs if n >= len(pairs) else [p for p in pairs if p[:2] <= pairs[n - 1][:2]]
+    got = slices.slice_since(df, "ts", "k", "2023-12-31 00:00:00", 0, max_rows=n)
+    assert sorted(r.id for r in got.collect()) == sorted(p[2] for p in want)
 
 
 WRITES = ("src_", "str_", "mrg_", "jn_16", "ds_03")
