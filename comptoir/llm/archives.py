@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.llm.arrays import arrow_map
-from comptoir.session import scratch_path
+from comptoir.operators.skew import splittable_join
+from comptoir.session import cut_lineage, scratch_path
 
 # The field lists that follow the version line of an ARC file.
 FIELDS = {
@@ -34,7 +35,7 @@ LEAST_SHARED = 1000
 PAGE_HEADER = "X-Page-Id"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
-_OPTIONS = {"compression": "gzip"}
+_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _arc_head(version: int, url: str, ip: str, mime: str, length: int, code: str = "200", offset: int = 0, name: str = "-") -> str:
@@ -51,9 +52,10 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
     """
     def run(batches):
         part = TaskContext.get().partitionId()
-        version, name, place = 1 + part % 2, f"part-{part:05d}.arc", 0
+        version, name = 1 + part % 2, f"part-{part:05d}.arc"
         about = f"{version} 0 comptoir\n{FIELDS[version]}\n"
         first = f"{_arc_head(version, f'filedesc://{name}', '0.0.0.0', 'text/plain', len(about), name=name)}\n{about}"
+        place = len(first) + 1  # each record is followed by a line end
         begun = False
         for batch in batches:
             out = [] if begun else [first]
@@ -63,8 +65,9 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
                 size = len(text.encode())
                 named = "" if page is None else f"{PAGE_HEADER}: {page}\r\n"
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n{named}Content-Length: {size}\r\n\r\n"
-                out.append(f"{_arc_head(version, address, '0.0.0.0', 'text/html', len(head) + size, offset=place, name=name)}\n{head}{text}")
-                place += len(head) + size
+                line = _arc_head(version, address, "0.0.0.0", "text/html", len(head) + size, offset=place, name=name)
+                out.append(f"{line}\n{head}{text}")
+                place += len(line.encode()) + 1 + len(head) + size + 1
             yield pa.record_batch([pa.array(out, pa.string())], ["value"])
 
     source = pages.select(F.col(key).cast("long"), F.col(url), F.coalesce(F.col(body), F.lit("")))
@@ -140,55 +143,74 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of all ARC files under ``path``, with what their WARC records need."""
-    schema = pa.schema([
-        ("record_id", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("ip", pa.string()), ("date", pa.string()),
-        ("head", pa.binary()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("digest", pa.string()),
-    ])
+def captures(file: str, content: bytes) -> Iterator[tuple]:
+    """(offset, record id, page id, header fields, HTTP header, payload) of each capture in a gzipped ARC file."""
+    for offset, fields, block in arc_records(gzip.GzipFile(fileobj=io.BytesIO(content))):
+        if fields["URL"].startswith("filedesc://"):
+            continue
+        head, payload = _split_http(block)
+        page = _field(head, PAGE_HEADER)
+        page = int(page) if page and re.fullmatch(r"-?\d{1,19}", page) else None
+        yield offset, record_id(file.rpartition("/")[2], offset, page), page, fields, head, payload
 
-    def captures(file: str, content: bytes):
-        for offset, fields, block in arc_records(gzip.GzipFile(fileobj=io.BytesIO(content))):
-            if fields["URL"].startswith("filedesc://"):
-                continue
-            head, payload = _split_http(block)
-            page = _field(head, PAGE_HEADER)
-            page = int(page) if page and re.fullmatch(r"-?\d{1,19}", page) else None
-            d = fields["Archive-date"]
-            date = f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
-            yield record_id(file.rpartition("/")[2], offset, page), page, fields["URL"], fields["IP-address"], date, head, payload, len(payload), hashlib.sha1(payload).hexdigest()
+
+def index_arc(spark: SparkSession, path: str) -> DataFrame:
+    """What tells equal payloads in the ARC files under ``path``: ``file, offset, record_id, page_id, payload_bytes,
+    digest`` of each capture. Payloads stay where they are."""
+    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("digest", pa.string())])
 
     def run(batches):
         for batch in batches:
             for file, content in zip(batch.column(0), batch.column(1)):
-                yield from _batched(captures(file.as_py(), content.as_py()), schema)
-
-    ddl = "record_id string, page_id long, uri string, ip string, date string, head binary, payload binary, payload_bytes long, digest string"
-    return _files(spark, path).transform(arrow_map, run, ddl)
-
-
-def write_warc(captures: DataFrame, path: str, least: int = LEAST_SHARED) -> None:
-    """A response per capture, or a revisit if its payload of ``least`` bytes or more is that of a capture with a
-    larger page id. Revisits keep the HTTP header and leave out the payload."""
-    long = F.col("payload_bytes") >= least
-    shared = (
-        captures.filter(long & F.col("page_id").isNotNull()).groupBy("digest", "payload_bytes")
-        .agg(F.max(F.struct("page_id", "record_id")).alias("kept"), F.count("*").alias("n")).filter("n > 1")
-        .select(F.col("digest").alias("d"), F.col("payload_bytes").alias("b"), F.col("kept.page_id").alias("kept_page"), F.col("kept.record_id").alias("kept_id"))
-    )
-    placed = captures.join(shared.hint("shuffle_merge"), (F.col("digest") == F.col("d")) & (F.col("payload_bytes") == F.col("b")), "left")
-    again = F.coalesce(F.col("page_id") < F.col("kept_page"), F.lit(False))
-    block = F.when(again, F.col("head")).otherwise(F.concat("head", "payload"))
-    fields = F.concat_ws(
-        "\r\n", F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(again, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), F.col("record_id"), F.lit(">")), F.concat(F.lit("WARC-Date: "), F.col("date")),
-        F.concat(F.lit("WARC-Target-URI: "), F.col("uri")), F.concat(F.lit("WARC-IP-Address: "), F.col("ip")),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")), F.concat(F.lit("WARC-Block-Digest: sha1:"), F.sha1(block)),
-        F.when(again, F.concat(F.lit("WARC-Refers-To: <urn:uuid:"), F.col("kept_id"), F.lit(">"))), F.when(again, F.lit(f"WARC-Profile: {_PROFILE}")),
-        F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")), F.lit("\r\n"),
-    )
-    record = F.concat(fields.cast("binary"), block).cast("string")  # the bytes as they are
-    placed.select(record.alias("value")).write.options(**_OPTIONS).option("lineSep", "\r\n\r\n").text(path)
+                name = file.as_py()
+                yield from _batched((
+                    (name, offset, own, page, len(payload), hashlib.sha1(payload).hexdigest())
+                    for offset, own, page, _, _, payload in captures(name, content.as_py())
+                ), schema)
+
+    return _files(spark, path).transform(arrow_map, run, "file string, offset long, record_id string, page_id long, payload_bytes long, digest string")
+
+
+def revisits(index: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
+    """``file, offset, kept_id`` of captures whose payload of ``least`` bytes or more is that of a capture with a larger
+    page id, and the record of that."""
+    long = index.filter((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull())
+    shared = long.groupBy("digest", "payload_bytes").agg(F.max(F.struct("page_id", "record_id")).alias("kept"), F.count("*").alias("n")).filter("n > 1")
+    shared = shared.select("digest", "payload_bytes", F.col("kept.page_id").alias("kept_page"), F.col("kept.record_id").alias("kept_id"))
+    return splittable_join(long, shared, ["digest", "payload_bytes"]).filter("page_id < kept_page").select("file", "offset", "kept_id")
+
+
+def warc_record(own: str, fields: dict[str, str], head: bytes, payload: bytes, kept: str | None) -> bytes:
+    """A response, or a revisit of the record ``kept``, which keeps the HTTP header and leaves out the payload."""
+    block, d = head if kept else head + payload, fields["Archive-date"]
+    lines = [
+        "WARC/1.1", f"WARC-Type: {'revisit' if kept else 'response'}", f"WARC-Record-ID: <urn:uuid:{own}>",
+        f"WARC-Date: {d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z", f"WARC-Target-URI: {fields['URL']}", f"WARC-IP-Address: {fields['IP-address']}",
+        f"WARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}", f"WARC-Block-Digest: sha1:{hashlib.sha1(block).hexdigest()}",
+        *([f"WARC-Refers-To: <urn:uuid:{kept}>", f"WARC-Profile: {_PROFILE}"] if kept else []),
+        "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", "",
+    ]
+    return "\r\n".join(lines).encode() + block
+
+
+def write_warc(spark: SparkSession, arc: str, path: str, least: int = LEAST_SHARED) -> None:
+    """The ARC files under ``arc`` as WARC files, a record per capture.
+
+    Equal payloads are told by an index of digests; what each file needs to know of it, the offsets of its revisits, is
+    joined to the file, so payloads themselves are never shuffled outside their compressed archive.
+    """
+    by_file = revisits(cut_lineage(index_arc(spark, arc)), least).groupBy("file").agg(F.collect_list(F.struct("offset", "kept_id")).alias("again"))
+    files = splittable_join(_files(spark, arc).withColumnRenamed("path", "file"), by_file, "file", "left").select("file", "content", "again")
+    schema = pa.schema([("value", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for file, content, again in zip(batch.column(0), batch.column(1), batch.column(2)):
+                kept = {x["offset"]: x["kept_id"] for x in again.as_py() or ()}
+                yield from _batched(((warc_record(own, fields, head, payload, kept.get(offset)),) for offset, own, _, fields, head, payload in captures(file.as_py(), content.as_py())), schema)
+
+    records = files.transform(arrow_map, run, "value binary").select(F.col("value").cast("string").alias("value"))  # the bytes as they are
+    records.write.options(**_OPTIONS).option("lineSep", "\r\n\r\n").text(path)
 
 
 def warc_records(stream: io.BufferedIOBase) -> Iterator[tuple[bytes, bytes]]:
@@ -257,5 +279,5 @@ def convert(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     spark = pages.sparkSession
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc)
-    write_warc(read_arc(spark, arc), warc, least)
+    write_warc(spark, arc, warc, least)
     return read_warc(spark, warc)

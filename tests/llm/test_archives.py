@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 
 import pytest
 
 from comptoir.llm import archives as ar
+from comptoir.session import scratch_path
 
 
 def expected(rows):
@@ -37,6 +39,20 @@ def test_repeated_rows_and_empty_table(spark):
     assert ar.convert(df.limit(0)).count() == 0
 
 
+def test_offsets_that_headers_declare(spark):
+    """A version 2 line tells the byte at which its record begins."""
+    path = scratch_path(spark, "arc")
+    df = spark.createDataFrame([(i, f"http://é/{i} x", "text é\n" * i) for i in range(40)], "page_id long, url string, html string").repartition(4)
+    ar.write_arc(df, path)
+    told = 0
+    for row in ar._files(spark, path).collect():
+        for offset, fields, _ in ar.arc_records(gzip.GzipFile(fileobj=io.BytesIO(bytes(row["content"])))):
+            if "Offset" in fields:
+                assert int(fields["Offset"]) == offset
+                told += offset > 0
+    assert told >= 10
+
+
 def test_both_versions_by_their_own_line_and_without():
     one = b"filedesc://a 0.0.0.0 20240101000000 text/plain 9\n1 0 x\nURL\nhttp://a/b c 1.2.3.4 20200102030405 text/html 5\nhe\nlo\n"
     two = b"http://a/ 1.2.3.4 20200102030405 text/html 200 - - 0 f 3\nabc\n"
