@@ -11,8 +11,6 @@ to the blocks by a join on the pairs of ids that a block holds, not on its links
 from __future__ import annotations
 
 import hashlib
-import os
-import re
 
 import numpy as np
 import pandas as pd
@@ -22,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm.arrays import arrow_map, blocks, held
+from comptoir.llm.vocab import ByteSide, Side, ranges, word_starts
 from comptoir.operators.skew import splittable_join
 from comptoir.session import cut_lineage
 
@@ -29,12 +28,8 @@ LOT = 3_000_000
 """Bytes of text that are aligned at a time; a longer text is a lot of its own."""
 LOTS = 6
 """Lots of a task that look up the pairs of ids they hold together."""
-_KEPT_WORDS = 400_000
-_KEPT_BYTES = 64
-_RUN_BYTES = 1 << 16
 _OFFSET_BITS = 40  # of a byte in its document, below the document's number
 _SPACE = "▁"
-_INNER_WHITE = re.compile(r"(?s).\s|.+\s")
 
 _DOCS = "doc long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _ROWS = f"block long, pairs array<bigint>, times array<bigint>, sizes array<int>, links array<int>, {_DOCS}, words array<int>"
@@ -45,89 +40,6 @@ _SCHEMA = pa.schema([
 ])
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that byte-level tokenizers show each byte by: itself where it is printable, else one from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-class Side:
-    """One tokenizer: ids of words, and the bytes, length and written forms of ids."""
-
-    def __init__(self, entries: list[bytes], ends: str):
-        self.bytes = entries
-        self.length = np.array([len(e) for e in entries], np.int64)
-        # an id inside its group, and one at the end of its side of a group
-        self.written = np.array([[f"{i},", f"{i}{ends}"] for i in range(len(entries))], object)
-        self.known: dict[bytes, bytes] = {}
-
-    def run(self, text: str) -> list[int]:
-        raise NotImplementedError
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Many words in one text, which their lengths cut again; one by one where that does not come out even, and
-        words with white space behind their first blank, which the next word's could join."""
-        alone = [w for w in new if _INNER_WHITE.match(w.decode())]
-        self.known.update((w, np.array(self.run(w.decode()), "<i4").tobytes()) for w in alone)
-        new = [w for w in new if w not in self.known]
-        begin = 0
-        while begin < len(new):
-            end, size = begin, 0
-            while end < len(new) and (end == begin or size < _RUN_BYTES):
-                size += len(new[end])
-                end += 1
-            lot, begin = new[begin:end], end
-            ids = np.array(self.run(b"".join(lot).decode()), "<i4")
-            at = np.concatenate([[0], np.cumsum(self.length[ids])])
-            wanted = np.cumsum([0, *map(len, lot)])
-            cuts = np.searchsorted(at, wanted)
-            if at[-1] == wanted[-1] and (at[cuts] == wanted).all() and b"".join([self.bytes[i] for i in ids]) == b"".join(lot):
-                raw, cuts = ids.tobytes(), (4 * cuts).tolist()
-                self.known.update((w, raw[x:y]) for w, x, y in zip(lot, cuts, cuts[1:]))
-            else:
-                self.known.update((w, np.array(self.run(w.decode()), "<i4").tobytes()) for w in lot)
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all words, where each word's begin, and which words their tokens spell."""
-        new = [w for w in words if w not in self.known]
-        self._learn(new)
-        coded = [self.known[w] for w in words]
-        ids = np.frombuffer(b"".join(coded), "<i4")
-        at = np.concatenate([[0], np.cumsum([len(c) >> 2 for c in coded])]).astype(np.int64)
-        spelt = np.concatenate([[0], np.cumsum(self.length[ids])])[at]
-        even = np.diff(spelt) == [len(w) for w in words]
-        joined = b"".join([self.bytes[i] for i in ids.tolist()])
-        if joined != b"".join(words):
-            even &= [joined[x:y] == w for w, x, y in zip(words, spelt[:-1].tolist(), spelt[1:].tolist())]
-        if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        else:
-            for w in new:
-                if len(w) > _KEPT_BYTES:
-                    self.known.pop(w, None)
-        return ids, at, even
-
-
-class ByteSide(Side):
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.library.encode_special_tokens = True
-        letters, vocabulary = byte_letters(), self.library.get_vocab()
-        entries = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            entries[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        super().__init__(entries, "|")
-
-    def run(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
-
 class PieceSide(Side):
     def __init__(self, path: str):
         import sentencepiece
@@ -136,46 +48,21 @@ class PieceSide(Side):
         pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         super().__init__([
             bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)
-        ], ";")
+        ])
         # a piece with a space behind other characters would join words
         self.separates = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
 
-    def run(self, text: str) -> list[int]:
-        return self.library.encode(text.removeprefix(" "), num_threads=1)  # which puts the space before it again
+    def runs(self, texts: list[str]) -> list[list[int]]:
+        return self.library.encode([t.removeprefix(" ") for t in texts], num_threads=1)  # which puts the space before again
 
 
 def _sides(path_a: str, path_b: str) -> tuple[ByteSide, PieceSide]:
     kept = held.setdefault("align", {})
     if (path_a, path_b) not in kept:
-        kept[path_a, path_b] = ByteSide(path_a), PieceSide(path_b)
+        kept[path_a, path_b] = ByteSide(path_a, specials_as_text=True), PieceSide(path_b)
     return kept[path_a, path_b]
 
 
-_WHITE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
-
-
-def word_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Where words begin: with every document, and with each blank between two characters that are no white space.
-
-    Neither tokenizer joins what such a blank parts: it begins a token on both sides. Characters of three bytes that
-    begin as the rarer white space does (and U+0085 and U+00A0) count as such here, which joins words and is as right.
-    """
-    n = len(raw)
-    blank = np.flatnonzero(raw[1:-1] == 32) + 1 if n > 2 else np.zeros(0, np.int64)
-    before, after = raw[blank - 1], raw[blank + 1]
-    rare = (after == 0xC2) | ((after >= 0xE1) & (after <= 0xE3))
-    rare |= (raw[blank - 2] == 0xC2) & ((before == 0x85) | (before == 0xA0))
-    long = raw[blank - 3]
-    rare |= (before >= 0x80) & (long >= 0xE1) & (long <= 0xE3)
-    return np.union1d(blank[~(_WHITE[before] | _WHITE[after] | rare)], at[:-1][np.diff(at) > 0])
-
-
-def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers of all ranges, one after the other."""
-    ends = np.cumsum(size)
-    return np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 def _tokens(side: Side, ids: np.ndarray, at: np.ndarray, codes: np.ndarray, doc_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of the words ``codes``, their starts and ends in bytes below the number of the document."""
     size = np.diff(at)[codes]
@@ -189,6 +76,13 @@ def _tokens(side: Side, ids: np.ndarray, at: np.ndarray, codes: np.ndarray, doc_
     return own, starts + shift, ends + shift
 
 
+def _written(side: Side, ends: str) -> np.ndarray:
+    """Each id as it is written inside its group, and at the end of its side of a group."""
+    if not hasattr(side, "written"):
+        side.written = np.array([[f"{i},", f"{i}{ends}"] for i in range(len(side.bytes))], object)
+    return side.written
+
+
 def overlaps(starts_a: np.ndarray, starts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of A and B that overlap, and where: every start, from either side, finds the token that covers it."""
     a = pd.DataFrame({"at": starts_a, "a": np.arange(len(starts_a), dtype=np.int32)})
@@ -220,7 +114,10 @@ def align(side_a: Side, side_b: Side, raw: np.ndarray, at: np.ndarray, apart: bo
     i, j, where = overlaps(from_a, from_b)
     pair, distinct = pd.factorize((a[i].astype(np.int64) << 32) | b[j])
     # the links of a word are those of the place where it stands first
-    shown, first = np.unique(codes, return_index=True)
+    first = np.full(len(words), -1, np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    shown = np.flatnonzero(first >= 0)
+    first = first[shown]
     place = (doc_of.astype(np.int64) << _OFFSET_BITS) + starts - at[doc_of]
     begin = np.searchsorted(where, place)
     many = np.diff(np.append(begin, len(where)))
@@ -232,7 +129,7 @@ def align(side_a: Side, side_b: Side, raw: np.ndarray, at: np.ndarray, apart: bo
     group_a, group_b = np.searchsorted(ends, to_a), np.searchsorted(ends, to_b)
     last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
     order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    written = np.concatenate([side_a.written[a, last_a[: len(a)].astype(np.int8)], side_b.written[b, last_b[: len(b)].astype(np.int8)]])[order].tolist()
+    written = np.concatenate([_written(side_a, "|")[a, last_a[: len(a)].astype(np.int8)], _written(side_b, ";")[b, last_b[: len(b)].astype(np.int8)]])[order].tolist()
     count = lambda x: np.bincount((x >> _OFFSET_BITS).astype(np.int64), minlength=rows)
     n_a, n_b = count(from_a), count(from_b)
     cuts = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()

@@ -7,8 +7,6 @@ with pieces from more partitions in a task, is free to join them in any way. The
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.arrays import arrow_map, held
+from comptoir.llm.arrays import arrow_map, held, utf8
+from comptoir.llm.vocab import ByteSide, ranges, word_starts
 from comptoir.session import cut_lineage
 
 SEQUENCE = 1024
@@ -30,15 +29,7 @@ TASK_PIECES = 200_000
 """Pieces that a task packs together; more are packed in several lots, so a task's memory is bounded."""
 END_ID = 2
 
-_KEPT_CHUNKS = 700_000
-_KEPT_CHARS = 64
-_RUN = 2000
-_BLANK = "Ġ"  # how the byte alphabet of such tokenizers shows a blank
 _BLOCK_CHARS = 4_000_000
-# A blank before anything but white space always begins a new pre-token of a byte-level tokenizer.
-_CHUNK = re.compile(r" (?=\S)")
-_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
-_BEFORE_SPACE = {True: [" " + c for c in _SPACES if c.isascii()], False: [" " + c for c in _SPACES]}
 _ROWS = pa.schema([
     ("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -46,82 +37,24 @@ _ROWS = pa.schema([
 _DDL = "key long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def _chunks(text: str) -> list[str]:
-    """The text cut before every blank that more than white space follows, without those blanks."""
-    if text[-1:] == " " or any(pair in text for pair in _BEFORE_SPACE[text.isascii()]):
-        return _CHUNK.split(text)
-    return text.split(" ")
-
-
 class Encoder:
-    """Ids of texts by the tokenizers library, which sees each distinct chunk of text once."""
+    """Ids of texts by the tokenizers library, which sees each distinct word of a block once, and late words not again."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        tokens = self.library.get_vocab()
-        self.after_blank = np.zeros(max(tokens.values()) + 1, bool)
-        self.after_blank[[i for t, i in tokens.items() if t.startswith(_BLANK)]] = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        coded = self.library.encode_batch([before + c for c in new], add_special_tokens=False)
-        known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, coded))
-
-    def _learn_later(self, new: list[str]) -> None:
-        """Chunks after a blank, many in one text: each without a blank inside begins at the one token that does."""
-        plain = [c for c in new if " " not in c]
-        runs = [plain[i : i + _RUN] for i in range(0, len(plain), _RUN)]
-        odd = [c for c in new if " " in c]
-        for run, coded in zip(runs, self.library.encode_batch([" " + " ".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(coded.ids, "<u4")
-            begins = np.flatnonzero(self.after_blank[ids])
-            if len(begins) != len(run) or begins[0]:
-                odd.extend(run)
-                continue
-            raw, ends = ids.tobytes(), (4 * np.append(begins, len(ids))).tolist()
-            self.later.update((c, raw[x:y]) for c, x, y in zip(run, ends, ends[1:]))
-        self._learn(self.later, odd, " ")
+        self.side = ByteSide(path, specials_as_text=False)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list = []
-        later_of, first, later = self.later.get, set(), set()
-        for text in texts:
-            if any(s in text for s in self.special):
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            begin, *rest = _chunks(text)
-            coded = list(map(later_of, rest))
-            if None in coded:
-                later.update([c for c, x in zip(rest, coded) if x is None])
-            else:
-                rest = None
-            if begin not in self.first:
-                first.add(begin)
-            out.append((begin, rest, coded))
-        self._learn(self.first, list(first), "")
-        self._learn_later(list(later))
-        for i, held in enumerate(out):
-            if not isinstance(held, bytes):
-                begin, rest, coded = held
-                if rest is not None:
-                    coded = [self.later[c] if x is None else x for c, x in zip(rest, coded)]
-                out[i] = self.first[begin] + b"".join(coded)
-        for known, new in ((self.first, first), (self.later, later)):
-            if len(known) > _KEPT_CHUNKS:
-                known.clear()
-            else:
-                for chunk in new:
-                    if len(chunk) > _KEPT_CHARS:
-                        del known[chunk]
-        return out
+        raw, at = utf8(pa.array(texts, pa.string()))
+        starts = word_starts(raw, at)
+        edges = np.append(starts, len(raw)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(raw.tobytes())]).dictionary_encode()
+        codes = words.indices.to_numpy()
+        ids, begin, _ = self.side.encode(words.dictionary.to_pylist())
+        size = np.diff(begin)[codes]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)]
+        whole, cuts = ids[ranges(begin[:-1][codes], size)].astype("<u4").tobytes(), (4 * ends).tolist()
+        return [whole[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 def _encoder(path: str) -> Encoder:

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 
 from comptoir.llm import align, queries
+from comptoir.llm.vocab import byte_letters
 from tests.conftest import SF
 
 SCHEMA = "doc_id long, text string, doc int, words string, block long"
@@ -31,7 +32,7 @@ def libraries():
 def brute(libraries, texts):
     """From whole texts, with one loop over all pairs of tokens that may overlap."""
     a, b = libraries
-    letters = align.byte_letters()
+    letters = byte_letters()
     tokens, counts = [], Counter()
     for text in texts:
         side_a = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids] if text else []
@@ -100,7 +101,7 @@ def test_whole_table(spark, libraries):
 def test_lots_and_blocks(libraries):
     """Many small lots give what one lot does."""
     texts = [" " + t for t in ODD if t] * 3
-    a, b = align.ByteSide(PATHS[0]), align.PieceSide(PATHS[1])
+    a, b = align.ByteSide(PATHS[0], True), align.PieceSide(PATHS[1])
     raw = [np.frombuffer("".join(ts).encode(), np.uint8) for ts in (texts, texts[:20])]
     ats = [np.cumsum([0, *[len(t.encode()) for t in ts]]) for ts in (texts, texts[:20])]
     one, two = (align.align(a, b, r, at, True)[0] for r, at in zip(raw, ats))
