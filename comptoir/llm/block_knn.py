@@ -144,7 +144,7 @@ def _merged(k: int):
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """``vec_id`` and ``v``: one vector per id, without nulls, NaN or infinite components, and not zero."""
+    """``vec_id`` and ``v`` of rows with an id and a vector without nulls, NaN or infinite components that is not zero."""
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     source = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
@@ -156,15 +156,15 @@ def nearest(df: DataFrame, asks: Column, k: int = 20, key: str = "vec_id", vecto
 
     Queries are the rows of ``df`` for which ``asks`` (an expression over ``vec_id``) holds; candidates are all
     rows but those with the query's own id. Vectors that are null, empty or zero, or hold null or non-finite
-    components, take no part, nor do rows without an id. Rows that repeat an id count once, with the smallest
-    vector. Vectors are compared with those of the same number of components. All candidates are returned if
+    components, take no part, nor do rows without an id. Rows that repeat id and vector count once; rows of one id
+    with different vectors are all candidates, and all queries, whose lists are merged under the id. Vectors are compared with those of the same number of components. All candidates are returned if
     there are fewer than ``k``; an empty table gives no rows. Only the two named columns are read. Work grows
     with queries times vectors, in tiles of fixed size; a vector that many rows share is compared once a tile.
     """
-    vectors = usable(df, key, vector).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("width", F.size("v"))
+    vectors = usable(df, key, vector).distinct().withColumn("width", F.size("v"))
     n, asked = usable(df, key, vector).agg(F.count("*"), F.count_if(asks)).first()
     query_blocks, vector_blocks = max(1, math.ceil(asked / QUERY_BLOCK)), max(1, math.ceil(n / VECTOR_BLOCK))
-    block = lambda of: F.pmod(F.xxhash64("vec_id"), F.lit(of)).cast("int")
+    block = lambda of: F.pmod(F.xxhash64("vec_id", "v"), F.lit(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
     queries = vectors.filter(asks).select("width", block(query_blocks).alias("qb"), every(vector_blocks).alias("vb"), F.lit(True).alias("asks"), "vec_id", "v")
     held = vectors.select("width", every(query_blocks).alias("qb"), block(vector_blocks).alias("vb"), F.lit(False).alias("asks"), "vec_id", "v")

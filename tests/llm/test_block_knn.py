@@ -46,6 +46,14 @@ def test_against_brute_force(spark, monkeypatch, blocks):
     assert run(spark, rows, 6, 4) == brute(rows, 6, 4)
 
 
+def test_all_vectors_of_an_id(spark):
+    """Rows of one id with different vectors are all candidates and all queries; equal rows count once."""
+    rows = [(0, [1, 0]), (1, [0.5, 0]), (1, [9, 0]), (2, [3, 0]), (2, [3, 0]), (4, [1, 1]), (4, [0, -5]), (5, [0, 2])]
+    assert run(spark, rows, 3, 4) == {0: [(1, 9.0), (2, 3.0), (4, 1.0)], 4: [(1, 9.0), (2, 3.0), (5, 2.0)]}
+    many = [(7, [float(i % 5), float(i)]) for i in range(200)] + [(8, [1.0, 1.0])]
+    assert run(spark, many, 4, 8) == {8: [(7, 203.0), (7, 201.0), (7, 199.0), (7, 198.0)]}
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(200, 16)) * 10.0 ** rng.integers(-5, 5, (200, 1))
