@@ -55,6 +55,7 @@ def fold_events(
     def run(batches):
         at, spoke, said, alive = None, "", [], False
         for batch in batches:
+            schema = pa.schema([*[batch.schema.field(i) for i in range(len(own))], ("r", pa.string()), ("t", pa.string())])
             done = []
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
             for row in zip(*columns):
@@ -80,8 +81,6 @@ def fold_events(
 
     kinds = {f.name: f.dataType for f in source.schema.fields}
     ddl = ", ".join([f"{c} {kinds[c].simpleString()}" for c in own] + ["r string", "t string"])
-    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    schema = pa.schema([(c, types[kinds[c].simpleString()]) for c in own] + [("r", pa.string()), ("t", pa.string())])
     folded = source.repartition(*own).sortWithinPartitions(*own, "s", "k", "r", "t").transform(arrow_map, run, ddl)
     return folded.toDF(key, *message, "role", "text")
 
@@ -112,12 +111,13 @@ _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + r"\n
 def read_back(rendered: DataFrame, key: str = "conv_id", order: Sequence[str] = ("turn",)) -> DataFrame:
     """Per conversation, parsed from ``formatted`` and the loss spans alone: turns, digests and lengths.
 
-    Conversations are read as sorted streams, so a task holds one message at a time; a digest of a whole
+    Conversations are read as sorted streams, so a task holds one message at a time, whatever its length; a digest of a whole
     conversation cannot be split further.
     """
     def run(batches):
         at, first = None, True
         for batch in batches:
+            schema = pa.schema([batch.schema.field(0), *figures])
             done = []
             for conv, formatted, start, length in zip(*[batch.column(n).to_pylist() for n in ("c", "formatted", "loss_start", "loss_length")]):
                 if first or conv != at:
@@ -138,7 +138,7 @@ def read_back(rendered: DataFrame, key: str = "conv_id", order: Sequence[str] =
             yield _batch([_digest(at, state)], schema)
 
     kind = rendered.schema[key].dataType.simpleString()
-    schema = pa.schema([("c", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+    figures = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
     source = rendered.select(F.col(key).alias("c"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], "formatted", "loss_start", "loss_length")
     by = [f"o{i}" for i in range(len(order))]
     ddl = f"c {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.llm import align, archives, block_knn, bpe, chat, hamming_join, importance, merkle, ngram_join, packing, quality_rules, suffix_dedup, templates
@@ -81,6 +81,8 @@ SELECT {columns} FROM judged"""
 def conversation_log(rows: DataFrame) -> DataFrame:
     """Each row as the events that a chat server would log: a start, then its text in two deltas.
 
+    By a hash, a fifth of the messages are drafts that are generated anew, a fifth say something else until they are
+    edited, a fifth begin in another role and are started again, and beside a fifth stands a message that is deleted.
     Rows that share conversation and turn stand in the order of a hash of role and text; equal rows are
     counted first and written as often as they occur.
     """
@@ -90,11 +92,24 @@ def conversation_log(rows: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("copy"),
     )
     half = (F.length("text") / 2).cast("int")
-    event = lambda seq, kind, part: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), part.alias("text"))
-    events = F.array(
-        event(0, "start", F.lit("")), event(1, "delta", F.substring("text", F.lit(1), half)), event(2, "delta", F.substring("text", half + 1, F.length("text"))),
+    own, other = F.col("role"), F.concat(F.lit("not "), "role")
+
+    def event(seq: int, kind: str, part: Column, who: Column = own, copy: Column | None = None) -> Column:
+        place = F.col("copy") if copy is None else copy
+        return F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), part.alias("text"), who.alias("role"), place.alias("copy"))
+
+    none, wrong = F.lit(""), F.concat(F.lit("draft of "), "text")
+    said = [event(5, "delta", F.substring("text", F.lit(1), half)), event(6, "delta", F.substring("text", half + 1, F.length("text")))]
+    beside = -F.col("copy")
+    kind = F.pmod(F.xxhash64("tie", "conv_id"), F.lit(5))
+    events = (
+        F.when(kind == 0, F.array(event(0, "start", none), event(1, "delta", wrong), event(2, "regenerate", none), *said))
+        .when(kind == 1, F.array(event(0, "start", none), event(1, "delta", wrong), event(7, "edit", F.col("text"))))
+        .when(kind == 2, F.array(event(0, "start", none, other), event(1, "delta", wrong, other), event(2, "start", none), *said))
+        .when(kind == 3, F.array(event(0, "start", none), *said, event(0, "start", none, own, beside), event(1, "delta", wrong, own, beside), event(2, "delete", none, own, beside)))
+        .otherwise(F.array(event(0, "start", none), *said))
     )
-    return turns.select("conv_id", "turn", "tie", "copy", "role", F.inline(events))
+    return turns.withColumn("events", events).select("conv_id", "turn", "tie", F.inline("events"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +158,7 @@ def op8_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP8_SQL = """
 WITH v AS (
-    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
       AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), pairs AS (

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from comptoir.llm import chat, queries
 from tests.conftest import SF
@@ -66,3 +67,30 @@ def test_query(spark, n):
         turns.setdefault(r.conv_id, []).append((r.role, r.text))
     got = {r.conv_id: tuple(r)[1:5] for r in queries.op6_chat_format(spark, SF).collect()}
     assert got == {c: expected(t) for c, t in turns.items()}
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "bigint", "string", "date", "decimal(10,2)"])
+def test_keys_of_any_type_and_a_long_message(spark, kind):
+    key = "date'2024-01-01'" if kind == "date" else f"cast(7 AS {kind})"
+    long = "<|im_start|>" + "é " * 400_000
+    events = spark.sql(f"SELECT {key} AS conv_id, cast(s AS {'smallint' if kind == 'smallint' else 'bigint'}) AS turn, k AS kind, 'assistant' AS role, t AS text, s AS seq FROM VALUES (0, 'start', ''), (1, 'delta', 'x') AS v(s, k, t)")
+    events = events.withColumn("turn", events["turn"] * 0).withColumn("text", F.when(events["kind"] == "delta", F.lit(long)).otherwise(events["text"]))
+    rendered = chat.render(chat.fold_events(events))
+    got = chat.read_back(rendered)
+    assert got.schema["conv_id"].dataType.simpleString() == kind
+    row = got.first()
+    assert (row.n_turns, row.loss_chars, row.loss_sha256) == (1, len(long), hashlib.sha256(long.encode()).hexdigest())
+
+
+def test_the_log_of_the_query_has_to_be_folded(spark):
+    """All kinds of events stand in it, and leaving one kind out changes what is rendered."""
+    rows = queries.table(spark, SF, "conversations")
+    log = queries.conversation_log(rows)
+    kinds = {r[0] for r in log.select("kind").distinct().collect()}
+    assert kinds == {"start", "delta", "edit", "regenerate", "delete"}
+    order = ("turn", "tie", "copy")
+    messages = lambda events: sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.fold_events(events, message=order).collect())
+    want = sorted((r.conv_id, r.turn, r.role or "", r.text or "") for r in rows.collect())
+    assert messages(log) == want
+    for kind in kinds - {"start"}:
+        assert messages(log.filter(F.col("kind") != kind)) != want
