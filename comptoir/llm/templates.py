@@ -3,8 +3,10 @@
 Pages of a host share a template. Its tokens are element paths and fixed texts at a path; a token's
 occurrence vector says how often it stands on each differing page of the host. Tokens with the same vector
 form an equivalence class; classes that occur on enough pages make up the template. Its fixed texts are
-dropped, inside the article too. Which of the slots between them hold the article is told by elements and by
-names in class, id and role, not by classes.
+dropped; inside an article only those that stand in elements of the template that are no headings, paragraphs,
+list items or cells, for these are what the slots of an article hold. Which of the slots hold the article is told by
+elements and by names in class, id and role, not by classes. Inside an article a name counts only where a whole label
+says nothing else.
 """
 
 from __future__ import annotations
@@ -28,12 +30,9 @@ SUPPORT = 0.5
 """Share of a host's pages that a template's tokens occur on, at least."""
 LEAST_PAGES = 3
 """Differing pages that a template's tokens occur on, at least; two pages may be versions of one text."""
-MOST_FIXED = 0.5
-"""Share of the text in article and main elements that is fixed, at most. Pages that share more there are
-versions of one text, which all stays."""
-IN_MAIN = -1
-_LENGTHS = (1 << 20) - 1
 _MAIN_BIT, _OUT_BIT = 1 << 61, 1 << 60
+# Elements whose texts belong to an article wherever they stand in it.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th caption blockquote pre figcaption summary details address center hgroup".split())
 
 # Elements that end a block of text.
 BLOCKS = frozenset(
@@ -55,6 +54,15 @@ LEFT_OUT_NAMES = frozenset(
     "masthead complementary contentinfo search comment comments reply replies discussion disqus respond share sharing social related "
     "recommended newsletter subscribe subscription signup login toolbar pagination pager skip hidden widget widgets form tooltip".split()
 )
+# Words that tell of place and shape alone, so that a label of them and the words above says nothing else.
+PLAIN_NAMES = frozenset(
+    "left right top bottom side main page pages site post posts article articles entry entries blog stories box block container wrapper wrap inner outer section area list lists "
+    "item items bar link links button buttons icon icons header head body content panel card unit slot zone group row col column grid area "
+    "first last small large sticky fixed view js id class the of in for by and".split()
+)
+# Names of parts of an article as well.
+_PARTS_TOO = frozenset(("discussion", "form", "search", "related", "social", "alert", "alerts"))
+_WHOLE = "="
 MAIN = frozenset(("article", "main"))
 # Labels such as "has-sidebar", and those of whole pages, tell what stands elsewhere.
 _ABOUT_OTHERS = frozenset(("has", "with", "without", "no", "not"))
@@ -86,14 +94,18 @@ def _step(tag: str, attributes: str) -> str:
     for m in _NAMED.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            found.add("hidden")
+            found.update(("hidden", _WHOLE + "hidden"))
         elif name in ("class", "id", "role") and tag not in _NAMED_FOR_OTHERS:
             for label in value.split():
                 words = _NOT_WORD.split(label)
                 if not _ABOUT_OTHERS.intersection(words):
-                    found.update(w for w in words if w in LEFT_OUT_NAMES or w in _OUTSIDE_MAIN_NAMES or w in MAIN)
+                    telling = [w for w in words if w in LEFT_OUT_NAMES]
+                    found.update(telling, (w for w in words if w in _OUTSIDE_MAIN_NAMES or w in MAIN))
+                    nothing_else = all(not w or w.isdigit() or w in LEFT_OUT_NAMES or w in PLAIN_NAMES for w in words)
+                    if nothing_else and (len(words) > 1 or not _PARTS_TOO.issuperset(telling)):
+                        found.update(_WHOLE + w for w in telling)
     if tag == "article":
-        found &= _NO_ARTICLE
+        found = {w for w in found if w.removeprefix(_WHOLE) in _NO_ARTICLE}
     return ".".join([tag, *sorted(found)])
 
 
@@ -164,8 +176,8 @@ def verdict(path: str) -> tuple[bool, bool]:
         out = main = False
         for step in path.split("/"):
             tag, *named = step.split(".")
-            main = main or tag in MAIN or any(n in MAIN for n in named)
-            out = out or tag in LEFT_OUT or any(n in LEFT_OUT_NAMES for n in named)
+            inside, main = main, main or tag in MAIN or any(n in MAIN for n in named)
+            out = out or tag in LEFT_OUT or any(n.startswith(_WHOLE) or not inside and n in LEFT_OUT_NAMES for n in named)
             out = out or not main and (tag in _OUTSIDE_MAIN or any(n in _OUTSIDE_MAIN_NAMES for n in named))
         if len(_verdicts) > 100_000:
             _verdicts.clear()
@@ -178,14 +190,14 @@ def _tidy(text: str) -> str:
 
 
 def _text_token(path: str, words: str, out: bool, main: bool) -> int:
-    """A text at a path as a number: a hash, its length (20 bits), and the path's verdict."""
-    mark = int.from_bytes(blake2b(f"{path}\0{words}".encode("utf-8", "surrogatepass"), digest_size=5).digest(), "big")
-    return 1 << 62 | main << 61 | out << 60 | min(len(words), _LENGTHS) << 40 | mark
+    """A text at a path as a number: a hash (60 bits) and the path's verdict."""
+    mark = int.from_bytes(blake2b(f"{path}\0{words}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+    return 1 << 62 | main << 61 | out << 60 | mark >> 4
 
 
 def tokens(page: str) -> dict[tuple[str, int], int]:
-    """How often each token stands on a page: (path, 0) for an element, (path, text token) for a text at a path,
-    ("", 0) for the page itself, and ("", IN_MAIN) with the length of all texts in article and main elements that are not left out."""
+    """How often each token stands on a page: (path, 0) for an element, (path, text token) for a text at a path, and
+    ("", 0) for the page itself."""
     found: Counter = Counter()
     found["", 0] = 1
     for path, text, _ in chunks(page):
@@ -194,8 +206,6 @@ def tokens(page: str) -> dict[tuple[str, int], int]:
         elif not text.isspace():
             words, (out, main) = _tidy(text), verdict(path)
             found[path, _text_token(path, words, out, main)] += 1
-            if main and not out:
-                found["", IN_MAIN] += min(len(words), _LENGTHS)
     return found
 
 
@@ -297,31 +307,28 @@ def deduce(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host`` and ``template``: its fixed texts, as text tokens, of hosts with LEAST_PAGES differing pages.
 
     A class is the tokens of a host with one vector. Outside article and main elements, a text that occurs on
-    enough pages is fixed if its class has another token; inside, only if its class has an element, so that the
-    text stands on every page that has the element, as often as that. An element never stands on a page without
-    those around it, so paths of a template nest by themselves.
+    enough pages is fixed if its class has another token. Inside, it is fixed if its class holds the element that it
+    stands in, so that the element belongs to the template and never holds another text, and if that element is none
+    of those that articles are written in. An element never stands on a page without those around it, so paths of a
+    template nest by themselves.
 
     A fixed text stands on ``support`` of the pages, so a host has no more of them than ``1 / support`` times
     what its average page has texts: whatever the size of a template, it is sent whole, in 8 bytes a text.
     """
     often = cut_lineage(vectors.filter(F.col("pages") >= LEAST_PAGES))
-    hosts = often.filter("path = ''").groupBy("host").agg(
-        F.max(F.when(F.col("text") == 0, F.col("pages"))).alias("of"), F.max(F.when(F.col("text") == IN_MAIN, F.col("times"))).alias("main_chars"),
-    )
-    enough = often.filter(F.col("text") != IN_MAIN).join(hosts.hint("shuffle_merge"), "host").filter(F.col("pages") >= F.col("of") * support)
-    same = Window.partitionBy("host", "vector", "pages", "times")
+    hosts = often.filter("path = '' AND text = 0").select("host", F.col("pages").alias("of"))
+    enough = often.join(hosts.hint("shuffle_merge"), "host").filter(F.col("pages") >= F.col("of") * support)
+    same = ["host", "vector", "pages", "times"]
     main = F.col("text").bitwiseAND(F.lit(_MAIN_BIT)) != 0
+    tag = F.regexp_extract("path", r"([^/.]*)(?:\.[^/]*)?$", 1)
     classes = enough.select(
-        "host", "text", "times", "main_chars", main.alias("main"), F.count(F.lit(1)).over(same).alias("size"), F.count_if(F.col("text") == 0).over(same).alias("elements"),
+        "host", "text", main.alias("main"), tag.alias("tag"), F.count(F.lit(1)).over(Window.partitionBy(*same)).alias("size"),
+        F.count_if(F.col("text") == 0).over(Window.partitionBy(*same, "path")).alias("own_element"),
     )
     used = (F.col("text") != 0) & (F.col("text").bitwiseAND(F.lit(_OUT_BIT)) == 0)  # what is left out anyway is not sent
-    fixed = classes.filter(used & F.expr("elements > 0 OR NOT main AND size > 1"))
-    length = F.shiftright("text", 40).bitwiseAND(F.lit(_LENGTHS)) * F.col("times")
-    grouped = fixed.groupBy("host").agg(
-        F.collect_list(F.when(~F.col("main"), F.col("text"))).alias("outside"), F.collect_list(F.when(F.col("main"), F.col("text"))).alias("inside"),
-        (F.coalesce(F.sum(F.when(F.col("main"), length)), F.lit(0)) <= F.max("main_chars") * MOST_FIXED).alias("differ"),
-    )
-    return grouped.select("host", F.when(F.col("differ"), F.concat("outside", "inside")).otherwise(F.col("outside")).alias("template"))
+    in_slot = F.col("main") & F.col("tag").isin(*sorted(PROSE))
+    fixed = classes.filter(used & ~in_slot & F.expr("IF(main, own_element > 0, size > 1)"))
+    return fixed.groupBy("host").agg(F.collect_list("text").alias("template"))
 
 
 def main_text(page: str, fixed: frozenset[int] | None) -> str:
