@@ -205,10 +205,10 @@ def manifest(df: DataFrame, depth: int = DEPTH) -> DataFrame:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
     tampered = F.translate("text", upper, lower)
-    digests = df.select(*FIELDS).select(
+    digests = cut_lineage(df.select(*FIELDS).select(  # written, as ranges are sampled first: texts are read once
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("tree"), leaf_digest(F.col("text")).alias("digest"),
         F.when(chosen, leaf_digest(tampered)).alias("judged"),
-    )
+    ))
     placed = cut_lineage(
         with_positions(digests, ["tree"], [F.col("doc_id").asc_nulls_first(), "digest"], "number", "total")
         .withColumn("judged", F.coalesce("judged", "digest"))
