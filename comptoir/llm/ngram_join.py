@@ -1,9 +1,10 @@
 """Join of documents whose word n-gram sets have a Jaccard similarity of a threshold or more.
 
 MinHash signatures are cut into bands; documents that share a band hash are candidates. Documents with equal
-n-gram sets are one representative from the start. In a bucket every representative is tied to the smallest
-only; ties connect to groups, and inside a group, cut into blocks, all pairs are verified on the full sets,
-block against block, without a pair ever becoming a row.
+n-gram sets are one representative from the start. A representative is at home with the smallest one that it
+shares a bucket with; homes are cut into blocks. A block is verified on the full sets, all against all, and so
+are two blocks, but only those members that share a bucket with one of the other block: no more copies of sets
+travel than there are candidates, and no pair becomes a row. Components are those of verified links.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from comptoir.llm.arrays import U64, arrow_map, blocks, mix, shingles, words
 from comptoir.llm.components import components
+from comptoir.operators.skew import splittable_join
 from comptoir.session import cut_lineage
 
 THRESHOLD = 0.8
@@ -25,7 +27,7 @@ WORDS = 5
 RECALL = 0.9999
 MOST_HASHES = 256
 BLOCK = 512
-"""Representatives of a group whose sets a task holds at a time, twice over."""
+"""Representatives of a home whose sets a task holds at a time, twice over."""
 _COLUMNS = 2048
 
 
@@ -157,11 +159,11 @@ def _verify(threshold: float):
     def run(batches):
         members, last = [], None
         for batch in batches:
-            for group, lo, hi, own, rep, copies, grams in zip(*[batch.column(i).to_pylist() for i in range(7)]):
-                if (group, lo, hi) != last and members:
+            for lo, hi, own, rep, copies, grams in zip(*[batch.column(i).to_pylist() for i in range(6)]):
+                if (lo, hi) != last and members:
                     yield judged(members)
                     members = []
-                last = (group, lo, hi)
+                last = (lo, hi)
                 members.append((own, rep, copies, grams, lo, hi))
         if members:
             yield judged(members)
@@ -169,6 +171,28 @@ def _verify(threshold: float):
     return run
 
 
+def meetings(banded: DataFrame) -> DataFrame:
+    """``rep``, ``own`` (its block) and ``meets`` (the blocks it is verified against, its own first) of every
+    representative that shares a ``bucket`` of ``banded`` with another.
+
+    ``meets`` has at most one entry for each ``BLOCK`` members of the homes around, however many buckets tell of them.
+    """
+    hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("bucket", "hub")
+    tied = cut_lineage(banded.join(hubs.hint("shuffle_merge"), "bucket").select("bucket", "rep", "hub"))
+    homes = tied.groupBy("rep").agg(F.min("hub").alias("home"))
+    crowded = cut_lineage(homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).filter("parts > 1"))
+    part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
+    blocked = cut_lineage(splittable_join(homes, crowded, "home", "left").select("rep", F.concat_ws(":", "home", part).alias("own")))
+    located = cut_lineage(tied.select("bucket", "rep").join(blocked.hint("shuffle_merge"), "rep").select("bucket", "rep", "own"))
+    seen = located.groupBy("bucket").agg(F.min("own").alias("a"), F.max("own").alias("b")).filter("a <> b").select("bucket")
+    # most buckets lie within one block
+    parted = cut_lineage(splittable_join(located, seen, "bucket"))
+    others = parted.select("bucket", F.col("own").alias("other")).distinct()
+    met = parted.join(others, "bucket").filter("own <> other").groupBy("rep").agg(F.array_sort(F.collect_set("other")).alias("others"))
+    meets = F.concat(F.array("own"), F.coalesce("others", F.array().cast("array<string>")))
+    return blocked.join(met.hint("shuffle_merge"), "rep", "left").select("rep", "own", meets.alias("meets"))
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, n: int = WORDS, recall: float = RECALL,
 ) -> DataFrame:
@@ -189,22 +213,15 @@ def near_duplicates(
     reps = sets.select("rep", "h1", "h2", "n").join(some.hint("shuffle_merge"), [F.col("rep") == some["doc"], sets["h1"] == some["h1"], sets["h2"] == some["h2"]])
     # a key with several texts has the bands of each
     banded = cut_lineage(reps.select("rep", sets["h1"], sets["h2"], "bands").dropDuplicates(["rep", "h1", "h2"]).select("rep", F.explode("bands").alias("bucket")))
-    hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("bucket", "hub")
-    ties = banded.join(hubs.hint("shuffle_merge"), "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    groups = cut_lineage(components(ties))
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     copies = sets.groupBy("rep").agg(F.sum("copies").alias("copies"))
-    members = (
-        groups.join(sizes.hint("shuffle_merge"), "root").join(copies.hint("shuffle_merge"), groups["node"] == copies["rep"])
-        .select("root", "rep", "copies", "parts", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("own"))
-    )
+    members = meetings(banded).join(copies.hint("shuffle_merge"), "rep")
     texts = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    owned = texts.join(members.hint("shuffle_merge"), texts["doc"] == members["rep"]).select("root", "rep", "copies", "parts", "own", "text")
-    held = owned.transform(arrow_map, _sets(n), "root long, rep long, copies long, parts int, own int, grams binary").dropDuplicates(["rep", "grams"])
-    met = held.select(
-        "root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "own", "rep", "copies", "grams",
-    ).select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "copies", "grams")
-    judged = met.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").transform(arrow_map, _verify(threshold), "rep long, links long, root long")
+    owned = texts.join(members.hint("shuffle_merge"), texts["doc"] == members["rep"]).select("rep", "copies", "own", "meets", "text")
+    held = owned.transform(arrow_map, _sets(n), "rep long, copies long, own string, meets array<string>, grams binary").distinct()
+    met = held.select(F.explode("meets").alias("other"), "own", "rep", "copies", "grams").select(
+        F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "copies", "grams",
+    )
+    judged = met.repartition("lo", "hi").sortWithinPartitions("lo", "hi").transform(arrow_map, _verify(threshold), "rep long, links long, root long")
     judged = cut_lineage(judged)
     classes = components(judged.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = judged.groupBy("rep").agg(F.sum("links").alias("links")).filter("links > 0")

@@ -87,6 +87,51 @@ def test_one_key_with_two_texts(spark):
     assert got == {(1, 1), (2, 1), (3, 1)}
 
 
+def buckets(spark, rows):
+    return spark.createDataFrame(rows, "rep long, bucket long")
+
+
+def test_blocks_meet_only_where_a_bucket_says_so(spark, monkeypatch):
+    """Every pair of a bucket shares a meeting, and no set travels oftener than its document has candidates."""
+    monkeypatch.setattr(nj, "BLOCK", 4)
+    r = random.Random(3)
+    rows = {(d, r.randint(0, 150)) for d in range(300) for _ in range(3)} | {(d, 1000) for d in range(0, 300, 5)} | {(900, 5000)}
+    got = {m.rep: (m.own, m.meets) for m in nj.meetings(buckets(spark, list(rows))).collect()}
+    near = {}
+    for d, b in rows:
+        near.setdefault(d, set()).update(e for e, c in rows if c == b and e != d)
+    assert set(got) == {d for d, n in near.items() if n}
+    for d, (own, meets) in got.items():
+        assert meets[0] == own and len(set(meets)) == len(meets) <= 1 + len(near[d])
+        assert {got[e][0] for e in near[d]} | {own} == set(meets)
+
+
+def test_a_chain_of_candidates_is_no_group(spark, monkeypatch):
+    """Chance candidates connect all documents; each still meets its neighbours only."""
+    monkeypatch.setattr(nj, "BLOCK", 2)
+    chain = [(d, b) for d in range(200) for b in (d, d + 1)]
+    got = nj.meetings(buckets(spark, chain)).collect()
+    assert len(got) == 200 and max(len(m.meets) for m in got) <= 3
+
+
+def test_shared_boilerplate_links_nothing(spark, monkeypatch):
+    """Pages that share half their words are candidates by chance, and none is linked."""
+    monkeypatch.setattr(nj, "BLOCK", 32)
+    shared = " ".join(f"menu{i}" for i in range(100))
+    texts = {d: shared + " " + " ".join(f"own{d}x{i}" for i in range(45)) for d in range(150)} | {200: "", 201: None}
+    texts[300] = texts[3] + " more"
+    got = {x.doc_id: (x.class_id, x.n_links) for x in nj.near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute(texts) and sum(n for _, n in got.values()) == 2
+
+
+def test_very_long_text(spark):
+    """A text longer than a block of the reader is compared whole."""
+    words = [f"w{i}" for i in range(400_000)]
+    texts = {1: " ".join(words), 2: " ".join(words[:-10]), 3: " ".join(words[: len(words) // 2]), 4: "short one"}
+    got = {x.doc_id: (x.class_id, x.n_links) for x in nj.near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute(texts) and got[2][0] == 1 and got[3][0] == 3
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 40)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(40)] + [(7, 7), (None, 3)]
