@@ -146,6 +146,19 @@ VIEWS: dict[str, str] = {
                CASE WHEN l_linestatus = 'O' THEN 'false' ELSE {SHIP_TEXT} END AS create_date,
                {SHIP_TEXT} AS write_date, l_returnflag = 'A' AS is_change
         FROM {{lineitem}}""",
+    # payments and quants under ids that do not repeat
+    "numbered_payment_raw": f"""
+        SELECT line_id AS id, {_m2o('l_orderkey', "'O'")} AS pos_order_id, {_m2o('l_linenumber', "'Pay ' || CAST(l_linenumber AS STRING)")} AS payment_method_id,
+               l_extendedprice AS amount, CASE WHEN l_returnflag = 'R' THEN 'false' ELSE {SHIP_TEXT} END AS payment_date,
+               {SHIP_TEXT} AS write_date, l_returnflag = 'A' AS is_change
+        FROM {{numbered_line}}""",
+    "numbered_quant_raw": f"""
+        SELECT line_id AS id, {SHIP_TEXT} AS write_date, 'false' AS create_date,
+               CASE WHEN l_partkey % 19 = 0 THEN 'false' ELSE {_m2o('l_partkey', "'P'")} END AS product_id,
+               {_m2o('l_suppkey', "'L'")} AS location_id, '[1,"C"]' AS company_id, 'false' AS lot_id,
+               l_quantity AS quantity, l_tax AS reserved_quantity,
+               CASE WHEN l_returnflag = 'R' THEN 'false' ELSE {SHIP_TEXT} END AS in_date
+        FROM {{numbered_line}}""",
     "session_raw": f"""
         SELECT o_orderkey AS id, {_m2o('o_custkey', "'S'")} AS config_id, CAST(o_orderdate AS STRING) AS start_at,
                'false' AS stop_at, o_orderstatus AS state, CAST(o_orderdate AS STRING) AS write_date
