@@ -13,12 +13,14 @@ from comptoir.session import cut_lineage
 
 
 def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the importance model samples."""
+    """Documents that the importance model samples. Null and empty texts have log weight 0 and are judged by it; repeated
+    rows go or stay together, and so do rows without an id that have one text. Without good labels all stay."""
     return importance.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no quality rule."""
+    """Documents that break no quality rule. Null and empty texts have no words and go; rows are judged one by one, whatever
+    their ids, so repeated rows share one fate."""
     return quality_rules.keep_good(docs)
 
 
@@ -50,7 +52,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences."""
+    """Pieces of the documents in training sequences: a null or empty text is one piece, its end mark alone; repeated rows
+    are packed each. An empty table gives no pieces."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
