@@ -13,7 +13,7 @@ from checks.q_datasets import (
     staged_lines,
 )
 from checks.q_relational import rules
-from checks.registry import query
+from checks.registry import QUERIES, query
 from comptoir.plans import dimensions as dim
 from comptoir.plans import expenses as ex
 from comptoir.plans import movements as mv
@@ -175,6 +175,59 @@ def whole_history_payments(t):
     return opened(loaded["payments"], t.payment_raw)
 
 
+EARLY = (datetime(1994, 1, 1), datetime(1997, 1, 1), "1997-01-01 00:00:00")
+EARLY_KEYS = HIST_KEYS.replace("keys AS", "early AS").replace("1996-01-01", "1994-01-01").replace("2000-01-01", "1997-01-01")
+
+
+def history_over_an_earlier_one(t):
+    """The years to 1997 are stored with other states and amounts; the years from 1996 are loaded over them in one pass."""
+    paid = t.numbered_payment_raw.withColumn("create_date", F.lit("false"))
+    first = pos.pos_hist(t.order_raw, t.order_line_raw, paid, *EARLY)
+    stale = {
+        "orders": cut_lineage(first["orders"].withColumn("state", F.lit("old"))),
+        "payments": cut_lineage(first["payments"].withColumn("amount", F.lit(-1).cast("decimal(16,4)"))),
+    }
+    return pos.load_pos_hist(t.order_raw, t.order_line_raw, paid, *HIST, AS_OF, targets=stale)
+
+
+@query("ds_12_orders_over_earlier_ones", f"""
+    WITH {HIST_KEYS}, {EARLY_KEYS}
+    SELECT r.id AS order_id, CASE WHEN keys.k IS NULL THEN 'old' ELSE r.state END AS state, {money('r.amount_total')} AS amount_total, r.write_date AS write_ts,
+           CASE WHEN keys.k IS NULL THEN '{EARLY[2]}' ELSE '{AS_OF}' END AS ingested_at
+    FROM {{order_raw}} r LEFT JOIN keys ON keys.k = r.id LEFT JOIN early ON early.k = r.id WHERE keys.k IS NOT NULL OR early.k IS NOT NULL""")
+def history_orders_over_earlier_ones(t):
+    return history_over_an_earlier_one(t)["orders"].select("order_id", "state", "amount_total", "write_ts", "ingested_at")
+
+
+@query("ds_12_payments_over_earlier_ones", f"""
+    WITH {HIST_KEYS}, {EARLY_KEYS}
+    SELECT r.id AS payment_id, {rid('r.pos_order_id')} AS order_id, {rid('r.payment_method_id')} AS method_id,
+           CASE WHEN keys.k IS NULL THEN -1 ELSE {money('r.amount')} END AS amount, r.write_date AS payment_ts,
+           CASE WHEN keys.k IS NULL THEN '{EARLY[2]}' ELSE '{AS_OF}' END AS ingested_at
+    FROM {{numbered_payment_raw}} r LEFT JOIN keys ON keys.k = {rid('r.pos_order_id')} LEFT JOIN early ON early.k = {rid('r.pos_order_id')}
+    WHERE keys.k IS NOT NULL OR early.k IS NOT NULL""")
+def history_payments_over_earlier_ones(t):
+    return history_over_an_earlier_one(t)["payments"].select("payment_id", "order_id", "method_id", "amount", "payment_ts", "ingested_at")
+
+
+@query("ds_11_payment_texts_over_earlier_ones")
+def payment_texts_over_earlier_ones(t):
+    """Texts of half the orders are stored as old ones, and as those of orders that do not come again."""
+    loaded = staged_lines(t)
+    half = loaded["payment_texts"].filter("order_id % 2 = 0").withColumn("payment_text", F.lit("old"))
+    stale = cut_lineage(half.unionByName(half.withColumn("order_id", F.col("order_id") + 10**12)))
+    hours = int((datetime(2002, 1, 1) - datetime(1996, 1, 1)).total_seconds() // 3600)
+    targets = {"lines": cut_lineage(loaded["lines"].limit(0)), "payment_texts": stale}
+    return pos.stg_pos_line(t.order_line_raw, t.order_raw, exact_payments(t), AS_OF, targets, hours)["payment_texts"]
+
+
+_TEXTS = QUERIES["ds_11_pos_payment_texts"][1]
+QUERIES["ds_11_payment_texts_over_earlier_ones"] = (
+    QUERIES["ds_11_payment_texts_over_earlier_ones"][0],
+    f"SELECT * FROM ({_TEXTS}) UNION ALL SELECT order_id + 1000000000000, part, 'old' FROM ({_TEXTS}) WHERE order_id % 2 = 0",
+)
+
+
 @query("ds_13_whole_orders", order_sql("r.state <> 'F'", "{}", text("r.pos_reference"), "loaded_at"))
 def whole_order_fact(t):
     return opened(facts(t)["orders"], t.order_raw)
