@@ -21,6 +21,34 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STEP = 500
+"""Windows of a part of a text: a part is cut out once, its windows from the part."""
+_OP1_SQL = f"""
+WITH body AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS doc, doc_id,
+           hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), parts AS (
+    SELECT doc, n, p, substr(h, 2 * p + 1, {2 * (_STEP + suffix_dedup.LENGTH - 1)}) AS h
+    FROM (SELECT doc, h, n, unnest(range(0, n - {suffix_dedup.LENGTH - 1}, {_STEP})) AS p FROM body)
+), windows AS (
+    SELECT doc, p + j AS i, unhex(substr(h, 2 * j + 1, {2 * suffix_dedup.LENGTH})) AS s
+    FROM (SELECT doc, p, h, unnest(range(0, least({_STEP}, n - {suffix_dedup.LENGTH - 1} - p))) AS j FROM parts)
+), repeated AS (
+    SELECT doc, i FROM (SELECT doc, i, row_number() OVER (PARTITION BY s ORDER BY doc, i) AS k FROM windows) WHERE k > 1
+), turns AS (
+    SELECT doc, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc ORDER BY i) + {suffix_dedup.LENGTH} THEN 0 ELSE 1 END AS turn FROM repeated
+), runs AS (
+    SELECT doc, min(i) AS a, max(i) + {suffix_dedup.LENGTH} AS b
+    FROM (SELECT doc, i, sum(turn) OVER (PARTITION BY doc ORDER BY i) AS run FROM turns) GROUP BY doc, run
+), kept AS (
+    SELECT doc, coalesce(lag(b) OVER (PARTITION BY doc ORDER BY a), 0) AS a, a AS b, b - a AS gone FROM runs
+    UNION ALL SELECT doc, coalesce(last, 0), n, 0 FROM body LEFT JOIN (SELECT doc, max(b) AS last FROM runs GROUP BY doc) USING (doc)
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed, count(*) FILTER (gone > 0) AS n_spans,
+       sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b))) AS kept_sha256
+FROM kept JOIN body USING (doc) GROUP BY doc, doc_id, n"""
+
+
 def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -280,7 +308,7 @@ SELECT d AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 
 
 QUERIES = {
-    "op1_suffix_dedup": (op1_suffix_dedup, None),
+    "op1_suffix_dedup": (op1_suffix_dedup, _OP1_SQL),
     "op2_template_extraction": (op2_template_extraction, None),
     "op3_importance_resampling": (op3_importance_resampling, None),
     "op4_bpe_round_trip": (op4_bpe_round_trip, None),
