@@ -8,6 +8,7 @@ never overwrites files that the same plan reads.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 
@@ -204,7 +205,16 @@ def store_by_file(
     the files they are found in are merged with the batch, and no other file is read in full or written. New files
     are written to the shared folder first. What is to change then goes into a file of intent beside the data, which
     readers skip: a run that breaks off after that is completed by the next one, so files are never lost or doubled.
+    The shuffle files of the batch's and the merge's writes are deleted as each write ends.
     """
+    with shuffle_cleanup(spark):
+        return _store_by_file(spark, path, batch, part_col, keys, merge)
+
+
+def _store_by_file(
+    spark: SparkSession, path: str, batch: DataFrame, part_col: str, keys: Sequence[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> dict[str, int]:
     complete_store(spark, path)
     staged = scratch_path(spark, "batch")
     batch.write.parquet(staged)
@@ -306,15 +316,21 @@ def overwrite_parts(df: DataFrame, path: str, part_col: str) -> None:
     the write ends, instead of when the driver happens to collect its garbage, so that writes one after another
     do not pile those copies up on disk.
     """
-    spark = df.sparkSession
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with shuffle_cleanup(df.sparkSession):
         (
             df.hint("rebalance", part_col)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(part_col).parquet(path)
         )
+
+
+@contextmanager
+def shuffle_cleanup(spark: SparkSession):
+    """Delete the shuffle files of each job as soon as it ends, for the jobs run inside; the setting is restored after."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
     finally:
         if before is None:
             spark.conf.unset(SHUFFLE_CLEANUP)
