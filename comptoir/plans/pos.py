@@ -13,7 +13,7 @@ from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
 from comptoir.operators.incremental import since_from_target
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
-from comptoir.operators.merge import file_system, upsert
+from comptoir.operators.merge import file_system, remove, shuffle_cleanup, upsert
 from comptoir.operators.skew import splittable_join
 from comptoir.operators.windows import dedup_latest, top_one
 from comptoir.schemas import (
@@ -192,18 +192,23 @@ def load_pos_hist(
     The lines of the range, then the orders and payments they name, are staged as they are; everything else starts from
     those. The tables are the branches of one written frame, split by kind, and are read back from their folders.
     """
-    in_range = cut_lineage(slice_range(
-        lines.withColumn("__created", parse_dt("create_date")), "__created", from_, to, "create_date",
-    ).drop("__created").filter(m2o_id("order_id").isNotNull()))
-    keys = in_range.select(m2o_id("order_id").alias("__order")).distinct()
-    named = cut_lineage(splittable_join(orders.withColumn("__order", F.col("id")), keys, "__order", "left_semi").drop("__order"))
-    paid = cut_lineage(splittable_join(payments.withColumn("__order", m2o_id("pos_order_id")), keys, "__order", "left_semi").drop("__order"))
-    tables = pos_hist(named, in_range, paid, from_, to, as_of, targets)
-    tagged = [df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(kind)) for kind, df in tables.items()]
-    path = scratch_path(orders.sparkSession, "history")
-    reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).write.partitionBy("kind").parquet(path)
-    read = orders.sparkSession.read
-    return {kind: read.schema(t.select(kind).schema).parquet(f"{path}/kind={kind}").select(f"{kind}.*") if _written(orders.sparkSession, f"{path}/kind={kind}") else tables[kind].limit(0) for kind, t in zip(tables, tagged)}
+    spark = orders.sparkSession
+    with shuffle_cleanup(spark):
+        in_range = cut_lineage(slice_range(
+            lines.withColumn("__created", parse_dt("create_date")), "__created", from_, to, "create_date",
+        ).drop("__created").filter(m2o_id("order_id").isNotNull()))
+        keys = in_range.select(m2o_id("order_id").alias("__order")).distinct()
+        named = cut_lineage(splittable_join(orders.withColumn("__order", F.col("id")), keys, "__order", "left_semi").drop("__order"))
+        paid = cut_lineage(splittable_join(payments.withColumn("__order", m2o_id("pos_order_id")), keys, "__order", "left_semi").drop("__order"))
+        tables = pos_hist(named, in_range, paid, from_, to, as_of, targets)
+        tagged = [df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(kind)) for kind, df in tables.items()]
+        path = scratch_path(spark, "history")
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).write.partitionBy("kind").parquet(path)
+    for staged in (in_range, named, paid):  # the tables are read from the history folder alone
+        for folder in staged.inputFiles()[:1]:
+            remove(spark, folder.rsplit("/", 1)[0])
+    read = spark.read
+    return {kind: read.schema(t.select(kind).schema).parquet(f"{path}/kind={kind}").select(f"{kind}.*") if _written(spark, f"{path}/kind={kind}") else spark.createDataFrame([], tables[kind].schema) for kind, t in zip(tables, tagged)}
 
 
 def _written(spark: SparkSession, path: str) -> bool:
