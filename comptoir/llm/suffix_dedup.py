@@ -183,17 +183,37 @@ def _shards(length: int):
         return pa.record_batch([pa.array(c, pa.int64()) for c in kept], ["doc", "first", "after"])
 
     def run(batches):
-        found, size, last = {}, 0, None
+        """Rows come by shard, bytes, doc and begin: a segment's first row holds its earliest place."""
+        found, size, last = {}, 0, (None, None)
         for batch in batches:
-            for shard, piece, doc, begin in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                if shard != last and size >= SHARD_BYTES:
-                    yield judged(found)
-                    found, size = {}, 0
-                last, key, place = shard, (shard, piece), (doc, begin)
-                if key not in found:
-                    found[key], size = place, size + len(piece)
-                elif place < found[key]:
+            n = batch.num_rows
+            if not n:
+                continue
+            shard, piece = np.asarray(batch.column(0)), batch.column(1)
+            turns = np.ones(n, bool)
+            turns[1:] = shard[1:] != shard[:-1]
+            turns[0] = shard[0] != last[0]
+            new = turns.copy()
+            if n > 1:
+                new[1:] |= np.asarray(pc.not_equal(piece.slice(1), piece.slice(0, n - 1)))
+            new[0] |= piece[0].as_py() != last[1]
+            last = (shard[-1], piece[-1].as_py())
+            # bytes of new segments before each row: a shard that starts after 2 MB of them starts a new suffix array
+            before = size + np.append(0, np.cumsum(np.where(new, np.asarray(pc.binary_length(piece)), 0)))
+            start = 0
+            while True:
+                opens = np.flatnonzero(turns[start:] & (before[start:-1] >= SHARD_BYTES + before[start] - size)) + start
+                cut = int(opens[0]) if len(opens) else n
+                rows = np.flatnonzero(new[start:cut]) + start
+                for key, place in zip(zip(shard[rows].tolist(), piece.take(rows).to_pylist()), zip(
+                        np.asarray(batch.column(2))[rows].tolist(), np.asarray(batch.column(3))[rows].tolist())):
                     found[key] = place
+                if cut == n:
+                    size += int(before[n] - before[start])
+                    break
+                if found:
+                    yield judged(found)
+                found, size, start = {}, 0, cut
         if found:
             yield judged(found)
 
@@ -252,7 +272,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
         .transform(arrow_map, _extract(length), "shard long, bytes binary, doc long, begin long")
     )
     kept = (
-        dealt.repartition("shard").sortWithinPartitions("shard")
+        dealt.repartition("shard").sortWithinPartitions("shard", "bytes", "doc", "begin")
         .transform(arrow_map, _shards(length), "doc long, first long, after long")
         .groupBy("doc").agg(F.collect_list(F.struct("first", "after")).alias("kept"))
     )

@@ -95,3 +95,27 @@ def test_query_on_documents(spark):
     texts = [(r.doc_id, (r.text or "").encode()) for r in queries.table(spark, SF, "documents").collect()]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op1_suffix_dedup(spark, SF).collect()}
     assert got == sd.brute_force(texts)
+
+
+def test_shards_keep_each_segment_once_at_its_earliest_place(monkeypatch):
+    """Repeated segments across batches and suffix arrays that close at a shard's turn, without a row loop."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(sd, "SHARD_BYTES", 40)
+    seen = []
+    monkeypatch.setattr(sd, "earliest", lambda found, length: seen.append(sorted(found)) or (np.zeros(0, np.int64),) * 3)
+    rng = random.Random(5)
+    rows = sorted((rng.randrange(6), bytes([65 + rng.randrange(3)]) * rng.randrange(1, 12), rng.randrange(4), rng.randrange(9)) for _ in range(300))
+    batches = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 37]), [pa.int64(), pa.binary(), pa.int64(), pa.int64()])],
+                               ["shard", "bytes", "doc", "begin"]) for a in range(0, len(rows), 37)]
+    list(sd._shards(sd.LENGTH)(iter(batches)))
+    want, found, size, last = [], {}, 0, None
+    for shard, piece, doc, begin in rows:
+        if shard != last and size >= 40:
+            want.append(sorted((*p, k[1]) for k, p in found.items()))
+            found, size = {}, 0
+        last = shard
+        if (shard, piece) not in found:
+            found[shard, piece], size = (doc, begin), size + len(piece)
+    want.append(sorted((*p, k[1]) for k, p in found.items()))
+    assert seen == want
