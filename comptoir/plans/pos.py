@@ -19,7 +19,7 @@ from comptoir.operators.windows import dedup_latest, top_one
 from comptoir.schemas import (
     ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
 )
-from comptoir.sources.scans import with_payload
+from comptoir.sources.scans import record_json, with_payload
 from comptoir.session import cut_lineage, scratch_path
 from comptoir.sources.slices import not_before, slice_last, slice_range
 
@@ -229,11 +229,20 @@ def fct_pos_order(orders: DataFrame, as_of: datetime | str) -> DataFrame:
 
 
 def fct_pos_line(lines: DataFrame, orders: DataFrame, products: DataFrame, as_of: datetime | str) -> DataFrame:
-    """Lines with the times and shop of their order, and the barcode of their product."""
-    head = orders.select("order_id", "config_id", "txn_ts", "txn_day")
-    typed = with_payload(lines, relations=ORDER_LINE_RELATIONS).select(
+    """Lines with the times and shop of their order, and the barcode of their product.
+
+    The lines meet their orders as they are read; their typed columns and payload are made after that join, so
+    its shuffle carries each value once.
+    """
+    head = orders.select(
+        F.col("order_id").alias("__order"), F.col("config_id").alias("__config"),
+        F.col("txn_ts").alias("__txn_ts"), F.col("txn_day").alias("__txn_day"),
+    )
+    raw = lines.columns
+    joined = attach_order(lines.withColumn("__order", m2o_id("order_id")), head, "__order")
+    typed = joined.select(
+        F.col("__order").alias("order_id"),
         F.col("id").alias("line_id"),
-        m2o_id("order_id").alias("order_id"),
         m2o_id("product_id").alias("product_id"),
         F.lit(None).cast("string").alias("barcode"),
         _money("qty").alias("qty"),
@@ -242,10 +251,11 @@ def fct_pos_line(lines: DataFrame, orders: DataFrame, products: DataFrame, as_of
         _money("price_subtotal").alias("subtotal_excl_tax"),
         _money("price_subtotal_incl").alias("subtotal_incl_tax"),
         parse_dt("write_date").alias("write_ts"),
-        "payload",
+        record_json(raw, [c for c in ORDER_LINE_RELATIONS if c in raw]).alias("payload"),
         as_ts(as_of).alias("loaded_at"),
+        F.col("__config").alias("config_id"), F.col("__txn_ts").alias("txn_ts"), F.col("__txn_day").alias("txn_day"),
     )
-    return fill_from(attach_order(typed, head), products, "product_id", "barcode")
+    return fill_from(typed, products, "product_id", "barcode")
 
 
 def fct_pos_payment(payments: DataFrame, orders: DataFrame, as_of: datetime | str) -> DataFrame:

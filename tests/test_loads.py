@@ -199,3 +199,25 @@ def test_history_load_leaves_only_its_tables(spark):
     assert cuts() <= staged
     assert shuffles() <= before
     assert got.count() > 0
+
+
+def test_line_payload_is_made_after_the_order_join(spark):
+    """The lines shuffled to their orders carry their raw columns alone: typed columns and payload come after."""
+    from comptoir.plans import pos
+
+    lines = spark.range(1, 2).selectExpr(
+        "id", "concat('[', id + 6, ',\"O\"]') AS order_id", "concat('[', id + 2, ',\"P\"]') AS product_id", "2.0D AS qty", "5.0D AS price_unit", "0.0D AS discount",
+        "10.0D AS price_subtotal", "12.5D AS price_subtotal_incl", "'2001-01-01 00:00:00' AS create_date", "'2001-01-02 00:00:00' AS write_date",
+    )
+    heads = spark.range(7, 8).selectExpr("id AS order_id", "4L AS config_id", "timestamp_ntz'2001-01-01 00:00:00' AS txn_ts", "date'2001-01-01' AS txn_day")
+    products = spark.range(3, 4).selectExpr("id AS product_id", "'b3' AS barcode")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = pos.fct_pos_line(lines, heads, products, "2002-01-01 00:00:00")
+        text = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.index("StructsToJson") < text.rindex("Join"), text
+    [row] = got.collect()
+    assert (row.order_id, row.line_id, row.barcode, row.config_id) == (7, 1, "b3", 4)
+    assert row.payload.startswith('{"order_id":[7,"O"],"product_id":[3,"P"],"id":1,'), row.payload
