@@ -13,14 +13,14 @@ from comptoir.functions.records import clean_false, m2o_id, m2o_name, parse_dt
 from comptoir.operators.aggregates import payment_summary, payment_text
 from comptoir.operators.incremental import since_from_target
 from comptoir.operators.joins import attach_order, fill_from, restrict_to
-from comptoir.operators.merge import file_system, remove, shuffle_cleanup, upsert
+from comptoir.operators.merge import file_system, remove, upsert
 from comptoir.operators.skew import splittable_join
 from comptoir.operators.windows import top_one
 from comptoir.schemas import (
     ORDER_LINE_RELATIONS, ORDER_RELATIONS, PAYMENT_RELATIONS, QTY, SESSION_RELATIONS,
 )
 from comptoir.sources.scans import record_json, with_payload
-from comptoir.session import cut_lineage, scratch_path
+from comptoir.session import cut_lineage, scratch_path, write_scratch
 from comptoir.sources.slices import not_before, slice_last, slice_range
 
 # fixed values
@@ -114,12 +114,29 @@ def pos_hist(
 
     Also returns the payments whose amount does not fit the target type.
     """
-    in_range = slice_range(
+    in_range = _lines_in_range(lines, from_, to)
+    return _hist_tables(in_range, _named_by(in_range, orders, F.col("id")), _named_by(in_range, payments, m2o_id("pos_order_id")), as_of, targets)
+
+
+def _lines_in_range(lines: DataFrame, from_: datetime | str, to: datetime | str) -> DataFrame:
+    return slice_range(
         lines.withColumns({"created_at": parse_dt("create_date"), "order_id": m2o_id("order_id")}),
         "created_at", from_, to, "create_date",
     ).filter(F.col("order_id").isNotNull())
-    keys = in_range.select("order_id")
-    heads = restrict_to(with_payload(orders, relations=ORDER_RELATIONS).withColumn("order_id", F.col("id")), keys, "order_id")
+
+
+def _named_by(in_range: DataFrame, records: DataFrame, order: Column) -> DataFrame:
+    """Records of the orders that the lines name, with their raw columns alone."""
+    keys = in_range.select(F.col("order_id").alias("__order"))
+    return restrict_to(records.withColumn("__order", order), keys, "__order").drop("__order")
+
+
+def _hist_tables(
+    in_range: DataFrame, orders: DataFrame, payments: DataFrame, as_of: datetime | str, targets: dict[str, DataFrame] | None,
+) -> dict[str, DataFrame]:
+    """The tables of a history load, from the lines in range and the orders and payments that these name. Payloads are
+    made here, so what is shuffled to find those records carries each value once."""
+    heads = with_payload(orders, relations=ORDER_RELATIONS).withColumn("order_id", F.col("id"))
     reference = F.coalesce(clean_false("pos_reference"), clean_false("name"))
     order_rows = heads.select(
         *_order_columns("order_id", False, as_of),
@@ -129,15 +146,12 @@ def pos_hist(
         "payload",
         as_ts(as_of).alias("ingested_at"),
     )
-    paid = restrict_to(
-        with_payload(payments, relations=PAYMENT_RELATIONS).withColumns({
-            "order_id": m2o_id("pos_order_id"),
-            "method_id": m2o_id("payment_method_id"),
-            "method_name": m2o_name("payment_method_id"),
-            "paid_amount": F.coalesce("amount", F.lit(0)),
-        }),
-        keys, "order_id",
-    )
+    paid = with_payload(payments, relations=PAYMENT_RELATIONS).withColumns({
+        "order_id": m2o_id("pos_order_id"),
+        "method_id": m2o_id("payment_method_id"),
+        "method_name": m2o_name("payment_method_id"),
+        "paid_amount": F.coalesce("amount", F.lit(0)),
+    })
     paid, rejected = split_overflow(paid, "paid_amount")
     paid_at = payment_dt(parse_dt("payment_date"), parse_dt("create_date"), parse_dt("write_date"))
     payment_rows = paid.select(
@@ -188,21 +202,17 @@ def load_pos_hist(
 ) -> dict[str, DataFrame]:
     """``pos_hist`` with each source scanned once and all tables written by one job.
 
-    The lines of the range, then the orders and payments they name, are staged as they are; everything else starts from
-    those. The tables are the branches of one written frame, split by kind, and are read back from their folders.
+    The lines of the range, then the orders and payments they name, are staged; everything else starts from those, and
+    they are not looked up again. The tables are the branches of one written frame, split by kind, and are read back from their folders.
     """
     spark = orders.sparkSession
-    with shuffle_cleanup(spark):
-        in_range = cut_lineage(slice_range(
-            lines.withColumn("__created", parse_dt("create_date")), "__created", from_, to, "create_date",
-        ).drop("__created").filter(m2o_id("order_id").isNotNull()))
-        keys = in_range.select(m2o_id("order_id").alias("__order")).distinct()
-        named = cut_lineage(splittable_join(orders.withColumn("__order", F.col("id")), keys, "__order", "left_semi").drop("__order"))
-        paid = cut_lineage(splittable_join(payments.withColumn("__order", m2o_id("pos_order_id")), keys, "__order", "left_semi").drop("__order"))
-        tables = pos_hist(named, in_range, paid, from_, to, as_of, targets)
-        tagged = [df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(kind)) for kind, df in tables.items()]
-        path = scratch_path(spark, "history")
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).write.partitionBy("kind").parquet(path)
+    in_range = cut_lineage(_lines_in_range(lines, from_, to))
+    named = cut_lineage(_named_by(in_range, orders, F.col("id")))
+    paid = cut_lineage(_named_by(in_range, payments, m2o_id("pos_order_id")))
+    tables = _hist_tables(in_range, named, paid, as_of, targets)
+    tagged = [df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(kind)) for kind, df in tables.items()]
+    path = scratch_path(spark, "history")
+    write_scratch(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), path, "kind")
     for staged in (in_range, named, paid):  # the tables are read from the history folder alone
         for folder in staged.inputFiles()[:1]:
             remove(spark, folder.rsplit("/", 1)[0])
