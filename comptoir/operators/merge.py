@@ -204,6 +204,10 @@ def store(
 
 
 INTENT = "_comptoir_intent"
+MERGES = 8
+"""Merges that a store by file is split into, at most."""
+MERGE_ROWS = 250_000
+"""Rows that are not worth a merge of their own."""
 
 
 def store_by_file(
@@ -214,8 +218,9 @@ def store_by_file(
     how many came.
 
     The keys, which include the partition column, are looked up in the partitions that the batch touches; the rows of
-    the files they are found in are merged with the batch, and no other file is read in full or written. New files
-    are written to the shared folder first. What is to change then goes into a file of intent beside the data, which
+    the files they are found in are merged with the batch, and no other file is read in full or written. The merge is
+    called for some partitions at a time, and the shuffles of one call are deleted before the next, so that a load that
+    touches them all does not hold its rows on disk several times over. New files are written to the shared folder first. What is to change then goes into a file of intent beside the data, which
     readers skip: a run that breaks off after that is completed by the next one, so files are never lost or doubled.
     The shuffle files of the batch's and the merge's writes are deleted as each write ends.
     """
@@ -238,12 +243,13 @@ def _store_by_file(
     hit = target.select(*keys, "__file").join(batch.select(*keys), list(keys), "left_semi")
     old = sorted(r[0] for r in hit.select("__file").distinct().collect())  # names that the job deletes one by one
     target = stored.filter(F.col("_metadata.file_path").isin(*old)).drop("__file")
-    merged = merge(target, batch)
-    lost = [c for c in target.columns if c not in merged.columns]
-    if lost:
-        raise ValueError(f"the merge would lose the table's columns {lost}")
     written = scratch_path(spark, "files")
-    merged.hint("rebalance", part_col).write.partitionBy(part_col).parquet(written)
+    for chosen in _in_turn(target, batch, part_col):
+        merged = merge(target.filter(chosen), batch.filter(chosen))
+        lost = [c for c in target.columns if c not in merged.columns]
+        if lost:
+            raise ValueError(f"the merge would lose the table's columns {lost}")
+        merged.hint("rebalance", part_col).write.mode("append").partitionBy(part_col).parquet(written)
     out = fs.create(_hadoop(spark, f"{path}/{INTENT}.tmp"), True)
     out.write(bytearray("\n".join([written, *old]).encode()))
     out.close()
@@ -253,6 +259,21 @@ def _store_by_file(
     return {"replaced": len(old), "written": came}
 
 
+def _in_turn(target: DataFrame, batch: DataFrame, part_col: str) -> list[Column]:
+    """Conditions that share out the partitions of a batch among a few merges of about as many rows each; one for a
+    small load."""
+    rows = dict(target.select(part_col).unionByName(batch.select(part_col)).groupBy(part_col).count().collect())
+    most, groups, held = max(MERGE_ROWS, -(-sum(rows.values()) // MERGES)), [[]], 0
+    for value in sorted(rows, key=lambda v: (v is not None, v)):
+        if groups[-1] and held + rows[value] > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(value)
+        held += rows[value]
+    named = [F.col(part_col).isin(*[v for v in g if v is not None]) for g in groups]
+    return [c | F.col(part_col).isNull() if None in g else c for c, g in zip(named, groups)]
+
+
 def complete_store(spark: SparkSession, path: str) -> int:
     """Do what a file of intent says, if there is one: old files go, new ones take their place. Each step can be done
     again. Returns how many files came."""
