@@ -49,13 +49,13 @@ def slice_since(
     next slice, which begins after it, would miss them.
     """
     at = _ts(since_ts)
-    out = (df.filter(not_before(text, since_ts)) if text else df).filter(
-        (F.col(ts) >= at) & ((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > since_id)))
-    )
+    known = df.filter(not_before(text, since_ts)) if text else df
+    after = (F.col(ts) >= at) & ((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > since_id)))
+    out = known.filter(after)
     last = cut_off(out, ts, key, max_rows) if max_rows else None
     if last:
         end = F.lit(str(last[0])).cast("timestamp_ntz")
-        out = out.filter((F.col(ts) <= end) & ((F.col(ts) < end) | (F.coalesce(F.col(key), F.lit(last[1])) <= last[1])))
+        out = known.filter(F.col(ts) <= end).filter(after & ((F.col(ts) < end) | (F.coalesce(F.col(key), F.lit(last[1])) <= last[1])))
         out = out.filter(not_after(text, last[0] + timedelta(seconds=1))) if text else out
     return out
 
@@ -86,7 +86,8 @@ def cut_off(df: DataFrame, ts: str, key: str, n: int) -> tuple[datetime, int] |
                 t, i = sorted((r["t"], r["i"]) for r in pairs.select("t", "i").collect())[n - 1]
                 return _EPOCH + timedelta(microseconds=t), i
             width = -(-(high - low + 1) // BINS)
-            bar = F.floor((F.col(column).cast("decimal(38,0)") - F.lit(str(low)).cast("decimal(38,0)")) / F.lit(str(width)).cast("decimal(38,0)")).cast("int")
+            whole = [f"cast('{x}' AS decimal(38,0))" for x in (low, width)]  # a quotient of decimals is rounded, and may round up to the next bar
+            bar = F.expr(f"cast((cast({column} AS decimal(38,0)) - {whole[0]}) div {whole[1]} AS int)")
             for number, rows in sorted((r["bar"], r["count"]) for r in pairs.groupBy(bar.alias("bar")).count().collect()):
                 if rows >= n:
                     break
